@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from understory.llm import langid
+from understory.llm import langid, licenses, mixing, quality, warc
 
 
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -18,6 +18,10 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_language_id": langid.op1_language_id,
+        "op3_mixing": mixing.op3_mixing,
+        "op4_quality": quality.op4_quality,
+        "op5_warc": warc.op5_warc,
+        "op7_license_scan": licenses.op7_license_scan,
         "pipeline": pipeline,
     }
 

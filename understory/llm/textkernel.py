@@ -34,6 +34,9 @@ def _word_table() -> np.ndarray:
 #: Byte to lower-cased word byte, 0 for separators.
 WORD_BYTE = _word_table()
 
+#: Byte to itself, 0 for ASCII white space: tokens with case and punctuation.
+TOKEN_BYTE = np.where(np.isin(np.arange(256), (0, 9, 10, 11, 12, 13, 32)), 0, np.arange(256)).astype(np.uint8)
+
 _powers: dict[str, np.ndarray] = {}
 
 
@@ -95,13 +98,13 @@ class Words:
         return np.diff(self.bounds)
 
 
-def words(raw: np.ndarray, offsets: np.ndarray) -> Words:
-    """All words of the texts whose bytes are raw[offsets[i]:offsets[i + 1]]."""
+def words(raw: np.ndarray, offsets: np.ndarray, table: np.ndarray = WORD_BYTE) -> Words:
+    """All words of the texts whose bytes are raw[offsets[i]:offsets[i + 1]]; table gives 0 for separators."""
     n = len(raw)
     if not n:
         none = np.zeros(0, np.int64)
         return Words(np.zeros(0, np.uint64), none, none, np.zeros(len(offsets), np.int64))
-    low = WORD_BYTE[raw]
+    low = table[raw]
     inside = low != 0
     before = np.empty(n, bool)
     before[0] = False
