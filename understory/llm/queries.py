@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from understory.llm import langid, licenses, mixing, quality, warc
+from understory.llm import decontaminate, langid, licenses, mixing, quality, urlfilter, warc
 
 
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -22,9 +22,14 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op4_quality": quality.op4_quality,
         "op5_warc": warc.op5_warc,
         "op7_license_scan": licenses.op7_license_scan,
+        "op9_url_filter": urlfilter.op9_url_filter,
+        "op10_decontamination": decontaminate.op10_decontamination,
         "pipeline": pipeline,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {
+        "op9_url_filter": urlfilter.OP9_SQL,
+        "op10_decontamination": decontaminate.OP10_SQL,
+    }
