@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from understory.llm import decontaminate, langid, licenses, mixing, quality, urlfilter, warc
+from understory.llm import decontaminate, embeddings, langid, licenses, mixing, ngram_join, quality, urlfilter, warc
 
 
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -21,7 +21,9 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op3_mixing": mixing.op3_mixing,
         "op4_quality": quality.op4_quality,
         "op5_warc": warc.op5_warc,
+        "op6_ngram_join": ngram_join.op6_ngram_join,
         "op7_license_scan": licenses.op7_license_scan,
+        "op8_embedding_dedup": embeddings.op8_embedding_dedup,
         "op9_url_filter": urlfilter.op9_url_filter,
         "op10_decontamination": decontaminate.op10_decontamination,
         "pipeline": pipeline,
