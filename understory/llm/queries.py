@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from understory.llm import decontaminate, embeddings, langid, licenses, mixing, ngram_join, quality, urlfilter, warc
+from understory.llm import decontaminate, embeddings, langid, licenses, mixing, ngram_join, passages, quality, urlfilter, warc
 
 
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -18,6 +18,7 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_language_id": langid.op1_language_id,
+        "op2_passage_dedup": passages.op2_passage_dedup,
         "op3_mixing": mixing.op3_mixing,
         "op4_quality": quality.op4_quality,
         "op5_warc": warc.op5_warc,
@@ -32,6 +33,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 def oracle_sql() -> dict[str, str]:
     return {
+        "op5_warc": warc.OP5_SQL,
         "op9_url_filter": urlfilter.OP9_SQL,
         "op10_decontamination": decontaminate.OP10_SQL,
     }

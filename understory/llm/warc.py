@@ -249,7 +249,7 @@ def op5_warc(spark, sf_dir: str) -> DataFrame:
     """Archives of all pages, written to the shared folder and read back."""
     path = f"{shared_folder(spark)}/understory/warc-{uuid.uuid4().hex}"
     write(spark.read.parquet(f"{sf_dir}/pages.parquet").select("page_id", "url", "html"), path)
-    return read(spark, path)
+    return read(spark, path).drop("segments")
 
 
 #: DuckDB SQL for op5's contract columns.
