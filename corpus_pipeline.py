@@ -5,12 +5,16 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from understory.llm import langid
+from understory.llm import decontaminate, langid, mixing, ngram_join, passages
 from understory.llm.common import saved
 
 #: (name, function): each takes (spark, docs, sf_dir); its result is written and read again for the next.
 STAGES = [
     ("language_id", langid.stage),
+    ("ngram_join", ngram_join.stage),
+    ("passage_dedup", passages.stage),
+    ("decontamination", decontaminate.stage),
+    ("mixing", mixing.stage),
 ]
 
 #: Cross-parsing, fuzzy chains and weighted sampling keys have no SQL form.
@@ -20,6 +24,6 @@ ORACLE_SQL = None
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over documents."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    for name, stage in STAGES:
+    for name, stage in STAGES[:-1]:
         docs = saved(stage(spark, docs, sf_dir), name)
-    return docs
+    return STAGES[-1][1](spark, docs, sf_dir)
