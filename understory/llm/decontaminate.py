@@ -1,9 +1,11 @@
 """Benchmark decontamination in DataFrame operations.
 
 The items' word windows form a hash set that is broadcast when its counted size is
-within a bound (joined by shuffle beyond it).  Every window of every document is hashed
-in one scan and looked up; a hit is verified word by word before it counts.  Windows
-are never written or shuffled, only hits and one row a document.
+within a bound (joined by shuffle beyond it).  One scan tests every window of every
+document: three of its words are hashed and looked up in a bit set made of the items'
+windows, what passes is looked up by the hash of all its words, and a hit is verified
+word by word before it counts.  The bit set only passes windows over that no item has.
+Windows are never written or shuffled, only hits and one row a document.
 
 Defined results: null or empty texts have no words, are hit by nothing and are no item;
 an item of fewer words than a window is one window of its own length; an item without
@@ -14,6 +16,8 @@ results or none contaminated.
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -41,6 +45,26 @@ def windows(benchmark: DataFrame, window: int = WINDOW) -> DataFrame:
     return each.groupBy("n", "words").agg(F.collect_set("item_id").alias("items")).select(F.xxhash64("words").alias("h"), "n", "words", "items")
 
 
+def _bit_set(table: DataFrame, count: int) -> tuple[str, int]:
+    """SQL of an array of longs with a bit set for three words of each window, and the bits of its index.
+
+    16 bits a window at least, and 1 MB at most however many windows there are.
+    """
+    power = max(10, min(17, math.ceil(math.log2(max(1, count) * 16 / 64))))
+    h = F.expr(_probe("words", "0", "n"))
+    place = F.shiftrightunsigned(h, 64 - power).alias("place")
+    rows = table.select(place, F.expr(f"shiftleft(1L, cast({_probe('words', '0', 'n')} & 63 AS int))").alias("bit")).groupBy("place").agg(F.bit_or("bit").alias("bits"))
+    longs = [0] * (1 << power)
+    for place, bits in rows.collect():  # 2 ** power rows at most
+        longs[place] = bits
+    return f"cast(split('{','.join(map(str, longs))}', ',') AS array<bigint>)", power
+
+
+def _probe(words: str, at: str, n: str) -> str:
+    """SQL hash of the first, middle and last of n words from a place on."""
+    return f"xxhash64({words}[{at}], {words}[{at} + cast({n} div 2 AS int)], {words}[{at} + {n} - 1], {n})"
+
+
 def contaminated(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, id_col: str = "doc_id", text_col: str = "text", all_rows: bool = True) -> DataFrame:
     """One row for each row of docs (only hit ones unless all_rows).
 
@@ -49,12 +73,15 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, id
     """
     table = saved(windows(benchmark, window), "windows")
     lengths = [r[0] for r in table.select("n").distinct().orderBy("n").collect()]  # `window` values at most
-    lookup = F.broadcast(table) if table.count() <= BROADCAST_WINDOWS else table
+    count = table.count()
+    lookup = F.broadcast(table) if count <= BROADCAST_WINDOWS else table
+    bits, power = _bit_set(table, count)
     base = docs.select(F.col(id_col).alias("id"), F.xxhash64(text_col).alias("_text"), words_of(F.col(text_col)).alias("w"))
-    hashed = [
-        F.expr(f"if(size(w) >= {n}, transform(sequence(0, size(w) - {n}), i -> named_struct('at', i, 'n', {n}, 'h', xxhash64(slice(w, i + 1, {n})))), array())")
-        for n in lengths
-    ]
+    hashed = []
+    for n in lengths:
+        probed = f"transform(sequence(0, size(w) - {n}), i -> {_probe('w', 'i', str(n))})"
+        places = f"array_compact(transform({probed}, (h, i) -> if(getbit({bits}[cast(shiftrightunsigned(h, {64 - power}) AS int)], cast(h & 63 AS int)) = 1, i, NULL)))"
+        hashed.append(F.expr(f"if(size(w) >= {n}, transform({places}, i -> named_struct('at', i, 'n', {n}, 'h', xxhash64(slice(w, i + 1, {n})))), array())"))
     mark = F.expr("array(named_struct('at', -1, 'n', 0, 'h', 0L))")
     probes = base.select("id", "_text", "w", F.inline(F.concat(*([mark] if all_rows else []), *hashed) if hashed or all_rows else F.slice(mark, 1, 0)))
     same = (F.col("p.n") == F.col("b.n")) & (F.col("p.h") == F.col("b.h")) & (F.expr("slice(p.w, greatest(p.at, 0) + 1, p.n)") == F.col("b.words"))
