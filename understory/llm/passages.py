@@ -36,6 +36,8 @@ from understory.llm.common import saved
 
 K = 8
 WINDOW = 10
+#: Places within which a seed must not come again.
+PERIOD = 8
 #: A passage has this many words, this share of them equal.
 MIN_WORDS = 50
 IDENTITY = 0.8
@@ -55,15 +57,19 @@ _LOW = np.uint64((1 << 20) - 1)
 def winnow(hashes: np.ndarray, bounds: np.ndarray, window: int = WINDOW) -> np.ndarray:
     """Positions of the least hash of every window of consecutive hashes within each text.
 
-    Hashes equal to a neighbour's (one word said over and over) are passed over.
+    Hashes that come again within PERIOD places (words said over and over, singly or a
+    few in turn) are passed over: they tell nothing of where a passage is, and one
+    of them could be a large share of all seeds.
     """
     n = len(hashes)
     if n < window:
         return np.zeros(0, np.int64)
     at = np.arange(n, dtype=np.uint64)
     again = np.zeros(n, bool)
-    again[1:] = hashes[1:] == hashes[:-1]
-    again[:-1] |= again[1:]
+    for d in range(1, min(PERIOD, n - 1) + 1):
+        same = hashes[d:] == hashes[:-d]
+        again[d:] |= same
+        again[:-d] |= same
     value = (np.where(again, ~_LOW, hashes & ~_LOW)) | (at & _LOW)
     width = 1
     while width * 2 <= window:
