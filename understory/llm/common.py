@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import tempfile
 import uuid
 from collections.abc import Callable, Iterator, Sequence
@@ -12,6 +13,60 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
+#: Bytes of an Arrow batch of texts: what a Python worker and its executor buffer.
+BATCH_BYTES = 8 << 20
+_BATCH = "spark.sql.execution.arrow.maxBytesPerBatch"
+
+
+def bounded(spark: SparkSession) -> SparkSession:
+    """The session, with Arrow batches of BATCH_BYTES at most from here on (rows over that come alone)."""
+    if _bytes(spark.conf.get(_BATCH)) > BATCH_BYTES:
+        spark.conf.set(_BATCH, str(BATCH_BYTES))
+    return spark
+
+
+def _bytes(size: str) -> int:
+    units = {"b": 0, "k": 10, "kb": 10, "m": 20, "mb": 20, "g": 30, "gb": 30}
+    number = size.rstrip("bkmgBKMG")
+    value = int(number) << units.get(size[len(number) :].lower() or "b", 0)
+    return value if value > 0 else 1 << 62
+
+
+_held: dict = {}
+
+
+def held(key: object, make: Callable[[], object]) -> object:
+    """A large object that a Python worker keeps between tasks: the last one asked for only."""
+    if key not in _held:
+        _held.clear()
+        release()
+        _held[key] = make()
+    return _held[key]
+
+
+def release() -> None:
+    """Give memory that is free in this process back to the machine."""
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (OSError, AttributeError):
+        pass
+
+
+def trimmed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Batches of a task, with release() at its end."""
+    try:
+        yield from batches
+    finally:
+        release()
+
+
+def map_arrow(df: DataFrame, function: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema: str | T.StructType) -> DataFrame:
+    """df.mapInArrow with bounded batches and memory given back at a task's end."""
+    bounded(df.sparkSession)
+    return df.mapInArrow(lambda batches: trimmed(function(batches)), schema)
+
+
 def shared_folder(spark: SparkSession) -> str:
     """The folder that driver and executors share, from spark.checkpoint.dir.
 
@@ -32,7 +87,7 @@ def saved(df: DataFrame, name: str) -> DataFrame:
     """
     spark = df.sparkSession
     path = f"{shared_folder(spark)}/understory/{name}-{uuid.uuid4().hex}"
-    df.write.option("compression", "zstd").parquet(path)
+    df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
@@ -75,7 +130,7 @@ def with_text_columns(
             )
             yield table.filter(new[where]) if where else table
 
-    return docs.mapInArrow(run, T.StructType(out))
+    return map_arrow(docs, run, T.StructType(out))
 
 
 def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:

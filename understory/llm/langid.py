@@ -27,7 +27,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from understory.llm.common import with_text_columns
+from understory.llm.common import held, with_text_columns
 
 #: Bounds of the learning sample for each language: documents, and normalised characters.
 SAMPLE_DOCS = 64
@@ -108,14 +108,13 @@ class Tables:
     bits: np.ndarray
 
 
-_cache: dict[str, Tables] = {}
-
-
 def tables(texts: dict[str, str]) -> Tables:
-    """The tables of all languages; a worker process keeps the last ones."""
+    """The tables of all languages; a worker process keeps them until it needs another large object."""
     key = hashlib.sha256(repr(sorted(texts.items())).encode()).hexdigest()
-    if key in _cache:
-        return _cache[key]
+    return held(key, lambda: _build(texts))
+
+
+def _build(texts: dict[str, str]) -> Tables:
     langs = sorted(texts)
     counts: dict[str, int] = {}
     for t in texts.values():
@@ -146,9 +145,7 @@ def tables(texts: dict[str, str]) -> Tables:
     flat = np.concatenate([p.ravel() for p in parts])
     flat = flat.astype(np.int32) if base * width * 2 < 2**31 else flat
     bits = np.array([math.log2(max(2, len(texts[x]))) for x in langs])
-    _cache.clear()
-    _cache[key] = Tables(langs, codes, flat, np.array(start, flat.dtype), bits)
-    return _cache[key]
+    return Tables(langs, codes, flat, np.array(start, flat.dtype), bits)
 
 
 def phrase_counts(model: Tables, texts: list[np.ndarray]) -> np.ndarray:

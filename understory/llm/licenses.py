@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from understory.llm import textkernel as tk
-from understory.llm.common import with_text_columns
+from understory.llm.common import map_arrow, with_text_columns
 
 #: Phrases of the base labels.
 PHRASES = {
@@ -149,7 +149,7 @@ def frequencies(docs: DataFrame, templates: list[tuple[str, str]], text_col: str
                     total.update(vocabulary.intersection(text.translate(_TO_WORDS).split()))
         yield pa.RecordBatch.from_arrays([pa.array(list(total), pa.binary()), pa.array(list(total.values()), pa.int64())], names=["word", "n"])
 
-    counted = docs.select(text_col).mapInArrow(count, "word binary, n long").groupBy("word").agg(F.sum("n").alias("n"))
+    counted = map_arrow(docs.select(text_col), count, "word binary, n long").groupBy("word").agg(F.sum("n").alias("n"))
     return {bytes(r["word"]): r["n"] for r in counted.collect()}  # a row a template word at most
 
 

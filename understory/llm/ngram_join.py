@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 
 from understory.llm import blocks
 from understory.llm import textkernel as tk
-from understory.llm.common import components, saved
+from understory.llm.common import components, map_arrow, saved
 
 WORDS = 5
 THRESHOLD = 0.8
@@ -227,20 +227,20 @@ def join(docs: DataFrame, threshold: float = THRESHOLD, id_col: str = "doc_id",
     """
     texts = docs.select(F.col(id_col).alias("id"), F.xxhash64(text_col).alias("text_hash"), F.coalesce(text_col, F.lit("")).alias("text"))
     id_type = docs.schema[id_col].dataType.simpleString()
-    features = saved(texts.mapInArrow(_features, f"id {id_type}, text_hash long, class binary, signature array<long>"), "features")
+    features = saved(map_arrow(texts, _features, f"id {id_type}, text_hash long, class binary, signature array<long>"), "features")
     some = features.where("class IS NOT NULL")
     classes = saved(some.groupBy("class").agg(F.first("signature").alias("signature"), F.count("*").alias("copies"), F.min("id").alias("least")), "classes")
     rows = classes.select("class", F.posexplode("signature").alias("band", "bucket"))
     shared = blocks.shared_buckets(rows, KEYS).join(classes.select("class", "signature", "copies"), "class")
     dealt = blocks.block_pairs(shared, KEYS, "class")
-    candidates = saved(dealt.mapInArrow(_candidates(threshold), dealt.schema), "candidates")
+    candidates = saved(map_arrow(dealt, _candidates(threshold), dealt.schema), "candidates")
     needed = candidates.select("class").distinct().join(classes.select("class", "least"), "class").select("least").distinct()
     needed = saved(needed, "needed")
     ids = F.broadcast(needed) if needed.count() <= BROADCAST_IDS else needed
-    sets = texts.join(ids, F.col("id").eqNullSafe(F.col("least")), "left_semi").mapInArrow(_shingle_sets, "class binary, shingles binary")
+    sets = map_arrow(texts.join(ids, F.col("id").eqNullSafe(F.col("least")), "left_semi"), _shingle_sets, "class binary, shingles binary")
     whole = candidates.join(sets.dropDuplicates(["class"]), "class")
     whole = whole.repartition(*KEYS, "i", "j").sortWithinPartitions(*KEYS, "i", "j", "side", "class")
-    links = saved(whole.mapInArrow(_verify(threshold), "class binary, links long, root binary"), "links")
+    links = saved(map_arrow(whole, _verify(threshold), "class binary, links long, root binary"), "links")
     counts = links.groupBy("class").agg(F.sum("links").alias("links"))
     found = components(links, "class", "root").withColumnRenamed("node", "class")
     least = found.join(classes.select("class", "least"), "class").groupBy("component").agg(F.min("least").alias("component_id"))

@@ -32,7 +32,7 @@ from pyspark.sql import functions as F
 
 from understory.llm import textkernel as tk
 from understory.llm.blocks import groups
-from understory.llm.common import saved
+from understory.llm.common import map_arrow, saved
 
 K = 8
 WINDOW = 10
@@ -356,10 +356,10 @@ def passages(docs: DataFrame) -> DataFrame:
     documents hold parts of them.
     """
     texts = docs.select(F.col("_key").alias("key"), "text").where("text IS NOT NULL")
-    seeds = texts.mapInArrow(_seeds, "seed long, key long, at int")
-    matches = seeds.repartition("seed").sortWithinPartitions("seed", "key", "at").mapInArrow(_matches, "key long, first long, at int, first_at int")
+    seeds = map_arrow(texts, _seeds, "seed long, key long, at int")
+    matches = map_arrow(seeds.repartition("seed").sortWithinPartitions("seed", "key", "at"), _matches, "key long, first long, at int, first_at int")
     ordered = matches.repartition("key").sortWithinPartitions("key", "first", "at", "first_at")
-    chains = saved(ordered.mapInArrow(_chains, CHAINS).withColumn("chain", F.monotonically_increasing_id()), "chains")
+    chains = saved(map_arrow(ordered, _chains, CHAINS).withColumn("chain", F.monotonically_increasing_id()), "chains")
     spans = chains.select(
         "chain",
         F.inline(
@@ -374,12 +374,12 @@ def passages(docs: DataFrame) -> DataFrame:
     asked = saved(wanted.select("of", "block").distinct().groupBy("of").agg(F.collect_list("block").alias("blocks")), "blocks")
     total = asked.agg(F.sum(F.size("blocks"))).first()[0] or 0
     few = F.broadcast(asked) if total <= BROADCAST_BLOCKS else asked
-    words = texts.join(few, F.col("key") == F.col("of")).select("key", "text", "blocks").mapInArrow(_word_blocks, "of long, block int, words binary")
+    words = map_arrow(texts.join(few, F.col("key") == F.col("of")).select("key", "text", "blocks"), _word_blocks, "of long, block int, words binary")
     fetched = wanted.join(words, ["of", "block"])
     detail = chains.select("chain", "key", "first", "runs", "first_runs", "lengths")
     ready = fetched.join(detail, "chain").select("chain", "side", "block", "words", "key", "first", "runs", "first_runs", "lengths")
     ready = ready.repartition("chain").sortWithinPartitions("chain", "side", "block")
-    return ready.mapInArrow(_align, PASSAGES)
+    return map_arrow(ready, _align, PASSAGES)
 
 
 def _merge_spans(spans: str) -> str:
@@ -430,7 +430,7 @@ def cut(docs: DataFrame) -> DataFrame:
     joined = rows.join(F.broadcast(found) if small else found, F.col("_key") == F.col("_of"), "left").select(*docs.columns, "_spans")
     changed = joined.where("_spans IS NOT NULL")
     names, at = list(docs.columns), docs.columns.index("text")
-    trimmed = changed.mapInArrow(lambda batches: _cut(batches, at, names), docs.schema)
+    trimmed = map_arrow(changed, lambda batches: _cut(batches, at, names), docs.schema)
     trimmed = trimmed.where(F.col("text").rlike(r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]"))
     if "n_chars" in names:
         trimmed = trimmed.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))

@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from understory.llm import textkernel as tk
-from understory.llm.common import with_text_columns
+from understory.llm.common import map_arrow, with_text_columns
 
 #: Labelled rows that are learned from at most: those of least hash.
 SAMPLE_ROWS = 2000
@@ -35,7 +35,7 @@ SEED = 7
 THRESHOLD = 0.3
 
 FIELDS = [T.StructField("score", T.DoubleType()), T.StructField("predicted", T.IntegerType())]
-FEATURES = T.StructType([T.StructField("label", T.IntegerType()), T.StructField("ids", T.BinaryType()), T.StructField("counts", T.BinaryType())])
+FEATURES = "label int, doc_id long, ids binary, counts binary"
 
 
 def _grams(raw: np.ndarray, n: int) -> np.ndarray:
@@ -129,7 +129,7 @@ def _extract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 u, c = np.unique(np.concatenate([x[a[i] : b[i]] for x, a, b in kinds]), return_counts=True)
                 ids.append(u.astype(np.int32).tobytes())
                 counts.append(c.astype(np.float32).tobytes())
-        yield pa.RecordBatch.from_arrays([batch.column("label"), pa.array(ids, pa.binary()), pa.array(counts, pa.binary())], names=FEATURES.names)
+        yield pa.RecordBatch.from_arrays([batch.column("label"), batch.column("doc_id"), pa.array(ids, pa.binary()), pa.array(counts, pa.binary())], names=["label", "doc_id", "ids", "counts"])
 
 
 def learn(docs: DataFrame, labels: DataFrame, train_rows: Column, label: str = "quality", rows: int = SAMPLE_ROWS) -> Model:
@@ -141,19 +141,11 @@ def learn(docs: DataFrame, labels: DataFrame, train_rows: Column, label: str = "
     chosen = labels.where(train_rows & F.col(label).isNotNull()).select("doc_id", F.col(label).cast("int").alias("label"))
     chosen = chosen.groupBy("doc_id").agg(F.max("label").alias("label")).orderBy(F.xxhash64("doc_id"), "doc_id").limit(rows)
     texts = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).join(F.broadcast(chosen), "doc_id")
-    found = texts.select("label", "text", "doc_id").mapInArrow(
-        lambda batches: ((b.append_column("doc_id", d) for b, d in _with_ids(batches))), T.StructType([*FEATURES.fields, T.StructField("doc_id", T.LongType())])
-    )
+    found = map_arrow(texts.select("label", "text", "doc_id"), _extract, FEATURES)
     got = sorted(found.collect(), key=lambda r: (r["doc_id"], bytes(r["ids"]), bytes(r["counts"])))
     return train([(min(1, max(0, r["label"])), np.frombuffer(r["ids"], np.int32), np.frombuffer(r["counts"], np.float32)) for r in got])
 
 
-def _with_ids(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.RecordBatch, pa.Array]]:
-    for batch in batches:
-        if batch.num_rows:
-            yield next(_extract(iter([batch]))), batch.column("doc_id")
-
-
 def score(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
     """docs with score (0 to 1) and predicted (1 from THRESHOLD on) of each whole text."""
     share = model.share.astype(np.float32)

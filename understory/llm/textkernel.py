@@ -14,8 +14,10 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 
+from understory.llm.common import held
+
 #: Text bytes taken up at once; a longer single text is one slice of its own.
-SLICE_BYTES = 2 << 20
+SLICE_BYTES = 1 << 20
 
 _BASE = np.uint64(0x9E3779B97F4A7C15 | 1)
 _INVERSE = np.uint64(pow(int(_BASE), -1, 1 << 64))
@@ -37,20 +39,19 @@ WORD_BYTE = _word_table()
 #: Byte to itself, 0 for ASCII white space: tokens with case and punctuation.
 TOKEN_BYTE = np.where(np.isin(np.arange(256), (0, 9, 10, 11, 12, 13, 32)), 0, np.arange(256)).astype(np.uint8)
 
-_powers: dict[str, np.ndarray] = {}
+def _power(base: np.uint64, n: int) -> np.ndarray:
+    """The first n powers of base modulo 2**64."""
+    out = np.full(n, base, np.uint64)
+    out[0] = 1
+    return np.cumprod(out, out=out)
 
 
-def _power(kind: str, base: np.uint64, n: int) -> np.ndarray:
-    """The first n powers of base modulo 2**64; kept up to a slice's length."""
-    have = _powers.get(kind)
-    if have is None or len(have) < n:
-        size = max(n, SLICE_BYTES)
-        have = np.full(size, base, np.uint64)
-        have[0] = 1
-        np.cumprod(have, out=have)
-        if size <= 2 * SLICE_BYTES:
-            _powers[kind] = have
-    return have[:n]
+def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
+    """The first n powers of the base and of its inverse; kept for a slice's length."""
+    if n > SLICE_BYTES:
+        return _power(_BASE, n), _power(_INVERSE, n)
+    both = held("powers", lambda: (_power(_BASE, SLICE_BYTES), _power(_INVERSE, SLICE_BYTES)))
+    return both[0][:n], both[1][:n]
 
 
 def mix(x: np.ndarray) -> np.ndarray:
@@ -119,8 +120,12 @@ def words(raw: np.ndarray, offsets: np.ndarray, table: np.ndarray = WORD_BYTE) -
     after[last[last > 0] - 1] = False
     ends = np.flatnonzero(inside & ~after) + 1
     total = np.zeros(n + 1, np.uint64)
-    np.cumsum((low.astype(np.uint64) + np.uint64(1)) * _power("forward", _BASE, n), out=total[1:])
-    hashes = mix((total[ends] - total[starts]) * _power("inverse", _INVERSE, n)[starts] + (ends - starts).astype(np.uint64))
+    forward, inverse = _powers(n)
+    value = low.astype(np.uint64)
+    value += np.uint64(1)
+    value *= forward
+    np.cumsum(value, out=total[1:])
+    hashes = mix((total[ends] - total[starts]) * inverse[starts] + (ends - starts).astype(np.uint64))
     return Words(hashes, starts, ends, np.searchsorted(starts, offsets))
 
 

@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from understory.llm.common import saved, shared_folder
+from understory.llm.common import map_arrow, saved, shared_folder
 
 MIN_REVISIT_BYTES = 100
 SEGMENT_BYTES = 64 << 10
@@ -135,7 +135,7 @@ def write(pages: DataFrame, path: str, min_bytes: int = MIN_REVISIT_BYTES, segme
             if made:
                 yield pa.RecordBatch.from_arrays([pa.array(made, pa.binary()).cast(pa.string(), safe=False)], names=["value"])
 
-    rows.mapInArrow(make, "value string").write.option("lineSep", _END).option("compression", "gzip").text(path)
+    map_arrow(rows, make, "value string").write.option("lineSep", _END).option("compression", "gzip").text(path)
 
 
 def _stream(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[dict[str, str], bytes]]:
@@ -238,10 +238,10 @@ def _reassemble(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def read(spark: SparkSession, path: str) -> DataFrame:
     """page_id, payload_bytes, payload_digest, record_type, refers_to, segments of each record set in a folder of archives."""
     lines = spark.read.option("lineSep", _END).text(path).select(F.col("value").cast("binary").alias("value"))
-    found = saved(lines.mapInArrow(_parse, RECORDS), "records")
+    found = saved(map_arrow(lines, _parse, RECORDS), "records")
     whole = found.where("number IS NULL").select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to", F.lit(1).cast("long").alias("segments"))
     parts = found.where("number IS NOT NULL").repartition("origin").sortWithinPartitions("origin", "number")
-    joined = parts.mapInArrow(_reassemble, "page_id long, payload_bytes long, payload_digest string, record_type string, refers_to long, segments long")
+    joined = map_arrow(parts, _reassemble, "page_id long, payload_bytes long, payload_digest string, record_type string, refers_to long, segments long")
     return whole.unionByName(joined)
 
 
