@@ -40,8 +40,8 @@ def block_pairs(rows: DataFrame, keys: list[str], id_col: str, block: int = BLOC
     return dealt.repartition(*keys, "i", "j").sortWithinPartitions(*keys, "i", "j", "side", id_col)
 
 
-def groups(batches: Iterator[pa.RecordBatch], keys: list[str]) -> Iterator[pa.RecordBatch]:
-    """The runs of rows with equal integer keys, across batches."""
+def whole_groups(batches: Iterator[pa.RecordBatch], keys: list[str]) -> Iterator[tuple[pa.RecordBatch, np.ndarray]]:
+    """(rows, bounds): batches of whole runs of rows with equal integer keys; run i is rows bounds[i]:bounds[i + 1]."""
     tail = None
     for batch in batches:
         if not batch.num_rows:
@@ -52,12 +52,20 @@ def groups(batches: Iterator[pa.RecordBatch], keys: list[str]) -> Iterator[pa.Re
         for k in keys:
             values = batch.column(k).to_numpy(zero_copy_only=False)
             change |= values[1:] != values[:-1]
-        cuts = [0, *(np.flatnonzero(change) + 1).tolist()]
+        cuts = np.concatenate([[0], np.flatnonzero(change) + 1])
+        if cuts[-1]:
+            yield batch.slice(0, int(cuts[-1])), cuts
+        tail = batch.slice(int(cuts[-1]))
+    if tail is not None:
+        yield tail, np.array([0, tail.num_rows])
+
+
+def groups(batches: Iterator[pa.RecordBatch], keys: list[str]) -> Iterator[pa.RecordBatch]:
+    """The runs of rows with equal integer keys, across batches."""
+    for batch, bounds in whole_groups(batches, keys):
+        cuts = bounds.tolist()
         for a, b in zip(cuts, cuts[1:], strict=False):
             yield batch.slice(a, b - a)
-        tail = batch.slice(cuts[-1])
-    if tail is not None:
-        yield tail
 
 
 def pairs(side: np.ndarray, crossed: bool) -> Iterator[tuple[np.ndarray, np.ndarray]]:

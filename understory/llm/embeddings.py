@@ -31,7 +31,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from understory.llm import blocks
-from understory.llm.common import components, saved
+from understory.llm.common import components, map_arrow, saved
 
 THRESHOLD = 0.95
 WIDTH = 1.2
@@ -118,45 +118,67 @@ def _hash(plan: Plan):
     return run
 
 
+def _units(vectors: pa.Array) -> tuple[np.ndarray, np.ndarray, list[np.ndarray]]:
+    """(length, place, matrices): row i is row place[i] of the matrix of its length."""
+    lengths = vectors.value_lengths().to_numpy(zero_copy_only=False)
+    place, matrices = np.empty(len(lengths), np.int64), {}
+    for d in np.unique(lengths).tolist():
+        rows = np.flatnonzero(lengths == d)
+        place[rows] = np.arange(len(rows))
+        matrices[d] = _unit(vectors.take(pa.array(rows)))
+    return lengths, place, matrices
+
+
+def _first_here(plan: Plan, table: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Which pairs of unit vectors share no table before the one given."""
+    same = plan.buckets(a) == plan.buckets(b)
+    return same.argmax(axis=1) >= np.where(same.any(axis=1), table, 0)
+
+
 def _compare(plan: Plan, threshold: float):
+    def large(out: list, unit: np.ndarray, table: int, ids: np.ndarray, copies: np.ndarray, side: np.ndarray, crossed: bool) -> None:
+        keys, links, ps, qs = None, np.zeros(len(ids), np.int64), [], []
+        for p, q in blocks.pairs(side, crossed):
+            close = np.einsum("ij,ij->i", unit[p], unit[q]) >= threshold
+            p, q = p[close], q[close]
+            if table and len(p):
+                keys = plan.buckets(unit) if keys is None else keys
+                first = ~(keys[p, :table] == keys[q, :table]).any(axis=1)
+                p, q = p[first], q[first]
+            np.add.at(links, p, copies[q])
+            np.add.at(links, q, copies[p])
+            ps.append(p)
+            qs.append(q)
+        if links.any():
+            root = blocks.roots(len(ids), np.concatenate(ps), np.concatenate(qs))
+            some = np.flatnonzero(links)
+            out.append((ids[some], links[some], ids[root[some]]))
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        out: list[tuple] = []
-        for group in blocks.groups(batches, [*KEYS, "dimension", "i", "j"]):
-            unit = _unit(group.column("vector"))
-            table, ids, copies = group.column("part")[0].as_py(), group.column("class").to_numpy(), group.column("copies").to_numpy()
-            side = group.column("side").to_numpy()
-            crossed = group.column("i")[0].as_py() != group.column("j")[0].as_py()
-            if len(ids) == 2:
-                if not (float(unit[0] @ unit[1]) >= threshold - 1e-6):
-                    continue
-            keys, links, ps, qs = None, np.zeros(len(ids), np.int64), [], []
-            for p, q in blocks.pairs(side, crossed):
-                close = np.einsum("ij,ij->i", unit[p], unit[q]) >= threshold
-                p, q = p[close], q[close]
-                if table and len(p):
-                    keys = plan.buckets(unit) if keys is None else keys
-                    first = ~(keys[p, :table] == keys[q, :table]).any(axis=1)
-                    p, q = p[first], q[first]
-                np.add.at(links, p, copies[q])
-                np.add.at(links, q, copies[p])
-                ps.append(p)
-                qs.append(q)
-            if links.any():
-                root = blocks.roots(len(ids), np.concatenate(ps), np.concatenate(qs))
-                out += [(int(ids[x]), int(links[x]), int(ids[root[x]])) for x in np.flatnonzero(links).tolist()]
-                if len(out) >= 50_000:
-                    yield _linked(out)
-                    out = []
-        if out:
-            yield _linked(out)
+        for batch, bounds in blocks.whole_groups(batches, [*KEYS, "dimension", "i", "j"]):
+            lengths, place, matrices = _units(batch.column("vector"))
+            table, ids, copies, side, i, j = (batch.column(c).to_numpy() for c in ("part", "class", "copies", "side", "i", "j"))
+            out: list[tuple] = []
+            sizes, heads = np.diff(bounds), bounds[:-1]
+            # pairs alone in their bucket, all at once
+            for d, unit in matrices.items():
+                two = heads[(sizes == 2) & (lengths[heads] == d)]
+                two = two[(i[two] == j[two]) | (side[two] != side[two + 1])]
+                p, q = place[two], place[two + 1]
+                near = np.flatnonzero(np.einsum("ij,ij->i", unit[p], unit[q]) >= threshold)
+                near = near[_first_here(plan, table[two[near]], unit[p[near]], unit[q[near]])]
+                a, b = two[near], two[near] + 1
+                out.append((np.concatenate([ids[a], ids[b]]), np.concatenate([copies[b], copies[a]]), np.concatenate([ids[a], ids[a]])))
+            for k in np.flatnonzero(sizes > 2).tolist():
+                rows = slice(bounds[k], bounds[k + 1])
+                head = bounds[k]
+                large(out, matrices[int(lengths[head])][place[rows]], int(table[head]), ids[rows], copies[rows], side[rows], i[head] != j[head])
+            if any(len(x[0]) for x in out):
+                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c)) for c in zip(*out, strict=True)], names=["class", "links", "root"])
 
     return run
 
 
-def _linked(rows: list[tuple]) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*rows, strict=True)], names=["class", "links", "root"])
-
-
 def link(vectors: DataFrame, threshold: float = THRESHOLD, id_col: str = "vec_id", vector_col: str = "embedding") -> DataFrame:
     """id, n_links, component_id, kept of each row of vectors.
 
@@ -168,11 +190,11 @@ def link(vectors: DataFrame, threshold: float = THRESHOLD, id_col: str = "vec_id
     classes = rows.where("vector IS NOT NULL").groupBy("vector").agg(F.min("row").alias("class"), F.count("*").alias("copies"), F.min("id").alias("least"))
     classes = saved(classes, "vector-classes")
     plan = plan_for(classes.count(), threshold)
-    buckets = classes.select("class", "vector").mapInArrow(_hash(plan), "class long, buckets array<long>")
+    buckets = map_arrow(classes.select("class", "vector"), _hash(plan), "class long, buckets array<long>")
     shared = blocks.shared_buckets(buckets.select("class", F.posexplode("buckets").alias("part", "bucket")), KEYS)
     shared = shared.join(classes.select("class", "vector", "copies", F.size("vector").alias("dimension")), "class")
     dealt = blocks.block_pairs(shared, [*KEYS, "dimension"], "class")
-    links = saved(dealt.mapInArrow(_compare(plan, threshold), "class long, links long, root long"), "vector-links")
+    links = saved(map_arrow(dealt, _compare(plan, threshold), "class long, links long, root long"), "vector-links")
     counts = links.groupBy("class").agg(F.sum("links").alias("links"))
     found = components(links, "class", "root").withColumnRenamed("node", "class")
     least = found.join(classes.select("class", "least"), "class").groupBy("component").agg(F.min("least").alias("component_id"))
