@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from understory.functions.aggregates import gini, moments
+from understory.functions.aggregates import gini
 from understory.functions.scalars import bucket, safe_xy_scale
 from understory.operators import grid, results, segments, terrain, voxels
 from understory.plans import oracle, virtual
@@ -164,7 +164,6 @@ def nondegenerate_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
 def queries() -> dict[str, Query]:
     """Each query by name, in the order of the operator survey."""
     p = P
-    z = lambda names: lambda v: voxels.height_moments(v, p).select("tile_id", *names)
     return {
         "scan_points": lambda s, d: rounded(virtual.cloud(s, d)),
         "point_extent": lambda s, d: points.extent(virtual.cloud(s, d)),
@@ -183,8 +182,8 @@ def queries() -> dict[str, Query]:
         "tile_voxels": _per_tile(lambda v: v, "vx", "vy", "vz"),
         "tile_density": _per_tile(lambda v: voxels.density(v, p), "vox_filled", "vox_total", "veg_density"),
         "tile_heights": _per_tile(lambda v: voxels.heights(v, p), "height_max", "height_mean"),
-        "tile_moments": _per_tile(z([n for n in moments("z") if n != "zq90"]), "zsd", "zskew", "zkurt"),
-        "tile_zq90": _per_tile(z(["zq90"]), "zq90"),
+        "tile_moments": _per_tile(lambda v: voxels.height_moments(v, p), "zsd", "zskew", "zkurt"),
+        "tile_zq90": _per_tile(lambda v: voxels.height_moments(v, p), "zq90"),
         "tile_box_counts": _per_tile(lambda v: voxels.box_counts(v, p), "factor", "boxes"),
         "tile_box_dimension": _per_tile(lambda v: voxels.box_dimension(v, p), "box_dim_fixed"),
         "tile_layers": _per_tile(lambda v: voxels.layer_counts(v, p), "layer", "n"),
