@@ -22,21 +22,33 @@ def moments(z: str) -> dict[str, Column]:
     }
 
 
-def gini(rows: DataFrame, keys: list[str], value: str, name: str) -> DataFrame:
-    """(keys, name): Gini coefficient of the values of a group, corrected by n / (n - 1).
+def ranked(rows: DataFrame, keys: list[str], values: list[str]) -> DataFrame:
+    """rows with what gini_of() needs of each value: its place in the group, and it less the least negative one.
 
-    Nulls don't count; fewer than two values give null; negative values are shifted by
-    the least one; a total of zero gives 0.  Values are ranked by a window, so a group
-    isn't gathered.
+    Values are ranked by windows over the same keys, so one shuffle serves all of them
+    and a group isn't gathered in an array.
     """
     by = Window.partitionBy(*keys)
-    v = rows.where(F.col(value).isNotNull()).select(*keys, F.col(value).cast("double").alias("_v"))
-    v = v.withColumn("_v", F.col("_v") - F.least(F.min("_v").over(by), F.lit(0.0)))
-    v = v.withColumn("_i", F.row_number().over(by.orderBy("_v")).cast("double"))
-    n, total = F.count("_v").cast("double"), F.sum("_v")
-    raw = 2 * F.sum(F.col("_i") * F.col("_v")) / (n * total) - (n + 1) / n
-    result = F.when(F.count("_v") < 2, None).when(total == 0, 0.0).otherwise(raw * n / (n - 1))
-    return v.groupBy(*keys).agg(result.alias(name))
+    for v in values:
+        rows = rows.withColumn(f"_{v}", F.col(v).cast("double") - F.least(F.min(F.col(v).cast("double")).over(by), F.lit(0.0)))
+        rows = rows.withColumn(f"_{v}_place", F.when(F.col(v).isNotNull(), F.row_number().over(by.orderBy(F.col(v).asc_nulls_last()))).cast("double"))
+    return rows
+
+
+def gini_of(value: str) -> Column:
+    """Gini coefficient of a group of ranked() rows, corrected by n / (n - 1).
+
+    Nulls don't count; fewer than two values give null; a total of zero gives 0.
+    """
+    v, place = F.col(f"_{value}"), F.col(f"_{value}_place")
+    n, total = F.count(v).cast("double"), F.sum(v)
+    raw = 2 * F.sum(place * v) / (n * total) - (n + 1) / n
+    return F.when(F.count(v) < 2, None).when(total == 0, 0.0).otherwise(raw * n / (n - 1))
+
+
+def gini(rows: DataFrame, keys: list[str], value: str, name: str) -> DataFrame:
+    """(keys, name): Gini coefficient of the values of a group."""
+    return ranked(rows, keys, [value]).groupBy(*keys).agg(gini_of(value).alias(name))
 
 
 def entropy_share(counts: DataFrame, keys: list[str], count: str, levels: int, name: str) -> DataFrame:

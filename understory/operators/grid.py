@@ -142,10 +142,13 @@ def lattice_join(points: DataFrame, tiles: DataFrame, x: str = "x", y: str = "y"
     side = F.broadcast(side) if n <= BROADCAST_TILES else side
     placed = points
     for c, name, origin in ((x, "_i", x0), (y, "_j", y0)):
-        i = F.floor((F.col(c) - F.lit(origin)) / F.lit(size))
-        placed = placed.withColumn(name, i)
-        low = F.lit(origin) + F.col(name) * F.lit(size)
-        placed = placed.withColumn(name, F.when(F.col(c) < low, F.col(name) - 1).when(F.col(c) >= low + F.lit(size), F.col(name) + 1).otherwise(F.col(name)).cast("long"))
+        u = (F.col(c) - F.lit(origin)) / F.lit(size)
+        if how == "inner":
+            # one place, or both beside a border that division may round across
+            placed = placed.withColumn(name, F.explode(F.sequence(F.floor(u - 1e-9).cast("long"), F.floor(u + 1e-9).cast("long"))))
+        else:
+            low = F.lit(origin) + F.floor(u) * F.lit(size)
+            placed = placed.withColumn(name, F.when(F.col(c) < low, F.floor(u) - 1).when(F.col(c) >= low + F.lit(size), F.floor(u) + 1).otherwise(F.floor(u)).cast("long"))
     joined = placed.alias("p").join(
         side.alias("t"),
         (F.col("p._i") == F.col("t._i")) & (F.col("p._j") == F.col("t._j")) & (F.col(f"p.{x}") >= F.col("t._x0")) & (F.col(f"p.{x}") < F.col("t._x1")) & (F.col(f"p.{y}") >= F.col("t._y0")) & (F.col(f"p.{y}") < F.col("t._y1")),

@@ -7,7 +7,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from understory.functions.aggregates import arg_max, gini
+from understory.functions.aggregates import arg_max, gini_of, ranked
 from understory.functions.scalars import fail_reason, finite, in_cells
 from understory.operators.grid import lattice_join
 from understory.operators.voxels import within_heights
@@ -151,14 +151,9 @@ def assign_tiles(segments: DataFrame, tiles: DataFrame) -> DataFrame:
 
 def tree_metrics(segments: DataFrame) -> DataFrame:
     """(tile_id, n_seg_total, n_trees, tree_*) of tiles with segments; measures are of accepted ones."""
-    placed = segments.where("tile_id IS NOT NULL")
-    tree = F.col("is_tree")
     measures = {"height": "apex_z", "crownarea": "crown_area", "volume": "voxel_volume"}
-    aggs = [F.count("*").cast("int").alias("n_seg_total"), F.count_if(tree).cast("int").alias("n_trees")]
-    for name, c in measures.items():
-        aggs += [F.max(F.when(tree, F.col(c))).alias(f"tree_{name}_max"), F.avg(F.when(tree, F.col(c))).alias(f"tree_{name}_mean")]
-    out = placed.groupBy("tile_id").agg(*aggs)
-    accepted = placed.where(tree)
-    for name, c in measures.items():
-        out = out.join(gini(accepted, ["tile_id"], c, f"tree_{name}_gini"), "tile_id", "left")
-    return out
+    placed = segments.where("tile_id IS NOT NULL").select("tile_id", "is_tree", *(F.when(F.col("is_tree"), F.col(c)).alias(n) for n, c in measures.items()))
+    aggs = [F.count("*").cast("int").alias("n_seg_total"), F.count_if("is_tree").cast("int").alias("n_trees")]
+    for name in measures:
+        aggs += [F.max(name).alias(f"tree_{name}_max"), F.avg(name).alias(f"tree_{name}_mean"), gini_of(name).alias(f"tree_{name}_gini")]
+    return ranked(placed, ["tile_id"], list(measures)).groupBy("tile_id").agg(*aggs)

@@ -113,12 +113,10 @@ def _ground_points(xyz: np.ndarray, seed: float, angle: float, distance: float)
     mask = np.zeros(len(xyz), bool)
     if len(xyz) < 3:
         return mask
+    everything, whole, thin = xyz, mask, _lowest(xyz, seed / 40)
+    xyz, mask = xyz[thin], np.zeros(len(thin), bool)  # ground grows through the lowest point of each small cell
     origin = xyz[:, :2].min(axis=0)
-    cell = np.floor((xyz[:, :2] - origin) / seed).astype(np.int64)
-    order = np.lexsort((xyz[:, 1], xyz[:, 0], xyz[:, 2], cell[:, 1], cell[:, 0]))
-    first = np.ones(len(order), bool)
-    first[1:] = (cell[order][1:] != cell[order][:-1]).any(axis=1)
-    mask[order[first]] = True
+    mask[_lowest(xyz, seed)] = True
     # the chunk's corners at the height of the nearest seeds, so that every point is inside
     limit = math.tan(math.radians(angle))
     for _ in range(30):
@@ -145,8 +143,18 @@ def _ground_points(xyz: np.ndarray, seed: float, angle: float, distance: float)
         first = np.ones(len(order), bool)
         first[1:] = (quarter[order][1:] != quarter[order][:-1]).any(axis=1)
         mask[good[order[first]]] = True
-    surface, at = interpolate(base, triangles, xyz[:, :2])
-    return mask | ((at >= 0) & (np.abs(xyz[:, 2] - surface) <= 0.1))
+    surface, at = interpolate(base, triangles, everything[:, :2])
+    whole[thin[mask]] = True
+    return whole | ((at >= 0) & (np.abs(everything[:, 2] - surface) <= 0.1))
+
+
+def _lowest(xyz: np.ndarray, size: float) -> np.ndarray:
+    """Index of the lowest point of each square cell; of equal ones least x, then y."""
+    cell = np.floor((xyz[:, :2] - xyz[:, :2].min(axis=0)) / size).astype(np.int64)
+    order = np.lexsort((xyz[:, 1], xyz[:, 0], xyz[:, 2], cell[:, 1], cell[:, 0]))
+    first = np.ones(len(order), bool)
+    first[1:] = (cell[order][1:] != cell[order][:-1]).any(axis=1)
+    return order[first]
 
 
 def tin_raster(points: DataFrame, x0: float, y0: float, resolution: float, chunk: float, keys: tuple[str, ...] = ("chunk_x", "chunk_y")) -> DataFrame:
