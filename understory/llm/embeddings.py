@@ -40,6 +40,9 @@ SEED = 51
 KEYS = ["part", "bucket"]
 #: Bits after the point that coordinates and projections keep.
 _BITS = 20
+#: Rows of a bucket whose pairs are taken up with those of other buckets, and pairs at once.
+SMALL = 64
+PAIRS = 1 << 16
 
 
 @dataclass(frozen=True)
@@ -129,6 +132,22 @@ def _units(vectors: pa.Array) -> tuple[np.ndarray, np.ndarray, list[np.ndarray]]
     return lengths, place, matrices
 
 
+def _pairs_within(bounds: np.ndarray, groups: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Index arrays of all pairs of rows within the marked groups, about PAIRS at a time."""
+    sizes = np.diff(bounds)
+    rows = np.flatnonzero(np.repeat(groups, sizes)) + bounds[0]
+    later = np.repeat(bounds[1:], sizes)[rows - bounds[0]] - 1 - rows
+    total = np.cumsum(later)
+    at = 0
+    while at < len(rows):
+        end = max(at + 1, int(np.searchsorted(total, (total[at - 1] if at else 0) + PAIRS, side="right")))
+        n = later[at:end]
+        p = np.repeat(rows[at:end], n)
+        if len(p):
+            yield p, p + 1 + np.arange(len(p)) - np.repeat(np.cumsum(n) - n, n)
+        at = end
+
+
 def _first_here(plan: Plan, table: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
     """Which pairs of unit vectors share no table before the one given."""
     same = plan.buckets(a) == plan.buckets(b)
@@ -160,16 +179,25 @@ def _compare(plan: Plan, threshold: float):
             table, ids, copies, side, i, j = (batch.column(c).to_numpy() for c in ("part", "class", "copies", "side", "i", "j"))
             out: list[tuple] = []
             sizes, heads = np.diff(bounds), bounds[:-1]
-            # pairs alone in their bucket, all at once
-            for d, unit in matrices.items():
-                two = heads[(sizes == 2) & (lengths[heads] == d)]
-                two = two[(i[two] == j[two]) | (side[two] != side[two + 1])]
-                p, q = place[two], place[two + 1]
-                near = np.flatnonzero(np.einsum("ij,ij->i", unit[p], unit[q]) >= threshold)
-                near = near[_first_here(plan, table[two[near]], unit[p[near]], unit[q[near]])]
-                a, b = two[near], two[near] + 1
-                out.append((np.concatenate([ids[a], ids[b]]), np.concatenate([copies[b], copies[a]]), np.concatenate([ids[a], ids[a]])))
-            for k in np.flatnonzero(sizes > 2).tolist():
+            small = (sizes <= SMALL) & (i[heads] == j[heads])
+            ps, qs = [], []
+            for p, q in _pairs_within(bounds, small):
+                for d, unit in matrices.items():
+                    mine = lengths[p] == d
+                    a, b = (p[mine], q[mine]) if not mine.all() else (p, q)
+                    near = np.einsum("ij,ij->i", unit[place[a]], unit[place[b]]) >= threshold
+                    a, b = a[near], b[near]
+                    first = _first_here(plan, table[a], unit[place[a]], unit[place[b]])
+                    ps.append(a[first])
+                    qs.append(b[first])
+            if ps:
+                p, q = np.concatenate(ps), np.concatenate(qs)
+                some, where = np.unique(np.concatenate([p, q]), return_inverse=True)
+                p, q, links = where[: len(p)], where[len(p) :], np.zeros(len(some), np.int64)
+                np.add.at(links, p, copies[some[q]])
+                np.add.at(links, q, copies[some[p]])
+                out.append((ids[some], links, ids[some[blocks.roots(len(some), p, q)]]))
+            for k in np.flatnonzero(~small).tolist():
                 rows = slice(bounds[k], bounds[k + 1])
                 head = bounds[k]
                 large(out, matrices[int(lengths[head])][place[rows]], int(table[head]), ids[rows], copies[rows], side[rows], i[head] != j[head])
