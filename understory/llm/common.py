@@ -146,7 +146,7 @@ def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     alone = current.where("u = v").select(F.col("u").alias("node"), F.col("v").alias("component"))
     first = current
     current = current.where("u <> v")
-    state = _state(current)
+    state, before = _state(current), None
     while state[0]:
         both = current.select("u", "v").unionAll(current.select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
@@ -156,8 +156,10 @@ def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
         least = large.groupBy("u").agg(F.min("v").alias("m"))
         small = large.join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v")
         small = small.unionAll(least.select("u", F.col("m").alias("v"))).distinct()
-        current = saved(small, "edges")
-        now = _state(current)
+        previous, current = before, saved(small, "edges")
+        if previous is not None:
+            drop_saved(previous)
+        before, now = current, _state(current)
         if now == state:
             break
         state = now

@@ -32,6 +32,9 @@ from understory.llm.common import held, with_text_columns
 #: Bounds of the learning sample for each language: documents, and normalised characters.
 SAMPLE_DOCS = 64
 SAMPLE_CHARS = 40_000
+#: Bounds over all languages: the most frequent ones, and normalised characters they share.
+MAX_LANGUAGES = 200
+ALL_CHARS = 320_000
 #: Characters of texts that are parsed side by side.
 PARSE_CHARS = 12 << 20
 #: Characters a table has codes for at most; rarer ones count as unknown letters.
@@ -53,10 +56,16 @@ def normalise(text: str) -> str:
 def sample(docs: DataFrame, train: Column, id_col: str = "doc_id", docs_each: int = SAMPLE_DOCS, chars: int = SAMPLE_CHARS) -> dict[str, str]:
     """Normalised learning text of each language: a bounded sample, the same at each run.
 
-    The docs_each rows of least hash for each language; a row gives its first
-    characters up to what the bound can use.
+    The docs_each rows of least hash for each of the MAX_LANGUAGES most frequent
+    languages; a row gives its first characters up to what the bound can use.  With
+    more than ALL_CHARS / chars languages each has an equal share of ALL_CHARS.
     """
     rows = docs.where(train & F.col("lang").isNotNull() & F.col("text").isNotNull())
+    known = [r[0] for r in rows.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(MAX_LANGUAGES).collect()]
+    if not known:
+        return {}
+    chars = min(chars, ALL_CHARS // len(known))
+    rows = rows.where(F.col("lang").isin(known))
     rank = Window.partitionBy("lang").orderBy(F.xxhash64(id_col), F.col(id_col))
     ids = rows.select(id_col, "lang").withColumn("_r", F.row_number().over(rank)).where(F.col("_r") <= docs_each).select(id_col).collect()
     chosen = sorted({r[0] for r in ids if r[0] is not None})
