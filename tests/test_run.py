@@ -167,3 +167,31 @@ def test_folder_must_be_writable(spark, tmp_path):
     df = spark.createDataFrame([(0.0, 0.0, 0.0), (1.0, 1.0, 1.0)], "x double, y double, z double")
     with pytest.raises(ValueError, match="cannot be written"):
         run(spark, df, str(tmp_path / "missing"), Parameters())
+
+
+def test_two_runs_are_the_same(spark, tmp_path):
+    from understory.plans import compare
+    from understory.sources import synthetic
+
+    folders = []
+    df = synthetic.forest(spark, 4000, 40.0).persist()
+    box = synthetic.aoi_box(40.0)
+    for i in range(2):
+        (tmp_path / str(i)).mkdir()
+        aoi = write_aoi(tmp_path / "a.geojson", feature(polygon(*box)))
+        run(spark, df.repartition(3 + i), str(tmp_path / str(i)), Parameters(performance_report=True), aoi)
+        folders.append(str(tmp_path / str(i)))
+    assert compare.csv_differences(f"{folders[0]}/1_PredInstance_results.csv", f"{folders[1]}/1_PredInstance_results.csv") == []
+    assert compare.same_raster(f"{folders[0]}/1_dtm.tif", f"{folders[1]}/1_dtm.tif")
+    assert set(compare.different_files(*folders)) <= {"1_dtm.tif"}
+    rows = read_csv(f"{folders[0]}/1_PredInstance_results.csv")
+    assert len(rows) == 4 and all(int(r["n_seg_total"]) == 1 for r in rows)
+
+
+def test_differences_of_relations(spark):
+    from understory.plans import compare
+
+    a = spark.createDataFrame([(1, 1.0, "x"), (2, None, "y"), (3, 5.0, "z")], "k int, v double, s string")
+    b = spark.createDataFrame([(1, 1.0 + 1e-12, "x"), (2, None, "w"), (4, 5.0, "z")], "k int, v double, s string")
+    got = sorted((r["k"], r["column"]) for r in compare.differences(a, b, ["k"]).collect())
+    assert got == [(2, "s"), (3, "s"), (3, "v"), (4, "s"), (4, "v")]

@@ -263,3 +263,4 @@ SQL = {
 SELECT event_type AS raw, CASE lower(trim(event_type)) WHEN 'include' THEN 'inclusion' WHEN 'inclusion' THEN 'inclusion' WHEN 'exclude' THEN 'exclusion' WHEN 'exclusion' THEN 'exclusion' END AS role, count(*) AS features
 FROM (SELECT CASE n_nationkey % 4 WHEN 0 THEN ' Include' WHEN 1 THEN 'INCLUSION ' WHEN 2 THEN 'exclude' ELSE 'Exclusion' END AS event_type FROM nation) GROUP BY ALL""",
 }
+SQL["stream_segments"] = SQL["partial_final_segments"]

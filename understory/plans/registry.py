@@ -13,6 +13,7 @@ from understory.operators import grid, results, segments, terrain, voxels
 from understory.plans import oracle, virtual
 from understory.plans.virtual import AOI, EXCLUSION, FILE, WIDE_AOI, P, rounded
 from understory.sources import aoi, points
+from understory.streaming.ingest import SegmentIngest, state_folder
 
 Query = Callable[[SparkSession, str], DataFrame]
 X0, Y0 = points.ORIGIN_X, points.ORIGIN_Y
@@ -123,6 +124,19 @@ def partial_final_segments(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rounded(segments.merge([segments.apexes(rows), vox, segments.layer_totals(segments.layers(rows))]))
 
 
+def stream_segments(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Segments of the order lines as a stream, through partials of its batches."""
+    lines = spark.read.parquet(f"{sf_dir}/lineitem.parquet")
+    stream = spark.readStream.schema(lines.schema).option("pathGlobFilter", "lineitem.parquet").parquet(sf_dir)
+    columns = ["pid", "x", "y", "h", *virtual.DIMENSIONS]
+    long = points.unpivot(points.virtual_of(stream).select(*columns), virtual.DIMENSIONS)
+    folder = state_folder(spark)
+    ingest = SegmentIngest(f"{folder}/state", P)
+    query = ingest.start(long, f"{folder}/checkpoint")
+    query.awaitTermination()
+    return rounded(ingest.segments(spark))
+
+
 def snap_bounds(spark: SparkSession, sf_dir: str) -> DataFrame:
     return terrain.snapped_bounds(points.extent(virtual.cloud(spark, sf_dir)), P.chm_resolution).select("gx0", "gy0", "gx1", "gy1")
 
@@ -211,6 +225,7 @@ def queries() -> dict[str, Query]:
         "tile_results": tile_results,
         "union_distinct_chunks": union_distinct_chunks,
         "partial_final_segments": partial_final_segments,
+        "stream_segments": stream_segments,
         "snap_bounds": snap_bounds,
         "safe_scale": safe_scale,
         "aoi_roles": aoi_roles,

@@ -100,6 +100,8 @@ def run(spark: SparkSession, cloud: DataFrame | str, folder: str, p: Parameters,
         log.info("grid: %d tiles", n_tiles)
     r = p.dtm_resolution
     box = terrain.snapped_bounds(points.extent(cloud), r).select("gx0", "gy0", "gx1", "gy1").first()
+    if not terrain.covers(tuple(box), extent, r):
+        raise ValueError("the raster does not cover the points")
     with _timed(timings, "dtm"):
         classified = "classification" in cloud.columns and bool(cloud.where("classification = 2").limit(3).count() == 3)
         dtm = terrain.terrain(cloud, box[0], box[1], r, p.dtm_chunk_size, p.dtm_buffer, p.ptd_resolution, classified).persist()
@@ -131,7 +133,8 @@ def run(spark: SparkSession, cloud: DataFrame | str, folder: str, p: Parameters,
             own = params.artifacts(folder, p.dataset_id, d)
             mine = None if table is None or d is None else table.where(F.col("instance_dimension") == d)
             rows = results.tile_results(tiles, metrics, None if mine is None else segments.tree_metrics(mine), p, name).persist()
-            tables.write_csv(rows, own["results"], ["tile_id"])
+            if tables.write_csv(rows, own["results"], ["tile_id"]) != n_tiles:
+                raise RuntimeError("the results do not have one row for each tile")
             tables.write_geojson(rows, own["tiles"], p.tile_size, f"urn:ogc:def:crs:EPSG::{epsg}" if epsg else None)
             diagnostics = spark.createDataFrame([], results.DIAGNOSTICS) if mine is None else results.segment_diagnostics(mine, name)
             tables.write_csv(diagnostics, own["diagnostics"], ["PredInstance"])

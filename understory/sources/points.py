@@ -34,11 +34,15 @@ def ground(x: Column, y: Column) -> Column:
 
 
 def virtual(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A deterministic cloud of 60 m by 60 m from order lines: pid, x, y, z, h and two segment ids.
+    """The deterministic cloud over the order lines of a folder."""
+    return virtual_of(spark.read.parquet(f"{sf_dir}/lineitem.parquet"))
+
+
+def virtual_of(lines: DataFrame) -> DataFrame:
+    """A cloud of 60 m by 60 m from order lines, streamed ones too: pid, x, y, z, h and two segment ids.
 
     Millimetres are computed in integers; h is the height above the ground plane.
     """
-    lines = spark.read.parquet(f"{sf_dir}/lineitem.parquet")
     order, line, part, supplier = (F.col(c) for c in ("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey"))
     p = lines.select(
         (order * 10 + line).alias("pid"),

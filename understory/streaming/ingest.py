@@ -7,6 +7,9 @@ run again writes the same place.  Merging reads all partials.
 
 from __future__ import annotations
 
+import tempfile
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -53,3 +56,9 @@ def heights_by_window(stream: DataFrame, time: str, watermark: str = "10 minutes
     """(window, n, height_max, height_mean) of timed points; late ones count until the watermark passes."""
     timed = stream.withWatermark(time, watermark).groupBy(F.window(time, window))
     return timed.agg(F.count("*").alias("n"), F.max("h").alias("height_max"), F.avg("h").alias("height_mean"))
+
+
+def state_folder(spark: SparkSession) -> str:
+    """A new folder in spark.checkpoint.dir; a temporary one only where that is unset, on one machine."""
+    shared = spark.conf.get("spark.checkpoint.dir", None) or "file://" + tempfile.mkdtemp(prefix="understory-")
+    return f"{shared.rstrip('/')}/understory/stream-{uuid.uuid4().hex}"
