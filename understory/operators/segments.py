@@ -87,17 +87,17 @@ def _vector(c: dict[str, Column], value: Column) -> Column:
 def extents(voxel_rows: DataFrame, p: Parameters) -> DataFrame:
     """(keys, pca_extent_1..3): range of the voxels along their principal axes; null for fewer than 3 voxels.
 
-    One aggregation for the covariances, a closed-form eigen-decomposition, and one
-    for the ranges; no Python.  The axis of the least value is the cross product of
-    the others, so equal values still give a right-angled frame.
+    One aggregation for means and covariances, a closed-form eigen-decomposition, and
+    one for the ranges along the axes, from the mean; no Python.  The middle axis is the
+    cross product of the others, so equal values still give a right-angled frame.
     """
     r = F.lit(p.voxel_resolution)
-    first = voxel_rows.groupBy(*KEYS).agg(F.min("voxel_x").alias("_x"), F.min("voxel_y").alias("_y"), F.min("voxel_z").alias("_z"))
-    near = voxel_rows.join(first, KEYS).select(*KEYS, *(((F.col(f"voxel_{c}") - F.col(f"_{c}")) * r).alias(c) for c in "xyz"))
+    at = voxel_rows.select(*KEYS, *((F.col(f"voxel_{c}") * r).alias(c) for c in "xyz"))
     names = ("xx", "xy", "xz", "yy", "yz", "zz")
-    stats = near.groupBy(*KEYS).agg(F.count("*").alias("_n"), *(F.covar_pop(n[0], n[1]).alias(n) for n in names))
+    stats = at.groupBy(*KEYS).agg(F.count("*").alias("_n"), *(F.avg(c).alias(f"m{c}") for c in "xyz"), *(F.covar_pop(n[0], n[1]).alias(n) for n in names))
     c = {n: F.col(n) for n in names}
-    stats = stats.select(*KEYS, "_n", *names, *(v.alias(f"l{i}") for i, v in enumerate(_eigen(c), 1)))
+    means = [f"m{k}" for k in "xyz"]
+    stats = stats.select(*KEYS, "_n", *means, *names, *(v.alias(f"l{i}") for i, v in enumerate(_eigen(c), 1)))
     stats = stats.withColumn("v1", _vector(c, F.col("l1"))).withColumn("v3", _vector(c, F.col("l3")))
     tiny = F.lit(1e-18)
 
@@ -105,13 +105,13 @@ def extents(voxel_rows: DataFrame, p: Parameters) -> DataFrame:
         n = F.sqrt(F.col(f"{v}.n"))
         return [F.when(F.col(f"{v}.n") > tiny, F.col(f"{v}.{k}") / n).otherwise(F.lit(o)) for k, o in zip("xyz", other, strict=True)]
 
-    frame = stats.select(*KEYS, "_n", *(x.alias(f"a{k}") for x, k in zip(unit("v1", (1.0, 0.0, 0.0)), "xyz", strict=True)), *(x.alias(f"c{k}") for x, k in zip(unit("v3", (0.0, 0.0, 1.0)), "xyz", strict=True)))
+    frame = stats.select(*KEYS, "_n", *means, *(x.alias(f"a{k}") for x, k in zip(unit("v1", (1.0, 0.0, 0.0)), "xyz", strict=True)), *(x.alias(f"c{k}") for x, k in zip(unit("v3", (0.0, 0.0, 1.0)), "xyz", strict=True)))
     cross = [F.col("cy") * F.col("az") - F.col("cz") * F.col("ay"), F.col("cz") * F.col("ax") - F.col("cx") * F.col("az"), F.col("cx") * F.col("ay") - F.col("cy") * F.col("ax")]
     frame = frame.withColumns({f"b{k}": x for k, x in zip("xyz", cross, strict=True)})
-    turned = near.join(frame, KEYS)
+    turned = at.join(frame, KEYS)
     spans = []
     for i, axis in enumerate("abc", 1):
-        along = sum((F.col(k) * F.col(f"{axis}{k}") for k in "xyz"), F.lit(0.0))
+        along = sum(((F.col(k) - F.col(f"m{k}")) * F.col(f"{axis}{k}") for k in "xyz"), F.lit(0.0))
         spans.append(F.when(F.max("_n") >= 3, F.max(along) - F.min(along)).alias(f"pca_extent_{i}"))
     return turned.groupBy(*KEYS).agg(*spans)
 

@@ -99,17 +99,13 @@ def rumple(cells: DataFrame, p: Parameters) -> DataFrame:
 
     Every square of four neighbouring observed cells is split into two triangles
     through the cell centres; the index is their summed area over their summed ground
-    area.  Neighbours come from equi-joins on the cell; tiles without a whole square
-    have no row.
+    area.  Each cell is sent to the four squares it is a corner of, so corners meet in
+    one aggregation; tiles without a whole square have no row.
     """
     r = p.chm_resolution
-
-    def shifted(dx: int, dy: int, name: str) -> DataFrame:
-        return cells.select("tile_id", (F.col("cx") - dx).alias("cx"), (F.col("cy") - dy).alias("cy"), F.col("top").alias(name))
-
-    squares = cells.withColumnRenamed("top", "a")
-    for dx, dy, name in ((1, 0, "b"), (0, 1, "c"), (1, 1, "d")):
-        squares = squares.join(shifted(dx, dy, name), ["tile_id", "cx", "cy"])
+    corners = F.array(*(F.struct((F.col("cx") - dx).alias("cx"), (F.col("cy") - dy).alias("cy"), F.lit(name).alias("corner")) for name, dx, dy in (("a", 0, 0), ("b", 1, 0), ("c", 0, 1), ("d", 1, 1))))
+    sent = cells.select("tile_id", "top", F.inline(corners))
+    squares = sent.groupBy("tile_id", "cx", "cy").agg(F.count("*").alias("n"), *(F.max(F.when(F.col("corner") == k, F.col("top"))).alias(k) for k in "abcd")).where("n = 4")
 
     def triangle(first: str, right: str, second: str) -> F.Column:
         """Area of the triangle of a corner and its two neighbours across a right angle of sides r."""
