@@ -14,7 +14,7 @@ from pyspark.sql import types as T
 
 
 #: Bytes of an Arrow batch of texts: what a Python worker and its executor buffer.
-BATCH_BYTES = 8 << 20
+BATCH_BYTES = 4 << 20
 _BATCH = "spark.sql.execution.arrow.maxBytesPerBatch"
 
 

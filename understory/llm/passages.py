@@ -376,8 +376,9 @@ def passages(docs: DataFrame) -> DataFrame:
     few = F.broadcast(asked) if total <= BROADCAST_BLOCKS else asked
     words = map_arrow(texts.join(few, F.col("key") == F.col("of")).select("key", "text", "blocks"), _word_blocks, "of long, block int, words binary")
     fetched = wanted.join(words, ["of", "block"])
-    detail = chains.select("chain", "key", "first", "runs", "first_runs", "lengths")
-    ready = fetched.join(detail, "chain").select("chain", "side", "block", "words", "key", "first", "runs", "first_runs", "lengths")
+    # what a chain is goes with one row of it: its first block
+    at_first = chains.select("chain", F.lit(0).alias("side"), (F.greatest(F.col("start") - MARGIN, F.lit(0)) / BLOCK).cast("int").alias("block"), "key", "first", "runs", "first_runs", "lengths")
+    ready = fetched.join(at_first, ["chain", "side", "block"], "left").select("chain", "side", "block", "words", "key", "first", "runs", "first_runs", "lengths")
     ready = ready.repartition("chain").sortWithinPartitions("chain", "side", "block")
     return map_arrow(ready, _align, PASSAGES)
 
