@@ -80,12 +80,19 @@ def shared_folder(spark: SparkSession) -> str:
     return folder.rstrip("/")
 
 
-def saved(df: DataFrame, name: str) -> DataFrame:
+#: Narrow rows that a file of a table holds where their number is known beforehand.
+FILE_ROWS = 200_000
+
+
+def saved(df: DataFrame, name: str, rows: int | None = None) -> DataFrame:
     """df written as Parquet in the shared folder and read again: lineage ends there.
 
-    The files outlive executors; a lost task reads them again.
+    The files outlive executors; a lost task reads them again.  rows: a bound of the
+    number of (narrow) rows, for no more files than they need.
     """
     spark = df.sparkSession
+    if rows is not None:
+        df = df.coalesce(max(1, -(-rows // FILE_ROWS)))
     path = f"{shared_folder(spark)}/understory/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
@@ -156,7 +163,7 @@ def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
         least = large.groupBy("u").agg(F.min("v").alias("m"))
         small = large.join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v")
         small = small.unionAll(least.select("u", F.col("m").alias("v"))).distinct()
-        previous, current = before, saved(small, "edges")
+        previous, current = before, saved(small, "edges", state[0])
         if previous is not None:
             drop_saved(previous)
         before, now = current, _state(current)

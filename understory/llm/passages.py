@@ -398,8 +398,7 @@ def repeats(docs: DataFrame) -> DataFrame:
     spans: word ranges, merged and ordered; firsts: the earlier documents' keys; as many
     as a document has passages at most.
     """
-    found = saved(passages(docs), "passages")
-    grouped = found.groupBy(F.col("key").alias("_key")).agg(
+    grouped = passages(docs).groupBy(F.col("key").alias("_key")).agg(
         F.array_sort(F.collect_set(F.struct("start", "end"))).alias("_spans"), F.array_sort(F.collect_set("first")).alias("firsts"), F.min("identity").alias("identity")
     )
     return grouped.withColumn("spans", F.expr(_merge_spans("_spans"))).drop("_spans")
