@@ -144,3 +144,8 @@ def test_repeated_and_null_ids(spark, docs):
     got = passages.cut(docs([(1, text), (1, text), (None, text), (2, "other words here")]).coalesce(1))
     assert sorted(str(r["doc_id"]) for r in got.collect()) == ["1", "2"]
     assert passages.cut(docs([(1, "a")]).limit(0)).count() == 0
+
+
+def test_a_far_long_run_hides_no_near_one():
+    runs = [(0, 0, 300), (600, 600, 12), (614, 615, 12), (628, 630, 12), (642, 645, 12)]
+    assert sorted(passages.chain(runs)) == [[0], [1, 2, 3, 4]]

@@ -5,7 +5,7 @@
    document only (least id), so a seed in n documents makes n - 1 matches, not pairs.
 3. Chains: matches of two documents that go on at the same offset are fragments;
    fragments in order in both texts are chained for the greatest matched length less a
-   linear gap cost, by a Fenwick tree of prefix maxima.
+   linear gap cost, each with the best of those that end within MAX_GAP before it.
 4. Alignment: the words of a chain and of its margins are fetched in blocks of BLOCK
    words (each block of a document once, however many chains need it), gaps are aligned
    word by word and the ends extended; passages of MIN_WORDS words and IDENTITY stay.
@@ -22,7 +22,6 @@ empty results.
 
 from __future__ import annotations
 
-from bisect import bisect_right
 from collections.abc import Iterator
 
 import numpy as np
@@ -126,28 +125,6 @@ def _matches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             )
 
 
-class Fenwick:
-    """Greatest (value, index) of a prefix of positions."""
-
-    def __init__(self, n: int):
-        self.best: list[tuple[float, int]] = [(float("-inf"), -1)] * (n + 1)
-
-    def put(self, position: int, value: float, index: int) -> None:
-        position += 1
-        while position < len(self.best):
-            if value > self.best[position][0]:
-                self.best[position] = (value, index)
-            position += position & -position
-
-    def top(self, count: int) -> tuple[float, int]:
-        """Of the first `count` positions."""
-        found = (float("-inf"), -1)
-        while count > 0:
-            found = max(found, self.best[count])
-            count -= count & -count
-        return found
-
-
 def chain(fragments: list[tuple[int, int, int]]) -> list[list[int]]:
     """Chains of fragments (at, first_at, length), each a list of indices in order.
 
@@ -157,23 +134,21 @@ def chain(fragments: list[tuple[int, int, int]]) -> list[list[int]]:
     if len(fragments) == 1:
         return [[0]]
     order = sorted(range(len(fragments)), key=lambda i: fragments[i])
-    ends = sorted({b + n for _, b, n in fragments})
-    tree = Fenwick(len(ends))
     waiting = sorted(order, key=lambda i: fragments[i][0] + fragments[i][2])
-    score, before, done = {}, {}, 0
+    score, before, left, done = {}, {}, 0, 0
     for i in order:
         a, b, n = fragments[i]
         while done < len(waiting) and fragments[waiting[done]][0] + fragments[waiting[done]][2] <= a:
-            j = waiting[done]
             done += 1
+        while left < done and fragments[waiting[left]][0] + fragments[waiting[left]][2] < a - MAX_GAP:
+            left += 1
+        score[i], before[i] = float(n), -1
+        for j in waiting[left:done]:
             x, y, m = fragments[j]
-            tree.put(bisect_right(ends, y + m) - 1, score[j] + GAP_COST * (x + y + 2 * m), j)
-        value, j = tree.top(bisect_right(ends, b))
-        gain = value - GAP_COST * (a + b)
-        if j >= 0 and gain > 0 and max(a - fragments[j][0] - fragments[j][2], b - fragments[j][1] - fragments[j][2]) <= MAX_GAP:
-            score[i], before[i] = n + gain, j
-        else:
-            score[i], before[i] = float(n), -1
+            if 0 <= b - y - m <= MAX_GAP:
+                value = n + score[j] - GAP_COST * (a - x - m + b - y - m)
+                if value > score[i]:
+                    score[i], before[i] = value, j
     chains, used = [], set()
     for i in sorted(order, key=lambda i: (-score[i], i)):
         path = []
