@@ -149,3 +149,17 @@ def test_repeated_and_null_ids(spark, docs):
 def test_a_far_long_run_hides_no_near_one():
     runs = [(0, 0, 300), (600, 600, 12), (614, 615, 12), (628, 630, 12), (642, 645, 12)]
     assert sorted(passages.chain(runs)) == [[0], [1, 2, 3, 4]]
+
+
+def test_words_inside_a_run_are_compared(spark, docs):
+    rng = random.Random(4)
+    fresh = lambda n: [f"f{rng.randrange(100_000)}" for _ in range(n)]
+    labels = [fresh(11) for _ in range(12)]
+    form = lambda: " ".join(w for label in labels for w in label + fresh(6))
+    a, b = np.array([1, 2, 3, 4, 5], np.uint32), np.array([1, 2, 9, 4, 5], np.uint32)
+    assert passages.equal_runs(a, b, [(0, 0, 5)]) == [(0, 0, 2), (3, 3, 2)]
+    assert passages.repeats(passages.keyed(docs([(1, form()), (2, form())]))).count() == 0
+    text = fresh(60)
+    changed = [*text[:30], "other", *text[31:]]
+    (row,) = passages.repeats(passages.keyed(docs([(1, " ".join(text)), (2, " ".join(changed))]))).collect()
+    assert row["identity"] == pytest.approx(59 / 60)

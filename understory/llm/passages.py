@@ -7,8 +7,8 @@
    fragments in order in both texts are chained for the greatest matched length less a
    linear gap cost, each with the best of those that end within MAX_GAP before it.
 4. Alignment: the words of a chain and of its margins are fetched in blocks of BLOCK
-   words (each block of a document once, however many chains need it), gaps are aligned
-   word by word and the ends extended; passages of MIN_WORDS words and IDENTITY stay.
+   words (each block of a document once, however many chains need it), runs are compared
+   and gaps aligned word by word and the ends extended; passages of MIN_WORDS words and IDENTITY stay.
 
 A seed's rows are streamed, never gathered; a document's matches are as many as its own
 seeds; blocks of a popular document are joined by (document, block).
@@ -267,6 +267,19 @@ def extend(a: np.ndarray, b: np.ndarray) -> tuple[int, int]:
     return (best + 1, int(same[: best + 1].sum())) if score[best] > 0 else (0, 0)
 
 
+def equal_runs(a: np.ndarray, b: np.ndarray, runs: list[tuple[int, int, int]]) -> list[tuple[int, int, int]]:
+    """The stretches of equal words along the diagonals of runs (at, first_at, length)."""
+    out = []
+    for x, y, n in runs:
+        u, v = a[x : x + n], b[y : y + n]
+        n = min(len(u), len(v))
+        same = np.zeros(n + 2, np.int8)
+        same[1:-1] = u[:n] == v[:n]
+        step = np.diff(same)
+        out += [(x + i, y + i, j - i) for i, j in zip(np.flatnonzero(step == 1).tolist(), np.flatnonzero(step == -1).tolist(), strict=True)]
+    return out
+
+
 def _align(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Passages of chains from their blocks; rows come sorted by chain, side, block."""
     out: list[tuple] = []
@@ -280,6 +293,9 @@ def _align(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         (base, a), (first_base, b) = both
         row = group.slice(0, 1).to_pylist()[0]
         runs = [(x - base, y - first_base, n) for x, y, n in zip(row["runs"], row["first_runs"], row["lengths"], strict=True)]
+        runs = equal_runs(a, b, runs)
+        if not runs:
+            continue
         parts, same = [[0, 0, runs[0][2]]], 0
         for i, ((x, y, n), (u, v, m)) in enumerate(zip(runs, runs[1:], strict=False), 1):
             gap = max(u - x - n, v - y - n)
