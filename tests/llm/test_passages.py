@@ -163,3 +163,18 @@ def test_words_inside_a_run_are_compared(spark, docs):
     changed = [*text[:30], "other", *text[31:]]
     (row,) = passages.repeats(passages.keyed(docs([(1, " ".join(text)), (2, " ".join(changed))]))).collect()
     assert row["identity"] == pytest.approx(59 / 60)
+
+
+def test_words_said_over_and_over_are_passages(spark, docs):
+    rng = random.Random(5)
+    fresh = lambda n: [f"p{rng.randrange(100_000)}" for _ in range(n)]
+    line, few = fresh(8), fresh(3)
+    rows = [
+        (1, fresh(40) + line * 10 + fresh(40)), (2, fresh(20) + line[5:] + line * 20 + fresh(60)), (3, line * 4 + fresh(30)),
+        (4, fresh(60) + few * 30), (5, few * 30 + fresh(60)), (6, ["said"] * 70), (7, ["said"] * 300),
+    ]
+    got = {r["_key"]: r for r in passages.repeats(passages.keyed(docs([(i, " ".join(w)) for i, w in rows]))).collect()}
+    assert {k: r["firsts"] for k, r in got.items()} == {2: [1], 5: [4], 7: [6]}
+    for k, start, end in ((2, 20, 183), (5, 0, 90), (7, 0, 300)):
+        (span,) = got[k]["spans"]
+        assert abs(span["start"] - start) <= 7 and abs(span["end"] - end) <= 7, (k, span)

@@ -1,8 +1,10 @@
 """Substring dedup by collinear chaining: fuzzy passages that repeat an earlier document's.
 
-1. Seeds: winnowed hashes of K words; any K + W - 1 equal words share one.
+1. Seeds: winnowed hashes of K words; any K + W - 1 equal words share one.  Words said
+   over and over, up to PERIOD in turn, are one seed a run, with the run's length.
 2. Matches: rows of a seed are sorted and stream by, each matched with the seed's first
-   document only (least id), so a seed in n documents makes n - 1 matches, not pairs.
+   document only (least id), so a seed in n documents makes n - 1 matches, not pairs.  A run is matched with the
+   longest one of an earlier document, in tiles where it is longer than that.
 3. Chains: matches of two documents that go on at the same offset are fragments;
    fragments in order in both texts are chained for the greatest matched length less a
    linear gap cost, each with the best of those that end within MAX_GAP before it.
@@ -35,7 +37,7 @@ from understory.llm.common import map_arrow, saved
 
 K = 8
 WINDOW = 10
-#: Places within which a seed must not come again.
+#: Places within which seeds that come again are a run.
 PERIOD = 8
 #: A passage has this many words, this share of them equal.
 MIN_WORDS = 50
@@ -57,8 +59,8 @@ def winnow(hashes: np.ndarray, bounds: np.ndarray, window: int = WINDOW) -> np.n
     """Positions of the least hash of every window of consecutive hashes within each text.
 
     Hashes that come again within PERIOD places (words said over and over, singly or a
-    few in turn) are passed over: they tell nothing of where a passage is, and one
-    of them could be a large share of all seeds.
+    few in turn) are passed over: one of them could be a large share of all seeds.  Their
+    runs have seeds of their own, from periods().
     """
     n = len(hashes)
     if n < window:
@@ -87,29 +89,90 @@ def winnow(hashes: np.ndarray, bounds: np.ndarray, window: int = WINDOW) -> np.n
     return chosen[~again[chosen]]
 
 
+def periods(hashes: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(place, seed, words, period) of the runs in which shingles come again at a distance of up to PERIOD.
+
+    A run has one seed, of the least shingle of its cycle and of the period; its place is
+    where that shingle first stands, its words those from there to the run's end.
+    """
+    text = np.repeat(np.arange(len(bounds) - 1), np.diff(bounds))
+    at, seeds, words, kinds = [], [], [], []
+    known: dict[int, np.ndarray] = {}
+    for d in range(1, min(PERIOD, len(hashes) - 1) + 1):
+        same = np.zeros(len(hashes) + 1, bool)  # the last one ends all runs
+        same[: len(hashes) - d] = (hashes[d:] == hashes[:-d]) & (text[d:] == text[:-d])
+        for e, other in known.items():
+            if d % e == 0:
+                same &= ~other
+        known[d] = same
+        step = np.diff(same.astype(np.int8), prepend=0)
+        first, end = np.flatnonzero(step == 1), np.flatnonzero(step == -1)
+        if len(first):
+            least = hashes[first[:, None] + np.arange(d)].argmin(axis=1)
+            at.append(first + least)
+            seeds.append(tk.mix(hashes[first + least] + np.uint64(d)))
+            words.append(end + d - 1 + K - first - least)
+            kinds.append(np.full(len(first), d))
+    if not at:
+        none = np.zeros(0, np.int64)
+        return none, np.zeros(0, np.uint64), none, none
+    return np.concatenate(at), np.concatenate(seeds), np.concatenate(words), np.concatenate(kinds)
+
+
 def _seeds(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Seeds of n words each; those of runs have a period, others 0."""
     for batch in batches:
         keys = batch.column("key").to_numpy()
         for first, _, raw, offsets in tk.slices(batch.column("text")):
             found = tk.words(raw, offsets)
             hashes, bounds = tk.shingles(found, K)
             chosen = winnow(hashes, bounds)
-            text = np.searchsorted(bounds, chosen, side="right") - 1
+            at, seeds, n, period = periods(hashes, bounds)
+            place = np.concatenate([chosen, at])
+            text = np.searchsorted(bounds, place, side="right") - 1
             long = found.counts[text] >= MIN_WORDS
-            chosen, text = chosen[long], text[long]
-            if len(chosen):
+            if long.any():
+                seed = np.concatenate([hashes[chosen], seeds])
+                n = np.concatenate([np.full(len(chosen), K), n]).astype(np.int32)
+                period = np.concatenate([np.zeros(len(chosen), np.int8), period]).astype(np.int8)
+                text, place = text[long], place[long]
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(hashes[chosen].view(np.int64)), pa.array(keys[first + text]), pa.array((chosen - bounds[text]).astype(np.int32))], names=["seed", "key", "at"]
+                    [pa.array(seed[long].view(np.int64)), pa.array(keys[first + text]), pa.array((place - bounds[text]).astype(np.int32)), pa.array(n[long]), pa.array(period[long])],
+                    names=["seed", "key", "at", "n", "period"],
                 )
 
 
+class _Longest:
+    """Runs of one seed as they stream by: each is matched with the longest one of the documents before."""
+
+    def __init__(self):
+        self.seed = self.key = None
+
+    def add(self, seed: int, key: int, at: int, n: int, period: int) -> Iterator[tuple[int, int, int, int, int]]:
+        if seed != self.seed:
+            self.seed, self.key, self.before, self.upto = seed, key, (0, 0, 0), (0, 0, 0)
+        if key != self.key:
+            self.key, self.before = key, self.upto
+        length, other, place = self.before
+        if length:
+            # a run longer than the other is covered in tiles, whole periods apart
+            last = max(n - length, 0)
+            last += -last % period if n - last - (-last % period) >= MIN_WORDS else -(last % period)
+            step = length - length % period
+            for to in [*(range(0, last, step) if length >= MIN_WORDS else [0] * (last > 0)), last]:
+                yield key, other, at + to, place, min(length, n - to)
+        if n > self.upto[0]:
+            self.upto = (n, key, at)
+
+
 def _matches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Each row's match with the first row of its seed; rows come sorted by seed, key, at."""
-    last = None
+    names = ["key", "first", "at", "first_at", "n"]
+    last, longest = None, _Longest()
     for batch in batches:
         if not batch.num_rows:
             continue
-        seed, key, at = (batch.column(i).to_numpy() for i in range(3))
+        seed, key, at, n, period = (batch.column(i).to_numpy() for i in range(5))
         new = np.concatenate([[True], seed[1:] != seed[:-1]])
         start = np.maximum.accumulate(np.where(new, np.arange(len(seed)), 0))
         first_key, first_at = key[start], at[start]
@@ -118,11 +181,13 @@ def _matches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             first_key = np.where(lead, last[1], first_key)
             first_at = np.where(lead, last[2], first_at)
         last = (seed[-1], first_key[-1], first_at[-1])
-        rows = np.flatnonzero(key != first_key)
+        rows = np.flatnonzero((key != first_key) & (period == 0))
         if len(rows):
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(key[rows]), pa.array(first_key[rows]), pa.array(at[rows]), pa.array(first_at[rows].astype(np.int32))], names=["key", "first", "at", "first_at"]
-            )
+            yield pa.RecordBatch.from_arrays([pa.array(key[rows]), pa.array(first_key[rows]), pa.array(at[rows]), pa.array(first_at[rows].astype(np.int32)), pa.array(n[rows])], names=names)
+        rows = np.flatnonzero(period)
+        found = [m for r in zip(*(x[rows].tolist() for x in (seed, key, at, n, period)), strict=True) for m in longest.add(*r)]
+        if found:
+            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*found, strict=True), (pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int32()), strict=True)], names=names)
 
 
 def chain(fragments: list[tuple[int, int, int]]) -> list[list[int]]:
@@ -162,13 +227,16 @@ def chain(fragments: list[tuple[int, int, int]]) -> list[list[int]]:
 
 
 def _disjoint(fragments: list[tuple[int, int, int]]) -> list[tuple[int, int, int]]:
-    """Fragments of a run without overlaps of the ones at other offsets: the later gives way."""
+    """Fragments without small overlaps of the ones at other offsets: the later gives way.
+
+    One that would lose most of its words stays whole where it can be a chain of its own.
+    """
     out: list[tuple[int, int, int]] = []
     for a, b, n in fragments:
         if out:
             x, y, m = out[-1]
             over = max(x + m - a, 0)
-            if a - b != x - y and over:
+            if a - b != x - y and over and (n < MIN_CORE or over < n / 2):
                 a, b, n = a + over, b + over, n - over
         if n > 0:
             out.append((a, b, n))
@@ -179,23 +247,28 @@ def _chains(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Chains of each (key, first); rows come sorted by key, first, at, first_at."""
     out: list[tuple] = []
     for group in groups(batches, ["key"]):
-        key, first, at, first_at = (group.column(i).to_numpy() for i in range(4))
-        pair = np.concatenate([[True], first[1:] != first[:-1]])
-        go_on = np.concatenate([[False], (np.diff(at) <= K + WINDOW) & (np.diff(at - first_at) == 0)]) & ~pair
-        heads = np.flatnonzero(~go_on)
+        key, first, at, first_at, n = (group.column(i).to_numpy().astype(np.int64) for i in range(5))
+        order = np.lexsort((at, at - first_at, first))
+        first, at, first_at, n = first[order], at[order], first_at[order], n[order]
+        # fragments: matches at one offset that go on before the ones so far are WINDOW behind
+        new = np.concatenate([[True], (np.diff(first) != 0) | (np.diff(at - first_at) != 0)])
+        line = np.cumsum(new) << 32
+        end = np.maximum.accumulate(at + n + line) - line
+        heads = np.flatnonzero(new | np.concatenate([[True], at[1:] > end[:-1] + WINDOW]))
         tails = np.concatenate([heads[1:], [len(at)]]) - 1
-        pairs = np.flatnonzero(pair)
-        ends = np.concatenate([pairs[1:], [len(at)]])
-        for a, b in zip(pairs.tolist(), ends.tolist(), strict=True):
-            if b - a < 2 or at[b - 1] + K - at[a] < MIN_CORE:
+        of, a, b, size = first[heads], at[heads], first_at[heads], end[tails] - at[heads]
+        order = np.lexsort((b, a, of))
+        of, a, b, size = of[order], a[order], b[order], size[order]
+        cuts = np.concatenate([[0], np.flatnonzero(np.diff(of)) + 1, [len(of)]]).tolist()
+        for lo, hi in zip(cuts, cuts[1:], strict=False):
+            if (a[lo:hi] + size[lo:hi]).max() - a[lo] < MIN_CORE:
                 continue
-            lo, hi = np.searchsorted(heads, [a, b])
-            runs = _disjoint([(int(at[h]), int(first_at[h]), int(at[t] - at[h]) + K) for h, t in zip(heads[lo:hi], tails[lo:hi], strict=True)])
+            runs = _disjoint(list(zip(a[lo:hi].tolist(), b[lo:hi].tolist(), size[lo:hi].tolist(), strict=True)))
             for path in chain(runs):
                 x, y, _ = runs[path[0]]
-                u, v, n = runs[path[-1]]
-                if u + n - x >= MIN_CORE:
-                    out.append((int(key[a]), int(first[a]), x, u + n, y, v + n, [runs[i][0] for i in path], [runs[i][1] for i in path], [runs[i][2] for i in path]))
+                u, v, m = runs[path[-1]]
+                if u + m - x >= MIN_CORE:
+                    out.append((int(key[0]), int(of[lo]), x, u + m, y, v + m, [runs[i][0] for i in path], [runs[i][1] for i in path], [runs[i][2] for i in path]))
         if len(out) >= 5000:
             yield _chain_batch(out)
             out = []
@@ -347,8 +420,8 @@ def passages(docs: DataFrame) -> DataFrame:
     documents hold parts of them.
     """
     texts = docs.select(F.col("_key").alias("key"), "text").where("text IS NOT NULL")
-    seeds = map_arrow(texts, _seeds, "seed long, key long, at int")
-    matches = map_arrow(seeds.repartition("seed").sortWithinPartitions("seed", "key", "at"), _matches, "key long, first long, at int, first_at int")
+    seeds = map_arrow(texts, _seeds, "seed long, key long, at int, n int, period byte")
+    matches = map_arrow(seeds.repartition("seed").sortWithinPartitions("seed", "key", "at"), _matches, "key long, first long, at int, first_at int, n int")
     ordered = matches.repartition("key").sortWithinPartitions("key", "first", "at", "first_at")
     chains = saved(map_arrow(ordered, _chains, CHAINS).withColumn("chain", F.monotonically_increasing_id()), "chains")
     spans = chains.select(
