@@ -2,6 +2,7 @@ import itertools
 import random
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -178,3 +179,35 @@ def test_words_said_over_and_over_are_passages(spark, docs):
     for k, start, end in ((2, 20, 183), (5, 0, 90), (7, 0, 300)):
         (span,) = got[k]["spans"]
         assert abs(span["start"] - start) <= 7 and abs(span["end"] - end) <= 7, (k, span)
+
+
+def test_passages_put_together_of_known_parts(spark, docs):
+    rng = random.Random(6)
+    fresh = lambda n: [f"t{rng.randrange(100_000)}" for _ in range(n)]
+    x, y, line = fresh(30), fresh(30), fresh(11)
+    rows = [
+        (1, x + fresh(40)), (2, fresh(40) + y), (10, fresh(40) + x + y + fresh(20)), (11, fresh(20) + x + y + fresh(40)),
+        (12, x + fresh(45)), (13, y + fresh(45)), (14, fresh(30) + x + y + fresh(30)), (15, fresh(60) + line * 10), (16, line * 10 + fresh(60)),
+    ]
+    got = {r["_key"]: r for r in passages.repeats(passages.keyed(docs([(i, " ".join(w)) for i, w in rows]))).collect()}
+    assert {k: r["firsts"] for k, r in got.items()} == {11: [10], 14: [10], 16: [15]}
+    for k, start, end in ((11, 20, 80), (14, 30, 90), (16, 0, 110)):
+        (span,) = got[k]["spans"]
+        assert abs(span["start"] - start) <= 2 and abs(span["end"] - end) <= 2, (k, span)
+
+
+def test_matches_are_the_same_in_any_batches():
+    rng = np.random.default_rng(7)
+    rows = sorted({(int(s), int(k), int(a)) for s, k, a in zip(rng.integers(0, 5, 400), rng.integers(0, 9, 400), rng.integers(0, 50, 400), strict=True)})
+    want = set()
+    for s, k, a in rows:
+        mine = [r for r in rows if r[0] == s and r[1] < k]
+        if mine:
+            near = min(r for r in mine if r[1] == mine[-1][1])
+            want |= {(k, mine[0][1], a, mine[0][2]), (k, near[1], a, near[2])}
+    kinds = (pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int8())
+    for size in (1, 2, 3, 7, 50, len(rows)):
+        parts = [rows[i : i + size] for i in range(0, len(rows), size)]
+        batches = [pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip([*zip(*p, strict=True), [passages.K] * len(p), [0] * len(p)], kinds, strict=True)], names=["seed", "key", "at", "n", "period"]) for p in parts]
+        got = {tuple(r.values())[:4] for b in passages._matches(iter(batches)) for r in b.to_pylist()}
+        assert got == want, size

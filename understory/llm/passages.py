@@ -1,9 +1,11 @@
 """Substring dedup by collinear chaining: fuzzy passages that repeat an earlier document's.
 
 1. Seeds: winnowed hashes of K words; any K + W - 1 equal words share one.  Words said
-   over and over, up to PERIOD in turn, are one seed a run, with the run's length.
+   over and over, up to PERIOD in turn, are one seed a run, with the run's length.  From
+   each winnowed place on, long seeds go to the first winnowed one that makes LONG words.
 2. Matches: rows of a seed are sorted and stream by, each matched with the seed's first
-   document only (least id), so a seed in n documents makes n - 1 matches, not pairs.  A run is matched with the
+   document (least id) and, for K words, the document before: 2 n matches, not pairs.  The
+   first document of a long seed of 50 words holds a whole passage, whoever holds its parts.  A run is matched with the
    longest one of an earlier document, in tiles where it is longer than that.
 3. Chains: matches of two documents that go on at the same offset are fragments;
    fragments in order in both texts are chained for the greatest matched length less a
@@ -37,6 +39,8 @@ from understory.llm.common import map_arrow, saved
 
 K = 8
 WINDOW = 10
+#: Least words of the long seeds: what winnowing leaves of MIN_WORDS equal words, and a passage.
+LONG = (32, 50)
 #: Places within which seeds that come again are a run.
 PERIOD = 8
 #: A passage has this many words, this share of them equal.
@@ -119,6 +123,17 @@ def periods(hashes: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndar
     return np.concatenate(at), np.concatenate(seeds), np.concatenate(words), np.concatenate(kinds)
 
 
+def long_seeds(found: tk.Words, chosen: np.ndarray, bounds: np.ndarray, least: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(place, seed, words): from each chosen shingle to the end of the first one that makes `least` words or more."""
+    text = np.searchsorted(bounds, chosen, side="right") - 1
+    to = np.searchsorted(chosen, chosen + least - K)
+    inside = to < len(chosen)
+    inside[inside] = text[to[inside]] == text[inside]
+    at, end, text = chosen[inside], chosen[to[inside]] + K, text[inside]
+    shift = found.bounds[text] - bounds[text]
+    return at, tk.spans(found, at + shift, end + shift), end - at
+
+
 def _seeds(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Seeds of n words each; those of runs have a period, others 0."""
     for batch in batches:
@@ -128,13 +143,14 @@ def _seeds(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             hashes, bounds = tk.shingles(found, K)
             chosen = winnow(hashes, bounds)
             at, seeds, n, period = periods(hashes, bounds)
-            place = np.concatenate([chosen, at])
+            more = [long_seeds(found, chosen, bounds, least) for least in LONG]
+            place = np.concatenate([chosen, *(m[0] for m in more), at])
             text = np.searchsorted(bounds, place, side="right") - 1
             long = found.counts[text] >= MIN_WORDS
             if long.any():
-                seed = np.concatenate([hashes[chosen], seeds])
-                n = np.concatenate([np.full(len(chosen), K), n]).astype(np.int32)
-                period = np.concatenate([np.zeros(len(chosen), np.int8), period]).astype(np.int8)
+                seed = np.concatenate([hashes[chosen], *(m[1] for m in more), seeds])
+                n = np.concatenate([np.full(len(chosen), K), *(m[2] for m in more), n]).astype(np.int32)
+                period = np.concatenate([np.zeros(len(place) - len(period), np.int8), period]).astype(np.int8)
                 text, place = text[long], place[long]
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(seed[long].view(np.int64)), pa.array(keys[first + text]), pa.array((place - bounds[text]).astype(np.int32)), pa.array(n[long]), pa.array(period[long])],
@@ -166,7 +182,7 @@ class _Longest:
 
 
 def _matches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Each row's match with the first row of its seed; rows come sorted by seed, key, at."""
+    """Each row's matches with the first row of its seed and, of K words, with the document before; rows come sorted by seed, key, at."""
     names = ["key", "first", "at", "first_at", "n"]
     last, longest = None, _Longest()
     for batch in batches:
@@ -176,14 +192,28 @@ def _matches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         new = np.concatenate([[True], seed[1:] != seed[:-1]])
         start = np.maximum.accumulate(np.where(new, np.arange(len(seed)), 0))
         first_key, first_at = key[start], at[start]
-        if last is not None and last[0] == seed[0]:
+        # where the seed's document of a row begins, and the one before it
+        own = np.maximum.accumulate(np.where(new | np.concatenate([[True], key[1:] != key[:-1]]), np.arange(len(seed)), 0))
+        none = own == start
+        prior = own[np.maximum(own - 1, 0)]
+        before_key, before_at = np.where(none, key, key[prior]), np.where(none, at, at[prior])
+        own_at = at[own]
+        if last is not None and last["seed"] == seed[0]:
             lead = start == 0
-            first_key = np.where(lead, last[1], first_key)
-            first_at = np.where(lead, last[2], first_at)
-        last = (seed[-1], first_key[-1], first_at[-1])
-        rows = np.flatnonzero((key != first_key) & (period == 0))
-        if len(rows):
-            yield pa.RecordBatch.from_arrays([pa.array(key[rows]), pa.array(first_key[rows]), pa.array(at[rows]), pa.array(first_at[rows].astype(np.int32)), pa.array(n[rows])], names=names)
+            first_key = np.where(lead, last["first"][0], first_key)
+            first_at = np.where(lead, last["first"][1], first_at)
+            go_on = key[0] == last["own"][0]
+            of, place = last["before"] if go_on else last["own"]
+            before_key, before_at = np.where(own == 0, of, before_key), np.where(own == 0, place, before_at)
+            if go_on:
+                second = lead & (own != 0) & (prior == 0)  # the document that goes on began in the last batch
+                before_at = np.where(second, last["own"][1], before_at)
+                own_at = np.where(own == 0, last["own"][1], own_at)
+        last = {"seed": seed[-1], "first": (first_key[-1], first_at[-1]), "own": (key[-1], own_at[-1]), "before": (before_key[-1], before_at[-1])}
+        later = (key != first_key) & (period == 0)
+        for rows, of, place in ((np.flatnonzero(later), first_key, first_at), (np.flatnonzero(later & (n == K) & (before_key != first_key)), before_key, before_at)):
+            if len(rows):
+                yield pa.RecordBatch.from_arrays([pa.array(key[rows]), pa.array(of[rows]), pa.array(at[rows]), pa.array(place[rows].astype(np.int32)), pa.array(n[rows])], names=names)
         rows = np.flatnonzero(period)
         found = [m for r in zip(*(x[rows].tolist() for x in (seed, key, at, n, period)), strict=True) for m in longest.add(*r)]
         if found:

@@ -154,3 +154,12 @@ def shingles(found: Words, k: int) -> tuple[np.ndarray, np.ndarray]:
                 h = h * _STEP + x
         out[bounds[i]] = h
     return mix(out), bounds
+
+
+def spans(found: Words, first: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """Hashes of the runs of words first[i]:end[i]."""
+    n = len(found.hashes)
+    total = np.zeros(n + 1, np.uint64)
+    forward, inverse = _powers(n) if n else (total, total)
+    np.cumsum(found.hashes * forward[:n], out=total[1:])
+    return mix((total[end] - total[first]) * inverse[first] + (end - first).astype(np.uint64))
