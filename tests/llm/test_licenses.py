@@ -1,5 +1,6 @@
 import random
 import re
+import textwrap
 
 import pytest
 
@@ -51,3 +52,18 @@ def test_scan_equals_brute_force(spark, docs, threshold):
 def test_no_documents(spark, docs):
     assert licenses.scan(docs([(1, "x")]).limit(0)).count() == 0
     assert not re.search("[A-Z]", licenses.scan(docs([(1, "MIT License")])).first()["labels"])
+
+
+def test_wrapped_templates_are_found(spark, docs, tmp_path):
+    rows = []
+    for width in (30, 45, 72, 80):
+        for _, t in licenses.TEMPLATES:
+            rows.append((len(rows), "first line here\n" + textwrap.fill(f"Copyright 2020 zork {t} and what follows", width, initial_indent=" * ", subsequent_indent=" * ") + "\nlast line"))
+    rows.append((len(rows), "Permission is hereby granted to the\nperson who reads this\n" + "software and files are free\n" * 9))
+    docs(rows).write.parquet(f"{tmp_path}/documents.parquet")
+    got = {r["doc_id"]: r for r in licenses.op7_license_scan(spark, str(tmp_path)).collect()}
+    for i, _ in rows[:-1]:
+        assert licenses.TEMPLATES[i % len(licenses.TEMPLATES)][0] in got[i]["labels"].split(",") and got[i]["score"] == 1.0, rows[i]
+    assert got[len(rows) - 1]["labels"] == ""
+    (row,) = licenses.scan(docs(rows[:1]), wrapped=True).collect()
+    assert max(m["containment"] for m in row["matches"]) == 1.0

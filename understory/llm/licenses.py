@@ -1,7 +1,10 @@
 """License scans: phrases, and an exact set-similarity join of text blocks with license templates.
 
-Blocks are the lines of a document.  A template is found in a block when the block
-holds at least `threshold` of the template's distinct words.  Words are ordered by how
+Blocks are the lines of a document and, where `wrapped` asks for sentences that stand on
+several lines (op7 does), runs of as many consecutive words as a template has that lie on more than one line.  A
+template is found in a block when the block holds at least `threshold` of the template's
+distinct words; one that no line holds is reported once for each stretch of such runs, at
+the line of the first of the best of them.  Words are ordered by how
 many documents of the whole table hold them, rarest first; a block that meets the
 threshold must hold one of a template's first words in that order (prefix filter), have
 enough words (length filter) and, at the first shared word, enough words left in both
@@ -82,7 +85,7 @@ class Matcher:
             need = max(1, math.ceil(threshold * len(ordered) - 1e-9))
             for at, w in enumerate(ordered[: len(ordered) - need + 1]):
                 self.index.setdefault(w, []).append((len(self.items), at))
-            self.items.append((label, ordered, frozenset(ordered), need))
+            self.items.append((label, ordered, frozenset(ordered), need, len(text.encode().translate(_TO_WORDS).split())))
         self.prefixes = frozenset(self.index)
 
     def block(self, words: set[bytes]) -> Iterator[tuple[str, float]]:
@@ -93,7 +96,7 @@ class Matcher:
             for item, i in self.index.get(w, ()):
                 if item in seen:
                     continue
-                label, ordered, whole, need = self.items[item]
+                label, ordered, whole, need, _ = self.items[item]
                 seen.add(item)  # the first shared word: the ones before it are in one order only
                 if len(words) < need or 1 + min(len(ordered) - i - 1, len(shared) - j - 1) < need:
                     continue
@@ -102,6 +105,45 @@ class Matcher:
                     yield label, overlap / len(ordered)
 
 
+def _wrapped(lines: list[list[bytes]], matcher: Matcher, found: dict[tuple[int, str], float]) -> Iterator[dict]:
+    """Matches of templates in runs of words over line ends that are better than found, what lines hold by (line, label).
+
+    Counts of the template's words slide over the places of its words, so words of no
+    template cost nothing.
+    """
+    words = [w for line in lines for w in line]
+    line_of = [n for n, line in enumerate(lines) for _ in line]
+    places: dict[bytes, list[int]] = {}
+    for i, w in enumerate(words):
+        if w in matcher.rank:
+            places.setdefault(w, []).append(i)
+    for label, ordered, whole, need, length in matcher.items:
+        if sum(w in places for w in ordered) < need:
+            continue
+        at = sorted(i for w in ordered for i in places.get(w, ()))
+        counts: Counter = Counter()
+        left, held, best, upto = 0, 0, None, -1
+        for i in at:
+            counts[words[i]] += 1
+            held += counts[words[i]] == 1
+            while i - at[left] >= length:
+                counts[words[at[left]]] -= 1
+                held -= counts[words[at[left]]] == 0
+                left += 1
+            if held < need:
+                continue
+            first, last = line_of[at[left]], line_of[i]
+            if best is not None and at[left] > upto:
+                yield {"label": label, "line": best[1], "containment": best[0] / len(ordered)}
+                best = None
+            if first != last and held / len(ordered) > max(found.get((n, label), 0.0) for n in range(first, last + 1)):
+                if best is None or held > best[0]:
+                    best = (held, first)
+                upto = i
+        if best is not None:
+            yield {"label": label, "line": best[1], "containment": best[0] / len(ordered)}
+
+
 def _places(words: list[bytes], phrases: dict[bytes, str]) -> list[tuple[int, str]]:
     """(start, label) of every place where a phrase's words stand consecutively."""
     joined = b" " + b" ".join(words) + b" "
@@ -115,7 +157,7 @@ def _places(words: list[bytes], phrases: dict[bytes, str]) -> list[tuple[int, st
     return found
 
 
-def _scan(column: pa.Array, matcher: Matcher, phrases: dict[bytes, str]) -> list[pa.Array]:
+def _scan(column: pa.Array, matcher: Matcher, phrases: dict[bytes, str], wrapped: bool = False) -> list[pa.Array]:
     out: list[list] = [[] for _ in FIELDS]
     keys = [p.split()[-1] for p in phrases]
     for text in column.cast(pa.binary()).to_pylist():
@@ -124,10 +166,16 @@ def _scan(column: pa.Array, matcher: Matcher, phrases: dict[bytes, str]) -> list
         places = sorted(_places(words, phrases)) if any(k in low for k in keys) else []
         matches = []
         if not matcher.prefixes.isdisjoint(words):
-            for n, line in enumerate(text.translate(_LINES).split(b"\n")):
-                block = set(line.split())
+            lines = [line.split() for line in text.translate(_LINES).split(b"\n")]
+            for n, line in enumerate(lines):
+                block = set(line)
                 if not matcher.prefixes.isdisjoint(block):
                     matches += [{"label": label, "line": n, "containment": share} for label, share in matcher.block(block)]
+            if wrapped and len(lines) > 1:
+                found: dict[tuple[int, str], float] = {}
+                for m in matches:
+                    found[m["line"], m["label"]] = max(m["containment"], found.get((m["line"], m["label"]), 0.0))
+                matches += _wrapped(lines, matcher, found)
         base = {label for _, label in places}
         every = base | {m["label"] for m in matches}
         score = 1.0 if base else max((m["containment"] for m in matches), default=0.0)
@@ -153,18 +201,18 @@ def frequencies(docs: DataFrame, templates: list[tuple[str, str]], text_col: str
     return {bytes(r["word"]): r["n"] for r in counted.collect()}  # a row a template word at most
 
 
-def scan(docs: DataFrame, text_col: str = "text", phrases: dict[str, str] = PHRASES, templates: list[tuple[str, str]] = TEMPLATES, threshold: float = THRESHOLD) -> DataFrame:
+def scan(docs: DataFrame, text_col: str = "text", phrases: dict[str, str] = PHRASES, templates: list[tuple[str, str]] = TEMPLATES, threshold: float = THRESHOLD, wrapped: bool = False) -> DataFrame:
     """docs with the columns of FIELDS.
 
     n_base, first_word, last_word, base_labels come from phrases; labels has the
-    templates' labels too; score is 1 for a base phrase, else the highest containment.
+    templates' labels too; wrapped: templates are looked for over line ends too; score is 1 for a base phrase, else the highest containment.
     """
     frequency = frequencies(docs, templates, text_col)
     wanted = {" ".join(p.split()).encode(): label for p, label in phrases.items()}
 
     def kernel():
         matcher = Matcher(templates, frequency, threshold)
-        return lambda column: _scan(column, matcher, wanted)
+        return lambda column: _scan(column, matcher, wanted, wrapped)
 
     return with_text_columns(docs, text_col, FIELDS, kernel)
 
@@ -172,4 +220,4 @@ def scan(docs: DataFrame, text_col: str = "text", phrases: dict[str, str] = PHRA
 def op7_license_scan(spark, sf_dir: str) -> DataFrame:
     """The contract's columns for each row of documents."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
-    return scan(docs).select("doc_id", *(f.name for f in FIELDS if f.name != "matches"))
+    return scan(docs, wrapped=True).select("doc_id", *(f.name for f in FIELDS if f.name != "matches"))
