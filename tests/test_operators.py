@@ -49,7 +49,7 @@ def test_cells_round_down_and_layers_close_above(spark):
     odd = spark.createDataFrame([(float("nan"),), (float("inf"),), (1.00005,), (None,)], "v double")
     assert [r[0] for r in odd.select(safe_round(F.col("v"))).collect()] == [None, None, 1.0, None]
     assert df.select(bucket(F.lit(64.0)), bucket(F.lit(65.0))).first() == (1, 2)
-    assert df.select(safe_xy_scale(F.lit(5094475.0))).first()[0] == 0.01
+    assert df.select(safe_xy_scale(F.lit(5733149.0))).first()[0] == 0.01
 
 
 @pytest.mark.parametrize(("numbers", "expected"), [([], None), ([3.0], None), ([0.0, 0.0], 0.0), ([1.0, 3.0], 0.5), ([-1.0, 1.0], 1.0), ([2.0, 2.0, 2.0], 0.0), ([None, 1.0, 3.0], 0.5)])
@@ -74,8 +74,8 @@ def test_tiles_are_half_open(spark):
 
 
 def test_edge_flags_on_and_off_the_lattice(spark):
-    for corner, inner in ((306685.0, 9), (306680.0, 0)):
-        tiles = grid.covering(spark, (corner, 5094400.0 + corner % 20, corner + 100, 5094500.0 + corner % 20), 20.0)
+    for corner, inner in ((412346.0, 9), (412340.0, 0)):
+        tiles = grid.covering(spark, (corner, 5733140.0 + corner % 20, corner + 100, 5733240.0 + corner % 20), 20.0)
         assert grid.edge_flags(tiles, 20.0).where("NOT edge_tile").count() == inner
 
 

@@ -11,33 +11,23 @@ import pytest
 from understory.params import Parameters
 from understory.plans.run import run
 from understory.sinks import geotiff
-from understory.sources import las
+from understory.sources import las, synthetic
 
-X0, Y0 = 306675.0, 5094475.0
+X0, Y0, SIDE = synthetic.CORNER_X, synthetic.CORNER_Y, 54.0
 
 
-def plane(x, y):
-    return 178 + 0.015 * (x - X0) + 0.01 * (y - Y0)
+def rolling(x, y):
+    return 143 + 1.5 * np.sin((x - X0) / 19) + 1.1 * np.cos((y - Y0) / 26)
 
 
 @pytest.fixture(scope="module")
-def cloud(tmp_path_factory):
-    """Ground on a lattice of 1 m and canopy over it, with three segment attributes, as a LAS file."""
-    rng = np.random.default_rng(5)
-    gx, gy = np.meshgrid(np.arange(51.0), np.arange(51.0))
-    ground = np.column_stack([X0 + gx.ravel(), Y0 + gy.ravel()])
-    edge = np.array([[X0 - 0.59, Y0 + 0.4], [X0 + 0.4, Y0 - 0.59], [X0 - 0.59, Y0 - 0.59]])
-    ground = np.vstack([ground, edge])
-    canopy = rng.uniform(0, 50, (12000, 2)) + [X0, Y0]
-    h = 0.7 + rng.beta(2, 4, 12000) * 24
-    h[0], h[1] = 31, 32
-    canopy[0], canopy[1] = [X0 + 20, Y0 + 15], [X0 + 22, Y0 + 35]
-    xy = np.vstack([ground, canopy])
-    z = np.concatenate([plane(*ground.T), plane(*canopy.T) + h])
-    first = np.concatenate([np.zeros(len(ground)), np.where(canopy[:, 1] < Y0 + 25, 101, 202)])
-    one = np.concatenate([np.zeros(len(ground)), np.full(12000, 303)])
+def cloud(spark, tmp_path_factory):
+    """An orchard of 54 m by 54 m as a LAS file: trees by rows, all trees as one, and the trees under another name."""
+    df = synthetic.orchard(spark, 13_000, SIDE - 2 * synthetic.STRIP)
+    rows = np.array([tuple(r) for r in df.collect()])
+    tree = rows[:, 4]
     path = str(tmp_path_factory.mktemp("cloud") / "cloud.las")
-    las.write(path, np.column_stack([xy, z]), extras={"PredInstance": first, "PredInstance_SAT": one, "TreeAlias": one})
+    las.write(path, rows[:, :3], extras={"PredInstance": np.ceil(tree / 7), "PredInstance_SAT": np.minimum(tree, 1), "Crown": tree})
     return path
 
 
@@ -49,7 +39,7 @@ def feature(geometry, role=None):
     return {"type": "Feature", "properties": {} if role is None else {"role": role}, "geometry": geometry}
 
 
-INCLUDE, EXCLUDE = (X0 + 5, Y0 + 5, X0 + 45, Y0 + 45), (X0 + 6, Y0 + 6, X0 + 24, Y0 + 24)
+INCLUDE, EXCLUDE = (X0 + 8, Y0 + 3, X0 + 48, Y0 + 43), (X0 + 30, Y0 + 25, X0 + 40, Y0 + 40)
 
 
 def write_aoi(path, *features):
@@ -68,21 +58,21 @@ def rows_of(found, suffix="PredInstance"):
 
 def test_whole_cloud_with_report(spark, cloud, tmp_path):
     found = run(spark, cloud, str(tmp_path), Parameters(dataset_id=7, performance_report=True))
-    assert found["tiles"] == 9 and found["points"] == 14604
+    assert found["tiles"] == 9 and found["points"] == 13_000
     assert found["dimensions"] == ["PredInstance", "PredInstance_SAT"]
     rows = rows_of(found)
     assert [int(r["tile_id"]) for r in rows] == list(range(1, 10))
     assert len(rows[0]) == 34 and rows[0]["sensor"] == "NA" and rows[0]["edge_tile"] in ("TRUE", "FALSE")
-    assert sum(int(r["n_trees"]) for r in rows) == 2
+    assert sum(int(r["n_seg_total"]) for r in rows) == sum(int(r["n_trees"]) for r in rows) == 9
     assert sum(int(r["n_trees"]) for r in rows_of(found, "PredInstance_SAT")) == 1
     grid, tags = geotiff.read(str(tmp_path / "7_dtm.tif"))
     y, x = np.mgrid[0 : grid.shape[0], 0 : grid.shape[1]]
     west, north = tags[33922][3], tags[33922][4]
-    expected = plane(west + x + 0.5, north - y - 0.5)
+    expected = rolling(west + x + 0.5, north - y - 0.5)
     known = np.isfinite(grid)
     assert known.mean() > 0.9 and np.abs(grid - expected)[known].max() < 0.35
     chm, tags = geotiff.read(str(tmp_path / "7_chm.tif"))
-    assert tags[33550][0] == 0.5 and 30 < np.nanmax(chm) < 33
+    assert tags[33550][0] == 0.5 and 16 < np.nanmax(chm) < 17.2
     assert (tmp_path / "7_tiles.png").read_bytes()[:8] == b"\x89PNG\r\n\x1a\n"
     report = read_csv(tmp_path / "7_performance.csv")[0]
     assert int(report["tile_count"]) == 9 and float(report["total_seconds"]) > 0
@@ -99,14 +89,14 @@ def test_inclusion_tiles_match_their_geojson(spark, cloud, tmp_path):
             have = f["properties"][k]
             assert have is None if v == "NA" else str(have).upper() == v if v in ("TRUE", "FALSE") else have == v or abs(float(v) - have) < 1e-9
     assert not (tmp_path / "1_performance.csv").exists()
-    assert 10 < float(rows[0]["rumple"]) < 25
+    assert 4 < float(rows[0]["rumple"]) < 12
 
 
 def test_exclusion_and_geopackage(spark, tmp_path):
     from understory.operators import grid
     from understory.plans.run import footprint, tiles_for
 
-    extent = (X0 - 0.59, Y0 - 0.59, X0 + 50, Y0 + 50)
+    extent = (X0, Y0, X0 + 54, Y0 + 54)
     aoi = write_aoi(tmp_path / "a.geojson", feature(polygon(*INCLUDE), " Inclusion"), feature(polygon(*EXCLUDE), "EXCLUDE"))
     assert tiles_for(spark, footprint(aoi, extent), Parameters()).count() == 3
     path = tmp_path / "a.gpkg"
@@ -130,11 +120,11 @@ def test_exclusion_and_geopackage(spark, tmp_path):
 
 def test_zero_tiles_write_empty_tables(spark, cloud, tmp_path):
     aoi = write_aoi(tmp_path / "z.geojson", feature(polygon(X0 + 5, Y0 + 5, X0 + 15, Y0 + 15)))
-    found = run(spark, cloud, str(tmp_path), Parameters(instance_dimensions=("Missing", "TreeAlias", "PredInstance", "TreeAlias")), aoi)
-    assert found["tiles"] == 0 and found["dimensions"] == ["TreeAlias", "PredInstance"]
+    found = run(spark, cloud, str(tmp_path), Parameters(instance_dimensions=("Missing", "Crown", "PredInstance", "Crown")), aoi)
+    assert found["tiles"] == 0 and found["dimensions"] == ["Crown", "PredInstance"]
     assert rows_of(found) == []
-    assert json.loads((tmp_path / "1_TreeAlias_tiles.geojson").read_text()) == {"type": "FeatureCollection", "features": []}
-    assert len(read_csv(tmp_path / "1_PredInstance_segment_diagnostics.csv")) == 2
+    assert json.loads((tmp_path / "1_Crown_tiles.geojson").read_text()) == {"type": "FeatureCollection", "features": []}
+    assert len(read_csv(tmp_path / "1_PredInstance_segment_diagnostics.csv")) == 9
 
 
 def test_without_segments_tree_columns_are_null(spark, tmp_path):
@@ -171,10 +161,9 @@ def test_folder_must_be_writable(spark, tmp_path):
 
 def test_two_runs_are_the_same(spark, tmp_path):
     from understory.plans import compare
-    from understory.sources import synthetic
 
     folders = []
-    df = synthetic.forest(spark, 4000, 40.0).persist()
+    df = synthetic.orchard(spark, 6000, 40.0).persist()
     box = synthetic.aoi_box(40.0)
     for i in range(2):
         (tmp_path / str(i)).mkdir()
@@ -185,7 +174,7 @@ def test_two_runs_are_the_same(spark, tmp_path):
     assert compare.same_raster(f"{folders[0]}/1_dtm.tif", f"{folders[1]}/1_dtm.tif")
     assert set(compare.different_files(*folders)) <= {"1_dtm.tif"}
     rows = read_csv(f"{folders[0]}/1_PredInstance_results.csv")
-    assert len(rows) == 4 and all(int(r["n_seg_total"]) == 1 for r in rows)
+    assert len(rows) == 4 and all(int(r["n_seg_total"]) > 4 for r in rows)
 
 
 def test_differences_of_relations(spark):

@@ -10,10 +10,10 @@ R, TILE, CHM, MAXIMUM, GREEN = _D(P.voxel_resolution), _D(P.tile_size), _D(P.chm
 CLOUD = """
 pts0 AS (SELECT l_orderkey * 10 + l_linenumber AS pid, (l_orderkey * 7919 + l_linenumber * 104729 + l_partkey * 31) % 60000 AS hx,
   (l_orderkey * 6101 + l_partkey * 15485 + l_suppkey * 13) % 60000 AS hy, l_quantity, l_discount FROM lineitem),
-pts1 AS (SELECT *, CAST(306675 AS DOUBLE) + hx / CAST(1000 AS DOUBLE) AS x, CAST(5094475 AS DOUBLE) + hy / CAST(1000 AS DOUBLE) AS y, hx // 7000 AS sx, hy // 7000 AS sy FROM pts0),
+pts1 AS (SELECT *, CAST(412337 AS DOUBLE) + hx / CAST(1000 AS DOUBLE) AS x, CAST(5733149 AS DOUBLE) + hy / CAST(1000 AS DOUBLE) AS y, hx // 7000 AS sx, hy // 7000 AS sy FROM pts0),
 pts AS (SELECT *, (l_quantity - 1) / CAST(49 AS DOUBLE) * (4 + (sx * 7 + sy * 11) % 20) + l_discount AS h,
   CAST(CASE WHEN (sx + sy) % 5 = 0 THEN 0 ELSE 1 + sx + 100 * sy END AS DOUBLE) AS pi FROM pts1),
-cloud AS (SELECT pid, x, y, CAST(178 AS DOUBLE) + CAST(0.015 AS DOUBLE) * (x - 306675) + CAST(0.01 AS DOUBLE) * (y - 5094475) + h AS z, h, pi AS "PredInstance",
+cloud AS (SELECT pid, x, y, CAST(96 AS DOUBLE) + CAST(0.02 AS DOUBLE) * (x - 412337) + CAST(0.03 AS DOUBLE) * (y - 5733149) + h AS z, h, pi AS "PredInstance",
   CAST(CASE WHEN pi = 0 THEN 0 ELSE 1 + hx // 20000 END AS DOUBLE) AS "PredInstance_SAT" FROM pts)"""
 
 
@@ -124,7 +124,7 @@ trees AS (SELECT * FROM agg LEFT JOIN tree_height_gini USING (tile_id) LEFT JOIN
 _HEIGHTS = "hts AS (SELECT tile_id, max(z) AS height_max, avg(z) AS height_mean FROM voxz GROUP BY tile_id)"
 _FILLED = "fil AS (SELECT tile_id, CAST(count(*) AS INTEGER) AS vox_filled FROM veg GROUP BY tile_id)"
 _RASTER = """
-cells AS (SELECT c AS col, r AS row, CAST(178 AS DOUBLE) + CAST(0.015 AS DOUBLE) * (c + CAST(0.5 AS DOUBLE)) + CAST(0.01 AS DOUBLE) * (r + CAST(0.5 AS DOUBLE)) AS value FROM range(60) a(c), range(60) b(r))"""
+cells AS (SELECT c AS col, r AS row, CAST(96 AS DOUBLE) + CAST(0.02 AS DOUBLE) * (c + CAST(0.5 AS DOUBLE)) + CAST(0.03 AS DOUBLE) * (r + CAST(0.5 AS DOUBLE)) AS value FROM range(60) a(c), range(60) b(r))"""
 
 
 def _rounded(columns: str, digits: int = 6, even: bool = False) -> str:
@@ -181,22 +181,22 @@ SQL = {
     "offset_search": _sql([_SEARCH, _search(_BARRED)], "SELECT offset_x, offset_y, tiles FROM scored"),
     "optimized_grid": _placed(_FREE),
     "grid_with_exclusion": _placed(_BARRED),
-    "edge_flags_offlattice": _sql([_lattice("tiles", 306685.0, 5094485.0, 5, 5), EDGES], "SELECT tile_id, edge_tile FROM edges"),
-    "edge_flags_aligned": _sql([_lattice("tiles", 306680.0, 5094480.0, 5, 5), EDGES], "SELECT tile_id, edge_tile FROM edges"),
+    "edge_flags_offlattice": _sql([_lattice("tiles", 412346.0, 5733158.0, 5, 5), EDGES], "SELECT tile_id, edge_tile FROM edges"),
+    "edge_flags_aligned": _sql([_lattice("tiles", 412340.0, 5733160.0, 5, 5), EDGES], "SELECT tile_id, edge_tile FROM edges"),
     "points_in_tiles": _sql([CLOUD, TILES, TILED], f"SELECT tile_id, {_rounded('pid, ~x, ~y, ~h')} FROM tiled"),
-    "ground_normalize_nearest": _sql([CLOUD, _RASTER], "SELECT pid, round(x, 6) AS x, round(y, 6) AS y, round(z - value, 6) AS h FROM cloud JOIN cells ON col = floor(x - 306675) AND row = floor(y - 5094475)"),
+    "ground_normalize_nearest": _sql([CLOUD, _RASTER], "SELECT pid, round(x, 6) AS x, round(y, 6) AS y, round(z - value, 6) AS h FROM cloud JOIN cells ON col = floor(x - 412337) AND row = floor(y - 5733149)"),
     "ground_normalize_bilinear": _sql(
-        [CLOUD, _RASTER, "n AS (SELECT row_number() OVER () AS id, pid, x, y, z, (x - 306675) - CAST(0.5 AS DOUBLE) AS u, (y - 5094475) - CAST(0.5 AS DOUBLE) AS v FROM cloud)",
+        [CLOUD, _RASTER, "n AS (SELECT row_number() OVER () AS id, pid, x, y, z, (x - 412337) - CAST(0.5 AS DOUBLE) AS u, (y - 5733149) - CAST(0.5 AS DOUBLE) AS v FROM cloud)",
          "q AS (SELECT id, pid, x, y, z, value, (CASE WHEN i = 1 THEN u - floor(u) ELSE 1 - (u - floor(u)) END) * (CASE WHEN j = 1 THEN v - floor(v) ELSE 1 - (v - floor(v)) END) AS w FROM n, (VALUES (0,0),(0,1),(1,0),(1,1)) o(i, j), cells WHERE col = floor(u) + i AND row = floor(v) + j)"],
         "SELECT pid, round(x, 6) AS x, round(y, 6) AS y, round(z - sum(w * value) / sum(w), 6) AS h FROM q GROUP BY id, pid, x, y, z HAVING sum(w) > 0",
     ),
     "buffered_chunks": _sql(
-        [CLOUD], """SELECT cx AS chunk_x, cy AS chunk_y, count(*) AS points, count(*) FILTER (floor((x - 306675) / 20) = cx AND floor((y - 5094475) / 20) = cy) AS core
-  FROM cloud, range(-2, 6) a(cx), range(-2, 6) b(cy) WHERE cx BETWEEN floor((x - 306675 - 5) / 20) AND floor((x - 306675 + 5) / 20) AND cy BETWEEN floor((y - 5094475 - 5) / 20) AND floor((y - 5094475 + 5) / 20) GROUP BY ALL""",
+        [CLOUD], """SELECT cx AS chunk_x, cy AS chunk_y, count(*) AS points, count(*) FILTER (floor((x - 412337) / 20) = cx AND floor((y - 5733149) / 20) = cy) AS core
+  FROM cloud, range(-2, 6) a(cx), range(-2, 6) b(cy) WHERE cx BETWEEN floor((x - 412337 - 5) / 20) AND floor((x - 412337 + 5) / 20) AND cy BETWEEN floor((y - 5733149 - 5) / 20) AND floor((y - 5733149 + 5) / 20) GROUP BY ALL""",
     ),
     "nondegenerate_chunks": _sql(
         [CLOUD], """SELECT cx AS chunk_x, cy AS chunk_y, count(DISTINCT (x, y)) >= 3 AND NOT coalesce(var_pop(x) * var_pop(y) - covar_pop(x, y) * covar_pop(x, y) <= CAST(1e-9 AS DOUBLE) * var_pop(x) * var_pop(y), true) AS usable
-  FROM cloud, range(-2, 6) a(cx), range(-2, 6) b(cy) WHERE cx BETWEEN floor((x - 306675 - 5) / 20) AND floor((x - 306675 + 5) / 20) AND cy BETWEEN floor((y - 5094475 - 5) / 20) AND floor((y - 5094475 + 5) / 20) GROUP BY ALL""",
+  FROM cloud, range(-2, 6) a(cx), range(-2, 6) b(cy) WHERE cx BETWEEN floor((x - 412337 - 5) / 20) AND floor((x - 412337 + 5) / 20) AND cy BETWEEN floor((y - 5733149 - 5) / 20) AND floor((y - 5733149 + 5) / 20) GROUP BY ALL""",
     ),
     "tin_dtm": _sql([_RASTER], "SELECT col, row, round(value, 6) AS value FROM cells"),
     "ptd_ground": _sql([CLOUD], "SELECT 2 AS classification, 61 * 61 AS points UNION ALL SELECT 1, count(*) FROM cloud WHERE h > 2"),

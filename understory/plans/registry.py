@@ -186,7 +186,7 @@ def queries() -> dict[str, Query]:
         "optimized_grid": lambda s, d: _tiles(grid.optimized(s, [WIDE_AOI], p.tile_size, p.grid_search_step)),
         "grid_with_exclusion": lambda s, d: _tiles(grid.optimized(s, [WIDE_AOI], p.tile_size, p.grid_search_step, [EXCLUSION])),
         "edge_flags_offlattice": edge_flags(AOI[:2]),
-        "edge_flags_aligned": edge_flags((306680.0, 5094480.0)),
+        "edge_flags_aligned": edge_flags((412340.0, 5733160.0)),
         "points_in_tiles": lambda s, d: rounded(virtual.tiled(s, d).select("tile_id", "pid", "x", "y", "h")),
         "ground_normalize_nearest": lambda s, d: rounded(terrain.normalize_nearest(virtual.cloud(s, d).select("pid", "x", "y", "z"), _raster(s), X0, Y0, 1.0).select("pid", "x", "y", "h")),
         "ground_normalize_bilinear": lambda s, d: rounded(terrain.normalize_bilinear(virtual.cloud(s, d).select("pid", "x", "y", "z"), _raster(s), X0, Y0, 1.0).select("pid", "x", "y", "h")),

@@ -11,9 +11,9 @@ from understory.sources import points
 
 P = Parameters()
 #: Inclusion and exclusion rectangles, and one off the lattice for the placement search.
-AOI = (306685.0, 5094485.0, 306725.0, 5094525.0)
-EXCLUSION = (306686.0, 5094486.0, 306704.0, 5094504.0)
-WIDE_AOI = (306675.3, 5094475.2, 306733.1, 5094529.7)
+AOI = (412346.0, 5733158.0, 412386.0, 5733198.0)
+EXCLUSION = (412363.0, 5733155.0, 412379.0, 5733172.0)
+WIDE_AOI = (412337.3, 5733149.2, 412395.1, 5733203.7)
 DIMENSIONS = ["PredInstance", "PredInstance_SAT"]
 FILE = "virtual"
 

@@ -12,8 +12,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 #: South-west corner and ground plane of the virtual cloud.
-ORIGIN_X, ORIGIN_Y = 306675.0, 5094475.0
-PLANE_Z, PLANE_X, PLANE_Y = 178.0, 0.015, 0.01
+ORIGIN_X, ORIGIN_Y = 412337.0, 5733149.0
+PLANE_Z, PLANE_X, PLANE_Y = 96.0, 0.02, 0.03
 
 
 def read(spark: SparkSession, path: str) -> DataFrame:
