@@ -80,6 +80,28 @@ def shared_folder(spark: SparkSession) -> str:
     return folder.rstrip("/")
 
 
+def fresh(df: DataFrame, *names: str) -> list[str]:
+    """The names, each with as many underscores behind it as make it a new one for df."""
+    taken = {c.lower() for c in df.columns}
+    out = []
+    for name in names:
+        while name.lower() in taken:
+            name += "_"
+        out.append(name)
+        taken.add(name.lower())
+    return out
+
+
+def keyed(docs: DataFrame, id_col: str = "doc_id") -> tuple[DataFrame, str]:
+    """docs with a number for each row, and that column's name: the id where all are there and differ, else one by storage."""
+    (key,) = fresh(docs, "_key")
+    counts = docs.select(F.col(id_col).cast("long").alias("i")).groupBy("i").count()
+    counts = counts.agg(F.max("count"), F.max(F.col("i").isNull().cast("int"))).first()
+    if (counts[0] or 1) == 1 and not counts[1]:
+        return docs.withColumn(key, F.col(id_col).cast("long")), key
+    return saved(docs.withColumn(key, F.monotonically_increasing_id()), "numbered"), key
+
+
 #: Narrow rows that a file of a table holds where their number is known beforehand.
 FILE_ROWS = 200_000
 

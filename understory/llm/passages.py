@@ -1,31 +1,35 @@
 """Substring dedup by collinear chaining: fuzzy passages that repeat an earlier document's.
 
-1. Seeds: winnowed hashes of K words; any K + W - 1 equal words share one.  Words said
-   over and over, up to PERIOD in turn, are one seed a run, with the run's length.  From
-   each winnowed place on, long seeds go to the first winnowed one that makes LONG words.
-2. Matches: rows of a seed are sorted and stream by, each matched with the seed's first
-   document (least id) and, for K words, the document before: 2 n matches, not pairs.  The
-   first document of a long seed of 50 words holds a whole passage, whoever holds its parts.  A run is matched with the
-   longest one of an earlier document, in tiles where it is longer than that.
+1. Seeds: winnowed hashes of K words; any K + WINDOW - 1 equal words share one.  Words said
+   over and over, up to PERIOD in turn, are one seed a run, with the run's length.  Each
+   winnowed seed also makes a pair with the first one that lies PAIR words on, whatever
+   stands between: who holds a pair holds both ends of the same passage.
+2. Matches: a row is matched with the least document that holds its seed (a run with the
+   longest one of an earlier document), in the batch where the batch has an earlier one,
+   else among all: one or two matches a row, however many documents hold a seed.
 3. Chains: matches of two documents that go on at the same offset are fragments;
    fragments in order in both texts are chained for the greatest matched length less a
-   linear gap cost, each with the best of those that end within MAX_GAP before it.
+   linear gap cost, by range maxima in a Fenwick tree over those that end within MAX_GAP.
 4. Alignment: the words of a chain and of its margins are fetched in blocks of BLOCK
    words (each block of a document once, however many chains need it), runs are compared
    and gaps aligned word by word and the ends extended; passages of MIN_WORDS words and IDENTITY stay.
+5. What is left: stretches in which every seed is known but that no passage covers may
+   repeat a document that is no seed's least one.  All their runs of MIN_WORDS words are
+   looked up in all texts; they are matched with their least holder and go through 3 and 4.
 
-A seed's rows are streamed, never gathered; a document's matches are as many as its own
-seeds; blocks of a popular document are joined by (document, block).
+So every exact repeat of MIN_WORDS words in a row is found, whoever else holds parts of it;
+fuzzy ones are found where a chain of seeds of one document pair spans MIN_CORE words.
 
 Defined results: null, empty and short texts repeat nothing; the document of the least id
 keeps a passage and later ones lose it; repeats within one document are left alone;
 where ids are null or repeated, rows are numbered as they are stored and the number
-takes the id's place in the order; other columns are kept by cut(); empty tables give
-empty results.
+takes the id's place in the order; a very long text is read whole, as a slice of its own;
+other columns are kept by cut(), whatever their names; empty tables give empty results.
 """
 
 from __future__ import annotations
 
+from bisect import bisect_left
 from collections.abc import Iterator
 
 import numpy as np
@@ -35,20 +39,22 @@ from pyspark.sql import functions as F
 
 from understory.llm import textkernel as tk
 from understory.llm.blocks import groups
-from understory.llm.common import map_arrow, saved
+from understory.llm.common import fresh, keyed, map_arrow, saved
 
-K = 8
-WINDOW = 10
-#: Least words of the long seeds: what winnowing leaves of MIN_WORDS equal words, and a passage.
-LONG = (32, 50)
+K = 6
+WINDOW = 8
+#: Words from the beginning of a pair's first seed to the end of its second, at least.
+PAIR = 30
 #: Places within which seeds that come again are a run.
 PERIOD = 8
 #: A passage has this many words, this share of them equal.
 MIN_WORDS = 50
 IDENTITY = 0.8
 #: Words a chain of seeds spans at least; the alignment may extend it by MARGIN on both sides.
-MIN_CORE = 20
+MIN_CORE = 14
 MARGIN = 64
+#: Words of the seeds of an exact passage that may lie outside of its first and last one.
+LOOSE = WINDOW - 1 + PERIOD
 #: Cost of a word of gap in either text, and the longest gap that is bridged.  The
 #: alignment takes chains apart where a gap doesn't align.
 GAP_COST = 0.04
@@ -56,6 +62,8 @@ MAX_GAP = 128
 BLOCK = 64
 #: Blocks whose numbers are broadcast at most (4 bytes each, and 8 a document).
 BROADCAST_BLOCKS = 1_000_000
+#: Longs of the bit set of wanted windows at most, as a power of two (8 MB).
+BIT_POWER = 20
 _LOW = np.uint64((1 << 20) - 1)
 
 
@@ -123,101 +131,182 @@ def periods(hashes: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndar
     return np.concatenate(at), np.concatenate(seeds), np.concatenate(words), np.concatenate(kinds)
 
 
-def long_seeds(found: tk.Words, chosen: np.ndarray, bounds: np.ndarray, least: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(place, seed, words): from each chosen shingle to the end of the first one that makes `least` words or more."""
+def seed_pairs(hashes: np.ndarray, chosen: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(place, seed, words) of each chosen shingle with the first chosen one that makes PAIR words or more; words between them are free."""
     text = np.searchsorted(bounds, chosen, side="right") - 1
-    to = np.searchsorted(chosen, chosen + least - K)
+    to = np.searchsorted(chosen, chosen + PAIR - K)
     inside = to < len(chosen)
     inside[inside] = text[to[inside]] == text[inside]
-    at, end, text = chosen[inside], chosen[to[inside]] + K, text[inside]
-    shift = found.bounds[text] - bounds[text]
-    return at, tk.spans(found, at + shift, end + shift), end - at
+    at, end = chosen[inside], chosen[to[inside]]
+    return at, tk.mix(hashes[at] + (hashes[end] ^ (hashes[end] >> np.uint64(7))) * np.uint64(3)), end + K - at
+
+
+SEEDS = "seed long, key long, at int, n int, period byte, first long, first_at int"
+MATCHES = "key long, first long, at int, first_at int, n int"
+
+
+def _match_batch(key, first, at, first_at, n) -> pa.RecordBatch:
+    kinds = (pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int32())
+    return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip((key, first, at, first_at, n), kinds, strict=True)], names=["key", "first", "at", "first_at", "n"])
+
+
+def _two(key, first, at, first_at, n, first_n) -> tuple[np.ndarray, ...]:
+    """Matches of K words: one a seed, and both ends of a pair of seeds."""
+    pair = n > K
+    both = lambda a, b: np.concatenate([a, b[pair]])
+    return both(key, key), both(first, first), both(at, at + n - K), both(first_at, first_at + first_n - K), np.full(len(key) + int(pair.sum()), K)
 
 
 def _seeds(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Seeds of n words each; those of runs have a period, others 0."""
+    """Seeds of n words each; those of runs have a period, others 0.
+
+    Within a batch a seed goes on with its least document only; rows of later ones are
+    matched here (first, first_at), so a seed that a third of all texts hold is a row a
+    batch, not a row a text.
+    """
     for batch in batches:
         keys = batch.column("key").to_numpy()
-        for first, _, raw, offsets in tk.slices(batch.column("text")):
+        rows: list[tuple] = []
+        for begin, _, raw, offsets in tk.slices(batch.column("text")):
             found = tk.words(raw, offsets)
             hashes, bounds = tk.shingles(found, K)
             chosen = winnow(hashes, bounds)
-            at, seeds, n, period = periods(hashes, bounds)
-            more = [long_seeds(found, chosen, bounds, least) for least in LONG]
-            place = np.concatenate([chosen, *(m[0] for m in more), at])
+            pairs, runs = seed_pairs(hashes, chosen, bounds), periods(hashes, bounds)
+            place = np.concatenate([chosen, pairs[0], runs[0]])
             text = np.searchsorted(bounds, place, side="right") - 1
+            n = np.concatenate([np.full(len(chosen), K), pairs[2], runs[2]]).astype(np.int32)
+            period = np.concatenate([np.zeros(len(chosen) + len(pairs[0]), np.int8), runs[3].astype(np.int8)])
             long = found.counts[text] >= MIN_WORDS
-            if long.any():
-                seed = np.concatenate([hashes[chosen], *(m[1] for m in more), seeds])
-                n = np.concatenate([np.full(len(chosen), K), *(m[2] for m in more), n]).astype(np.int32)
-                period = np.concatenate([np.zeros(len(place) - len(period), np.int8), period]).astype(np.int8)
-                text, place = text[long], place[long]
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(seed[long].view(np.int64)), pa.array(keys[first + text]), pa.array((place - bounds[text]).astype(np.int32)), pa.array(n[long]), pa.array(period[long])],
-                    names=["seed", "key", "at", "n", "period"],
-                )
+            rows.append(tuple(c[long] for c in (np.concatenate([hashes[chosen], pairs[1], runs[1]]), keys[begin + text], (place - bounds[text]).astype(np.int32), n, period)))
+        seed, key, at, n, period = (np.concatenate(c) for c in zip(*rows, strict=True)) if rows else (np.zeros(0, np.uint64),) * 5
+        if not len(seed):
+            continue
+        order = np.lexsort((at, key, seed))
+        seed, key, at, n, period = seed[order], key[order], at[order], n[order], period[order]
+        new = np.concatenate([[True], seed[1:] != seed[:-1]])
+        start = np.maximum.accumulate(np.where(new, np.arange(len(seed)), 0))
+        goes_on = key == key[start]
+        runs = np.flatnonzero((period > 0) & ~goes_on)
+        if len(runs):  # of a run, also those that are longer than the ones of documents before
+            longest, mine = _Longest(), np.flatnonzero(period)
+            found = []
+            for i, r in zip(mine.tolist(), zip(*(x[mine].tolist() for x in (seed, key, at, n, period)), strict=True), strict=True):
+                goes_on[i] |= longest.adds(*r)
+                if not goes_on[i]:
+                    found += longest.matches(*r)
+            if found:
+                yield _passed(*zip(*found, strict=True))
+        here = np.flatnonzero(~goes_on & (period == 0))
+        if len(here):
+            of = start[here]
+            yield _passed(*_two(key[here], key[of], at[here], at[of], n[here], n[of]))
+        some = np.flatnonzero(goes_on)
+        none = pa.nulls(len(some), pa.int64())
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(seed[some].view(np.int64)), pa.array(key[some]), pa.array(at[some]), pa.array(n[some]), pa.array(period[some]), none, none.cast(pa.int32())],
+            names=["seed", "key", "at", "n", "period", "first", "first_at"],
+        )
+
+
+def _passed(key, first, at, first_at, n) -> pa.RecordBatch:
+    """Matches in the columns of seeds; they go by their document."""
+    kinds = (pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int8(), pa.int64(), pa.int32())
+    columns = (key, key, at, n, np.zeros(len(key), np.int8), first, first_at)
+    return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names=["seed", "key", "at", "n", "period", "first", "first_at"])
 
 
 class _Longest:
-    """Runs of one seed as they stream by: each is matched with the longest one of the documents before."""
+    """Runs of one seed as they stream by in the order of documents, each held against the longest one of the documents before."""
 
     def __init__(self):
         self.seed = self.key = None
 
-    def add(self, seed: int, key: int, at: int, n: int, period: int) -> Iterator[tuple[int, int, int, int, int]]:
+    def adds(self, seed: int, key: int, at: int, n: int, period: int) -> bool:
+        """Take up a run; whether it is longer than all of the documents before."""
         if seed != self.seed:
             self.seed, self.key, self.before, self.upto = seed, key, (0, 0, 0), (0, 0, 0)
         if key != self.key:
             self.key, self.before = key, self.upto
+        if n > self.upto[0]:
+            self.upto = (n, key, at)
+        return n > self.before[0]
+
+    def matches(self, seed: int, key: int, at: int, n: int, period: int) -> Iterator[tuple[int, int, int, int, int]]:
+        """Matches of the run just taken up: in tiles, whole periods apart, where it is longer than the other."""
         length, other, place = self.before
         if length:
-            # a run longer than the other is covered in tiles, whole periods apart
             last = max(n - length, 0)
             last += -last % period if n - last - (-last % period) >= MIN_WORDS else -(last % period)
             step = length - length % period
             for to in [*(range(0, last, step) if length >= MIN_WORDS else [0] * (last > 0)), last]:
                 yield key, other, at + to, place, min(length, n - to)
-        if n > self.upto[0]:
-            self.upto = (n, key, at)
 
 
 def _matches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Each row's matches with the first row of its seed and, of K words, with the document before; rows come sorted by seed, key, at."""
-    names = ["key", "first", "at", "first_at", "n"]
+    """Each row's match with the first row of its seed, and matches made before; rows come sorted by seed, key, at."""
     last, longest = None, _Longest()
     for batch in batches:
+        made = batch.column("first").is_valid()
+        if made.true_count:
+            yield batch.filter(made).select(["key", "first", "at", "first_at", "n"])
+            batch = batch.filter(made.to_numpy(zero_copy_only=False) == 0) if made.true_count < batch.num_rows else batch.slice(0, 0)
         if not batch.num_rows:
             continue
         seed, key, at, n, period = (batch.column(i).to_numpy() for i in range(5))
         new = np.concatenate([[True], seed[1:] != seed[:-1]])
         start = np.maximum.accumulate(np.where(new, np.arange(len(seed)), 0))
-        first_key, first_at = key[start], at[start]
-        # where the seed's document of a row begins, and the one before it
-        own = np.maximum.accumulate(np.where(new | np.concatenate([[True], key[1:] != key[:-1]]), np.arange(len(seed)), 0))
-        none = own == start
-        prior = own[np.maximum(own - 1, 0)]
-        before_key, before_at = np.where(none, key, key[prior]), np.where(none, at, at[prior])
-        own_at = at[own]
-        if last is not None and last["seed"] == seed[0]:
+        first, first_at, first_n = key[start], at[start], n[start]
+        if last is not None and last[0] == seed[0]:
             lead = start == 0
-            first_key = np.where(lead, last["first"][0], first_key)
-            first_at = np.where(lead, last["first"][1], first_at)
-            go_on = key[0] == last["own"][0]
-            of, place = last["before"] if go_on else last["own"]
-            before_key, before_at = np.where(own == 0, of, before_key), np.where(own == 0, place, before_at)
-            if go_on:
-                second = lead & (own != 0) & (prior == 0)  # the document that goes on began in the last batch
-                before_at = np.where(second, last["own"][1], before_at)
-                own_at = np.where(own == 0, last["own"][1], own_at)
-        last = {"seed": seed[-1], "first": (first_key[-1], first_at[-1]), "own": (key[-1], own_at[-1]), "before": (before_key[-1], before_at[-1])}
-        later = (key != first_key) & (period == 0)
-        for rows, of, place in ((np.flatnonzero(later), first_key, first_at), (np.flatnonzero(later & (n == K) & (before_key != first_key)), before_key, before_at)):
-            if len(rows):
-                yield pa.RecordBatch.from_arrays([pa.array(key[rows]), pa.array(of[rows]), pa.array(at[rows]), pa.array(place[rows].astype(np.int32)), pa.array(n[rows])], names=names)
-        rows = np.flatnonzero(period)
-        found = [m for r in zip(*(x[rows].tolist() for x in (seed, key, at, n, period)), strict=True) for m in longest.add(*r)]
+            first, first_at, first_n = (np.where(lead, v, x) for v, x in zip(last[1:], (first, first_at, first_n), strict=True))
+        last = (seed[-1], first[-1], first_at[-1], first_n[-1])
+        rows = np.flatnonzero((key != first) & (period == 0))
+        if len(rows):
+            yield _match_batch(*_two(key[rows], first[rows], at[rows], first_at[rows], n[rows], first_n[rows]))
+        rows, found = np.flatnonzero(period), []
+        for r in zip(*(x[rows].tolist() for x in (seed, key, at, n, period)), strict=True):
+            longest.adds(*r)
+            found += longest.matches(*r)
         if found:
-            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*found, strict=True), (pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int32()), strict=True)], names=names)
+            yield _match_batch(*zip(*found, strict=True))
+
+
+class Maxima:
+    """A Fenwick tree of maxima over places 1..n whose values can be put in and taken out."""
+
+    NONE = (float("-inf"), -1)
+
+    def __init__(self, n: int):
+        self.own, self.tree = [self.NONE] * (n + 1), [self.NONE] * (n + 1)
+
+    def put(self, at: int, value: tuple[float, int]) -> None:
+        self.own[at] = value
+        while at < len(self.tree):
+            if self.tree[at] < value:
+                self.tree[at] = value
+            at += at & -at
+
+    def take(self, at: int) -> None:
+        gone, self.own[at] = self.own[at], self.NONE
+        while at < len(self.tree):
+            if self.tree[at] == gone:
+                best, low, step = self.own[at], at & -at, 1
+                while step < low:
+                    best = max(best, self.tree[at - step])
+                    step *= 2
+                self.tree[at] = best
+            at += at & -at
+
+    def best(self, first: int, last: int) -> tuple[float, int]:
+        """The greatest (value, index) of the places first..last."""
+        found = self.NONE
+        while last >= first:
+            low = last & -last
+            if last - low + 1 >= first:
+                found, last = max(found, self.tree[last]), last - low
+            else:
+                found, last = max(found, self.own[last]), last - 1
+        return found
 
 
 def chain(fragments: list[tuple[int, int, int]]) -> list[list[int]]:
@@ -225,25 +314,30 @@ def chain(fragments: list[tuple[int, int, int]]) -> list[list[int]]:
 
     Chains maximise matched words less GAP_COST for each word between fragments in
     either text; gaps over MAX_GAP are not bridged.  Each fragment is in one chain.
+    Fragments are taken up by their beginning; the tree holds those that end within
+    MAX_GAP before it, by their end in the other text, so the best that may come before
+    is one range query.
     """
     if len(fragments) == 1:
         return [[0]]
     order = sorted(range(len(fragments)), key=lambda i: fragments[i])
+    ends = sorted((b + n, i) for i, (_, b, n) in enumerate(fragments))
+    place = {i: at for at, (_, i) in enumerate(ends, 1)}
     waiting = sorted(order, key=lambda i: fragments[i][0] + fragments[i][2])
-    score, before, left, done = {}, {}, 0, 0
+    tree, left, done = Maxima(len(fragments)), 0, 0
+    score, before = [0.0] * len(fragments), [-1] * len(fragments)
     for i in order:
         a, b, n = fragments[i]
-        while done < len(waiting) and fragments[waiting[done]][0] + fragments[waiting[done]][2] <= a:
+        while done < len(waiting) and (x := fragments[waiting[done]])[0] + x[2] <= a:
+            j = waiting[done]
+            tree.put(place[j], (score[j] + GAP_COST * (x[0] + x[1] + 2 * x[2]), j))
             done += 1
-        while left < done and fragments[waiting[left]][0] + fragments[waiting[left]][2] < a - MAX_GAP:
+        while left < done and (x := fragments[waiting[left]])[0] + x[2] < a - MAX_GAP:
+            tree.take(place[waiting[left]])
             left += 1
-        score[i], before[i] = float(n), -1
-        for j in waiting[left:done]:
-            x, y, m = fragments[j]
-            if 0 <= b - y - m <= MAX_GAP:
-                value = n + score[j] - GAP_COST * (a - x - m + b - y - m)
-                if value > score[i]:
-                    score[i], before[i] = value, j
+        value, j = tree.best(bisect_left(ends, (b - MAX_GAP,)) + 1, bisect_left(ends, (b + 1,)))
+        value -= GAP_COST * (a + b)
+        score[i], before[i] = (n + value, j) if value > 0 else (float(n), -1)
     chains, used = [], set()
     for i in sorted(order, key=lambda i: (-score[i], i)):
         path = []
@@ -273,8 +367,17 @@ def _disjoint(fragments: list[tuple[int, int, int]]) -> list[tuple[int, int, int
     return out
 
 
+def _stretches(at: np.ndarray, n: np.ndarray) -> list[tuple[int, int]]:
+    """(start, end) of the stretches of a text in which no seed is new that may hold an exact passage."""
+    order = np.argsort(at, kind="stable")
+    at, end = at[order], np.maximum.accumulate((at + n)[order])
+    heads = np.flatnonzero(np.concatenate([[True], at[1:] > end[:-1] + WINDOW + PERIOD]))
+    tails = np.concatenate([heads[1:], [len(at)]]) - 1
+    return [(x, y) for x, y in zip(at[heads].tolist(), end[tails].tolist(), strict=True) if y - x >= MIN_WORDS - 2 * LOOSE]
+
+
 def _chains(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Chains of each (key, first); rows come sorted by key, first, at, first_at."""
+    """Chains of each (key, first), and stretches (first is null); rows come sorted by key."""
     out: list[tuple] = []
     for group in groups(batches, ["key"]):
         key, first, at, first_at, n = (group.column(i).to_numpy().astype(np.int64) for i in range(5))
@@ -289,6 +392,8 @@ def _chains(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         of, a, b, size = first[heads], at[heads], first_at[heads], end[tails] - at[heads]
         order = np.lexsort((b, a, of))
         of, a, b, size = of[order], a[order], b[order], size[order]
+        for x, y in _stretches(at, n):
+            out.append((int(key[0]), None, x, y, 0, 0, [], [], []))
         cuts = np.concatenate([[0], np.flatnonzero(np.diff(of)) + 1, [len(of)]]).tolist()
         for lo, hi in zip(cuts, cuts[1:], strict=False):
             if (a[lo:hi] + size[lo:hi]).max() - a[lo] < MIN_CORE:
@@ -434,26 +539,14 @@ def _passage_batch(rows: list[tuple]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows, strict=True), kinds, strict=True)], names=names)
 
 
-def keyed(docs: DataFrame, id_col: str = "doc_id") -> DataFrame:
-    """docs with _key: the id where all are there and differ, else a number for each stored row."""
-    ids = docs.select(F.col(id_col).cast("long").alias("i"))
-    counts = ids.groupBy("i").count().agg(F.max("count"), F.max(F.col("i").isNull().cast("int"))).first()
-    if (counts[0] or 1) == 1 and not counts[1]:
-        return docs.withColumn("_key", F.col(id_col).cast("long"))
-    return saved(docs.withColumn("_key", F.monotonically_increasing_id()), "numbered")
-
+def _chained(matches: DataFrame) -> DataFrame:
+    """Chains of matches, numbered, and stretches, as a stored table."""
+    ordered = matches.repartition("key").sortWithinPartitions("key", "first", "at", "first_at")
+    return saved(map_arrow(ordered, _chains, CHAINS).withColumn("chain", F.monotonically_increasing_id()), "chains")
 
-def passages(docs: DataFrame) -> DataFrame:
-    """(key, first, start, end, first_start, first_end, identity): passages of docs (_key, text) that an earlier one holds.
 
-    Ranges are in words.  A document's passages may overlap where several earlier
-    documents hold parts of them.
-    """
-    texts = docs.select(F.col("_key").alias("key"), "text").where("text IS NOT NULL")
-    seeds = map_arrow(texts, _seeds, "seed long, key long, at int, n int, period byte")
-    matches = map_arrow(seeds.repartition("seed").sortWithinPartitions("seed", "key", "at"), _matches, "key long, first long, at int, first_at int, n int")
-    ordered = matches.repartition("key").sortWithinPartitions("key", "first", "at", "first_at")
-    chains = saved(map_arrow(ordered, _chains, CHAINS).withColumn("chain", F.monotonically_increasing_id()), "chains")
+def _aligned(texts: DataFrame, chains: DataFrame) -> DataFrame:
+    """PASSAGES of chains."""
     spans = chains.select(
         "chain",
         F.inline(
@@ -477,6 +570,101 @@ def passages(docs: DataFrame) -> DataFrame:
     return map_arrow(ready, _align, PASSAGES)
 
 
+def _windows(found: tk.Words, i: int) -> np.ndarray:
+    """Hashes of all runs of MIN_WORDS words of text i."""
+    first, last = int(found.bounds[i]), int(found.bounds[i + 1]) - MIN_WORDS
+    places = np.arange(first, max(last + 1, first))
+    return tk.spans(found, places, places + MIN_WORDS)
+
+
+def _wanted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Runs of MIN_WORDS words of the stretches of each text that no found passage holds."""
+    for batch in batches:
+        keys, stretches, spans = (batch.column(c).to_pylist() for c in ("key", "stretches", "spans"))
+        for begin, end, raw, offsets in tk.slices(batch.column("text")):
+            found = tk.words(raw, offsets)
+            for i in range(begin, end):
+                hashes = _windows(found, i - begin)
+                ask = np.zeros(len(hashes), bool)
+                for s in stretches[i]:
+                    ask[max(0, s["start"] - LOOSE) : max(0, s["end"] + LOOSE - MIN_WORDS + 1)] = True
+                for s in spans[i] or ():
+                    ask[s["start"] : max(s["start"], s["end"] - MIN_WORDS + 1)] = False
+                at = np.flatnonzero(ask)
+                if len(at):
+                    yield pa.RecordBatch.from_arrays([pa.array(hashes[at].view(np.int64)), pa.array([keys[i]] * len(at), pa.int64()), pa.array(at.astype(np.int32))], names=["seed", "key", "at"])
+
+
+def _bits(wanted: DataFrame, count: int) -> np.ndarray:
+    """A bit set of the wanted hashes, 16 bits for each at least up to 2 ** BIT_POWER longs."""
+    power = int(min(BIT_POWER, max(10, np.ceil(np.log2(max(count, 1) / 4)))))
+    place = F.shiftrightunsigned("seed", 64 - power).cast("int").alias("place")
+    rows = wanted.select(place, F.expr("shiftleft(1L, cast(seed & 63 AS int))").alias("bit")).groupBy("place").agg(F.bit_or("bit").alias("bits"))
+    out = np.zeros(1 << power, np.int64)
+    for row in rows.toLocalIterator():  # 2 ** power rows at most
+        out[row[0]] = row[1]
+    return out.view(np.uint64)
+
+
+def _holders(bits: np.ndarray):
+    """The first of each text's runs of MIN_WORDS words that the bit set lets through."""
+    shift = np.uint64(64 - int(np.log2(len(bits))))
+
+    def run(texts: pa.Array, keys: np.ndarray) -> Iterator[pa.RecordBatch]:
+        for begin, end, raw, offsets in tk.slices(texts):
+            found = tk.words(raw, offsets)
+            for i in range(end - begin):
+                hashes = _windows(found, i)
+                at = np.flatnonzero((bits[(hashes >> shift).astype(np.int64)] >> (hashes & np.uint64(63))) & np.uint64(1))
+                if len(at):
+                    seed, first = np.unique(hashes[at], return_index=True)
+                    yield pa.RecordBatch.from_arrays([pa.array(seed.view(np.int64)), pa.array(np.full(len(seed), keys[begin + i])), pa.array(at[first].astype(np.int32))], names=["seed", "key", "at"])
+
+    return run
+
+
+def _exact(texts: DataFrame, stretches: DataFrame, found: DataFrame) -> DataFrame | None:
+    """Matches of the runs of MIN_WORDS words in stretches beyond found passages with the first document that holds them; None without any."""
+    spans = found.groupBy("key").agg(F.array_sort(F.collect_set(F.struct("start", "end"))).alias("_s")).select("key", F.expr(_merge_spans("_s")).alias("spans"))
+    left = stretches.select("key", "start", "end").join(spans, "key", "left").where("spans IS NULL OR NOT exists(spans, s -> s.start <= start AND s.end >= end)")
+    left = left.groupBy("key").agg(F.collect_list(F.struct("start", "end")).alias("stretches"), F.first("spans").alias("spans"))
+    left = saved(left.withColumnRenamed("key", "of"), "stretches")
+    n = left.count()
+    if not n:
+        return None
+    rows = texts.join(F.broadcast(left) if n <= BROADCAST_BLOCKS // 8 else left, F.col("key") == F.col("of")).select("key", "text", "stretches", "spans")
+    wanted = saved(map_arrow(rows, _wanted, "seed long, key long, at int"), "wanted")
+    count = wanted.count()
+    if not count:
+        return None
+    bits = texts.sparkSession.sparkContext.broadcast(_bits(wanted, count))
+
+    def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        holders = _holders(bits.value)
+        for batch in batches:
+            yield from holders(batch.column("text"), batch.column("key").to_numpy())
+
+    holders = map_arrow(texts, scan, "seed long, key long, at int")
+    firsts = holders.groupBy("seed").agg(F.min("key").alias("first"), F.min_by("at", "key").alias("first_at"))
+    matched = wanted.join(firsts, "seed").where("key > first")
+    return matched.select("key", "first", "at", "first_at", F.lit(MIN_WORDS).alias("n"))
+
+
+def passages(docs: DataFrame, key: str, text: str = "text") -> DataFrame:
+    """(key, first, start, end, first_start, first_end, identity): passages of docs (key, text) that an earlier one holds.
+
+    Ranges are in words.  A document's passages may overlap where several earlier
+    documents hold parts of them.
+    """
+    texts = docs.select(F.col(key).alias("key"), F.col(text).alias("text")).where("text IS NOT NULL")
+    seeds = map_arrow(texts, _seeds, SEEDS)
+    ordered = seeds.repartition(F.coalesce("first", "seed"), F.when(F.col("first").isNotNull(), F.col("key"))).sortWithinPartitions("seed", "key", "at")
+    made = _chained(map_arrow(ordered, _matches, MATCHES))
+    found = saved(_aligned(texts, made.where("first IS NOT NULL")), "passages")
+    more = _exact(texts, made.where("first IS NULL"), found)
+    return found if more is None else found.unionByName(_aligned(texts, _chained(more).where("first IS NOT NULL")))
+
+
 def _merge_spans(spans: str) -> str:
     """SQL that merges an ordered array of (start, end) where they touch."""
     return f"""
@@ -486,21 +674,21 @@ def _merge_spans(spans: str) -> str:
              concat(done, array(struct(s.start AS start, s.end AS end)))))"""
 
 
-def repeats(docs: DataFrame) -> DataFrame:
-    """(_key, spans, firsts, identity) of the documents of docs (_key, text) with repeated passages.
+def repeats(docs: DataFrame, key: str, text: str = "text") -> DataFrame:
+    """(key, spans, firsts, identity) of the documents of docs (key, text) with repeated passages.
 
     spans: word ranges, merged and ordered; firsts: the earlier documents' keys; as many
     as a document has passages at most.
     """
-    grouped = passages(docs).groupBy(F.col("key").alias("_key")).agg(
-        F.array_sort(F.collect_set(F.struct("start", "end"))).alias("_spans"), F.array_sort(F.collect_set("first")).alias("firsts"), F.min("identity").alias("identity")
+    grouped = passages(docs, key, text).groupBy("key").agg(
+        F.array_sort(F.collect_set(F.struct("start", "end"))).alias("_s"), F.array_sort(F.collect_set("first")).alias("firsts"), F.min("identity").alias("identity")
     )
-    return grouped.withColumn("spans", F.expr(_merge_spans("_spans"))).drop("_spans")
+    return grouped.withColumn("spans", F.expr(_merge_spans("_s"))).drop("_s")
 
 
 def _cut(batches: Iterator[pa.RecordBatch], text_at: int, names: list[str]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        texts, spans = batch.column(text_at).to_pylist(), batch.column("_spans").to_pylist()
+        texts, spans = batch.column(text_at).to_pylist(), batch.column(len(names)).to_pylist()
         for i, cuts in enumerate(spans):
             if not cuts or texts[i] is None:
                 continue
@@ -512,23 +700,24 @@ def _cut(batches: Iterator[pa.RecordBatch], text_at: int, names: list[str]) -> I
                 at = int(found.starts[c["end"]]) if c["end"] < len(found.starts) else int(found.ends[-1])
             parts.append(raw[at:])
             texts[i] = b"".join(parts).decode("utf-8", "replace")
-        columns = [pa.array(texts, pa.string()) if j == text_at else batch.column(n) for j, n in enumerate(names)]
+        columns = [pa.array(texts, pa.string()) if j == text_at else batch.column(j) for j in range(len(names))]
         yield pa.RecordBatch.from_arrays(columns, names=names)
 
 
-def cut(docs: DataFrame) -> DataFrame:
+def cut(docs: DataFrame, id_col: str = "doc_id") -> DataFrame:
     """docs without passages that an earlier document holds; texts left without words go, all columns stay."""
-    rows = keyed(docs)
-    found = saved(repeats(rows).select(F.col("_key").alias("_of"), F.col("spans").alias("_spans")), "cuts")
-    small = (found.agg(F.sum(F.size("_spans"))).first()[0] or 0) <= BROADCAST_BLOCKS
-    joined = rows.join(F.broadcast(found) if small else found, F.col("_key") == F.col("_of"), "left").select(*docs.columns, "_spans")
-    changed = joined.where("_spans IS NOT NULL")
+    rows, key = keyed(docs, id_col)
+    of, spans = fresh(rows, "_of", "_spans")
+    found = saved(repeats(rows, key).select(F.col("key").alias(of), F.col("spans").alias(spans)), "cuts")
+    small = (found.agg(F.sum(F.size(spans))).first()[0] or 0) <= BROADCAST_BLOCKS
+    joined = rows.join(F.broadcast(found) if small else found, F.col(key) == F.col(of), "left").select(*docs.columns, spans)
+    changed = joined.where(F.col(spans).isNotNull())
     names, at = list(docs.columns), docs.columns.index("text")
     trimmed = map_arrow(changed, lambda batches: _cut(batches, at, names), docs.schema)
     trimmed = trimmed.where(F.col("text").rlike(r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]"))
     if "n_chars" in names:
         trimmed = trimmed.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
-    return joined.where("_spans IS NULL").select(*names).unionByName(trimmed.select(*names))
+    return joined.where(F.col(spans).isNull()).select(*names).unionByName(trimmed.select(*names))
 
 
 def stage(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -542,10 +731,10 @@ def op2_passage_dedup(spark, sf_dir: str) -> DataFrame:
     n_repeated: words of passages that earlier documents hold; firsts: those documents;
     n_later: later documents that repeat a passage of this one.
     """
-    docs = keyed(spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text"))
-    found = saved(repeats(docs), "repeats")
-    later = found.select(F.explode("firsts").alias("_key")).groupBy("_key").agg(F.count("*").alias("n_later"))
-    rows = docs.select("doc_id", "_key").join(found, "_key", "left").join(later, "_key", "left")
+    docs, key = keyed(spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text"))
+    found = saved(repeats(docs, key), "repeats")
+    later = found.select(F.explode("firsts").alias("key")).groupBy("key").agg(F.count("*").alias("n_later"))
+    rows = docs.select("doc_id", F.col(key).alias("key")).join(found, "key", "left").join(later, "key", "left")
     return rows.select(
         "doc_id",
         F.coalesce(F.expr("aggregate(spans, 0L, (n, s) -> n + s.end - s.start)"), F.lit(0).cast("long")).alias("n_repeated"),
