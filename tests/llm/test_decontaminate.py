@@ -87,3 +87,12 @@ def test_empty_tables(spark, docs):
     assert decontaminate.clean(docs([(1, "a b")]), none).count() == 1
     bench = spark.createDataFrame([(1, "a b")], "item_id long, text string")
     assert decontaminate.contaminated(docs([(1, "a")]).limit(0), bench).count() == 0
+
+
+def test_clashing_columns(spark, docs):
+    rows, items = corpus(5)
+    df = docs(rows)
+    for name in ("_id", "_hash", "_of", "_hashed", "_text", "id", "items", "w", "h"):
+        df = df.withColumn(name, F.lit(name))
+    kept = decontaminate.clean(df, spark.createDataFrame(items, "item_id long, text string"))
+    assert kept.columns == df.columns and kept.where("_id = '_id' AND _text = '_text'").count() == kept.count() > 0

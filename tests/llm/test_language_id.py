@@ -25,7 +25,7 @@ def test_phrase_counts_equal_a_substring_search():
     model = langid.tables(known)
     texts = ["".join(rng.choice("abcde ?") for _ in range(n)) for n in (1, 2, 5, 40, 200)] + ["zzz", "a"]
     cleaned = [langid.normalise(t) for t in texts]
-    coded = [langid.coder(model, t) for t in texts]
+    coded = [langid.coder(model, t)[0] for t in texts]
     got = langid.phrase_counts(model, coded)
     for i, t in enumerate(cleaned):
         plain = "".join(c if c in "abcde " else "\0" for c in t)
@@ -57,6 +57,39 @@ def test_nulls_empty_texts_and_clashing_columns(spark, docs):
     assert [r["doc_id"] for r in kept.collect()] == [2]
 
 
+def test_a_large_script_is_learned_whole(spark, docs, vocabulary):
+    """A language of 3,000 letters beside two small ones, and an unseen text of it."""
+    rng = random.Random(6)
+    signs = ["".join(chr(0x4E00 + rng.randrange(3000)) for _ in range(rng.randint(1, 3))) for _ in range(2500)]
+    words = {"aa": vocabulary[0], "bb": vocabulary[1], "zz": signs}
+    text = lambda lang: " ".join(rng.choice(words[lang]) for _ in range(400))
+    df = docs([(i, text(lang), lang, "s") for i, lang in enumerate(["aa", "bb", "zz"] * 25)])
+    model = langid.tables(langid.sample(df, F.lit(True)))
+    assert model.spelled
+    assert langid.predict(model, pa.array([text("zz"), text("aa"), text("bb")]))[0].to_pylist() == ["zz", "aa", "bb"]
+    unseen = docs([(1, text("zz")), (2, text("aa")), (3, "Ж" * 40), (4, "")])
+    found = langid.identify(unseen, langid.sample(df, F.lit(True))).collect()
+    assert all(r["known_share"] > 0.9 and r["spelled_share"] < 1 for r in found[:2]) and found[2]["spelled_share"] >= 1
+
+
+def test_stage_drops_strange_texts_and_fills_labels(spark, docs, vocabulary):
+    rng = random.Random(7)
+    text = lambda words: " ".join(rng.choice(words) for _ in range(80))
+    noise = "".join(rng.choice("abcdefghijklmnopqrstuvwxyz ") for _ in range(60_000))
+    rows = [(i, text(vocabulary[i % 2]), ("aa", "bb")[i % 2], "s") for i in range(40)]
+    df = docs([*rows, (100, text(vocabulary[1])), (101, noise, None, "s"), (102, None, "aa", "s"), (None, text(vocabulary[0])), (1, text(vocabulary[0]))])
+    kept = langid.stage(spark, df, "")
+    got = {r["doc_id"]: r for r in kept.collect()}
+    assert kept.columns == df.columns and kept.count() == 43 and got[100]["lang"] == "bb" and got[None]["lang"] == "aa" and not {101, 102} & set(got)
+    assert langid.stage(spark, df.limit(0), "").count() == 0
+
+
+def test_the_sample_is_bounded_by_rows(spark, docs):
+    df = docs([(7, f"one text {i}", "aa", "s") for i in range(300)] + [(None, f"other {i}", "bb", "s") for i in range(300)])
+    texts = langid.sample(df, F.lit(True), docs_each=3)
+    assert sorted(texts) == ["aa", "bb"] and len(texts["aa"].split("one")) == 4
+
+
 def test_one_language_and_batches():
     model = langid.tables({"aa": "ka mo"})
     got = langid.predict(model, pa.array(["ka", None, "mo ka"]))

@@ -88,3 +88,27 @@ def test_components(spark):
     got = {r["node"]: r["component"] for r in components(spark.createDataFrame(edges, "a long, b long")).collect()}
     assert got == label
     assert components(spark.createDataFrame([], "a long, b long")).count() == 0
+
+
+def test_near_copies_of_null_or_equal_ids(spark, docs):
+    words = [f"n{i}" for i in range(60)]
+    near = [" ".join([*words[:i], "other", *words[i + 1 :]]) for i in (0, 30, 59)]
+    for ids in ((None, None, None), (7, 7, 7), (7, None, 3)):
+        kept = ngram_join.keep_one(docs([(i, t) for i, t in zip(ids, near, strict=True)] + [(50, "alone here")]))
+        assert kept.count() == 2, ids
+
+
+def test_clashing_columns(spark, docs):
+    df = docs([(1, "one two three"), (2, "one two three"), (3, "four")])
+    for name in ("_id", "_hash", "_key", "_out", "id", "class", "kept"):
+        df = df.withColumn(name, F.lit(name))
+    got = ngram_join.keep_one(df)
+    assert got.columns == df.columns and sorted((r["doc_id"], r["_key"]) for r in got.collect()) == [(1, "_key"), (3, "_key")]
+
+
+def test_a_class_of_many_candidate_rows(spark, docs, monkeypatch):
+    monkeypatch.setattr(ngram_join, "DEALT_ROWS", 1)
+    rows = corpus(9)
+    got = {r["doc_id"]: r for r in ngram_join.join(docs(rows)).collect()}
+    links, components = brute(rows)
+    assert [got[d]["n_links"] for d, _ in rows] == links and [got[d]["component_id"] for d, _ in rows] == components

@@ -10,8 +10,9 @@ Windows are never written or shuffled, only hits and one row a document.
 Defined results: null or empty texts have no words, are hit by nothing and are no item;
 an item of fewer words than a window is one window of its own length; an item without
 id is left out; rows of the same id and text get equal results, a row each; other
-columns are ignored by contaminated() and kept by clean(); empty tables give empty
-results or none contaminated.
+columns are ignored by contaminated() and kept by clean(), whatever their names; a very
+long text is one row of words, read whole; empty tables give empty results or none
+contaminated.
 """
 
 from __future__ import annotations
@@ -21,10 +22,10 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from understory.llm.common import saved
+from understory.llm.common import fresh, saved
 
 WINDOW = 10
-#: Windows that are broadcast at most (about 200 bytes each), and hit documents.
+#: Windows (about 200 bytes each), and items by window, that are broadcast at most, and hit documents.
 BROADCAST_WINDOWS = 400_000
 BROADCAST_DOCS = 500_000
 _UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
@@ -73,22 +74,23 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, id
     """
     table = saved(windows(benchmark, window), "windows")
     lengths = [r[0] for r in table.select("n").distinct().orderBy("n").collect()]  # `window` values at most
-    count = table.count()
-    lookup = F.broadcast(table) if count <= BROADCAST_WINDOWS else table
+    count, pairs = table.agg(F.count("*"), F.coalesce(F.sum(F.size("items")), F.lit(0))).first()
+    lookup = F.broadcast(table) if max(count, pairs) <= BROADCAST_WINDOWS else table
     bits, power = _bit_set(table, count)
     base = docs.select(F.col(id_col).alias("id"), F.xxhash64(text_col).alias("_text"), words_of(F.col(text_col)).alias("w"))
     hashed = []
     for n in lengths:
         probed = f"transform(sequence(0, size(w) - {n}), i -> {_probe('w', 'i', str(n))})"
         places = f"array_compact(transform({probed}, (h, i) -> if(getbit({bits}[cast(shiftrightunsigned(h, {64 - power}) AS int)], cast(h & 63 AS int)) = 1, i, NULL)))"
-        hashed.append(F.expr(f"if(size(w) >= {n}, transform({places}, i -> named_struct('at', i, 'n', {n}, 'h', xxhash64(slice(w, i + 1, {n})))), array())"))
-    mark = F.expr("array(named_struct('at', -1, 'n', 0, 'h', 0L))")
-    probes = base.select("id", "_text", "w", F.inline(F.concat(*([mark] if all_rows else []), *hashed) if hashed or all_rows else F.slice(mark, 1, 0)))
-    same = (F.col("p.n") == F.col("b.n")) & (F.col("p.h") == F.col("b.h")) & (F.expr("slice(p.w, greatest(p.at, 0) + 1, p.n)") == F.col("b.words"))
+        hashed.append(F.expr(f"if(size(w) >= {n}, transform({places}, i -> named_struct('at', i, 'n', {n}, 'h', xxhash64(slice(w, i + 1, {n})), 'words', slice(w, i + 1, {n}), 'size', cast(NULL AS int))), array())"))
+    # a document's own row has no words and meets nothing; its hash deals it evenly where the join shuffles
+    mark = F.array(F.struct(F.lit(-1).alias("at"), F.lit(0).alias("n"), F.xxhash64("id", "_text").alias("h"), F.lit(None).cast("array<string>").alias("words"), F.size("w").alias("size")))
+    probes = base.select("id", "_text", F.inline(F.concat(*([mark] if all_rows else []), *hashed) if hashed or all_rows else F.slice(mark, 1, 0)))
+    same = (F.col("p.n") == F.col("b.n")) & (F.col("p.h") == F.col("b.h")) & (F.col("p.words") == F.col("b.words"))
     found = probes.alias("p").join(lookup.alias("b"), same, "left" if all_rows else "inner")
     if all_rows:
         found = found.where("p.at < 0 OR b.words IS NOT NULL")
-    found = found.select("p.id", "p._text", F.expr("if(p.at < 0, size(p.w), NULL)").alias("n_words"), F.expr("if(p.at < 0, NULL, struct(p.at, p.at + p.n AS end))").alias("span"), "b.items")
+    found = found.select("p.id", "p._text", F.col("p.size").alias("n_words"), F.expr("if(p.at < 0, NULL, struct(p.at, p.at + p.n AS end))").alias("span"), "b.items")
     grouped = found.groupBy("id", "_text").agg(
         F.max("n_words").cast("long").alias("n_words"),
         F.count("n_words").alias("rows"),
@@ -111,9 +113,11 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, id
 
 def clean(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) -> DataFrame:
     """docs without those that hold a window of an item; all columns stay."""
-    hit = saved(contaminated(docs, benchmark, window, all_rows=False).select(F.col("doc_id").alias("_id"), F.col("_text").alias("_hash")), "contaminated")
+    of, hashed = fresh(docs, "_of", "_hashed")
+    found = contaminated(docs.select("doc_id", "text"), benchmark, window, all_rows=False)
+    hit = saved(found.select(F.col("doc_id").alias(of), F.col("_text").alias(hashed)), "contaminated")
     hit = F.broadcast(hit) if hit.count() <= BROADCAST_DOCS else hit
-    return docs.join(hit, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.xxhash64("text") == F.col("_hash")), "left_anti")
+    return docs.join(hit, F.col("doc_id").eqNullSafe(F.col(of)) & (F.xxhash64("text") == F.col(hashed)), "left_anti")
 
 
 def stage(spark, docs: DataFrame, sf_dir: str) -> DataFrame:

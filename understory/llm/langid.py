@@ -9,16 +9,21 @@ Texts are normalised to lower-case letters with single separators.  The automata
 completed into one transition table, so a step over one character of many texts
 and all languages is a single gather; the bit 0 of an entry says that a phrase began.
 
+Letters have codes of their own as far as they are frequent and are spelled in digits
+beyond that, so any script is learned whole and tables stay narrow.
+
 Defined results: a null text or one without letters is ``und`` with score 0; ties go
-to the language of the smallest code; a letter no language has is a phrase of its own;
-repeated rows get equal results; an empty table gives an empty result; with no
-learned language every text is ``und``.
+to the language of the smallest code; a letter no language has is spelled in digits that
+match little; repeated rows get equal results, rows of a null or repeated id too; a very long text is parsed
+whole; input columns of a made column's name are replaced, others kept; an empty table
+gives an empty result; with no learned language every text is ``und``.
 """
 
 from __future__ import annotations
 
 import hashlib
 import math
+from collections.abc import Sequence
 from dataclasses import dataclass
 
 import numpy as np
@@ -32,19 +37,26 @@ from understory.llm.common import held, with_text_columns
 #: Bounds of the learning sample for each language: documents, and normalised characters.
 SAMPLE_DOCS = 64
 SAMPLE_CHARS = 40_000
-#: Bounds over all languages: the most frequent ones, and normalised characters they share.
-MAX_LANGUAGES = 200
+#: Bound over all languages: normalised characters, shared alike where each bound would pass it.
 ALL_CHARS = 320_000
 #: Characters of texts that are parsed side by side.
 PARSE_CHARS = 12 << 20
-#: Characters a table has codes for at most; rarer ones count as unknown letters.
-MAX_CODES = 128
+#: Letters of a code of their own.  With more, the most frequent ones have them and any other
+#: letter is spelled in digits, as many as the highest code point needs, from FIRST on.
+SINGLE = 62
+FIRST = SINGLE + 2
+DIGITS = 64
+PLACES = 4
+#: A text of n letters is of no learned language where its phrases take 1 + STRANGE / sqrt(n) of its letters spelled singly, or more.
+STRANGE = 4.0
 
 FIELDS = [
     T.StructField("lang_pred", T.StringType()),
     T.StructField("score", T.DoubleType()),
     T.StructField("phrases", T.LongType()),
     T.StructField("known_share", T.DoubleType()),
+    T.StructField("spelled_share", T.DoubleType()),
+    T.StructField("letters", T.LongType()),
 ]
 
 
@@ -56,29 +68,31 @@ def normalise(text: str) -> str:
 def sample(docs: DataFrame, train: Column, id_col: str = "doc_id", docs_each: int = SAMPLE_DOCS, chars: int = SAMPLE_CHARS) -> dict[str, str]:
     """Normalised learning text of each language: a bounded sample, the same at each run.
 
-    The docs_each rows of least hash for each of the MAX_LANGUAGES most frequent
-    languages; a row gives its first characters up to what the bound can use.  With
-    more than ALL_CHARS / chars languages each has an equal share of ALL_CHARS.
+    The docs_each rows of least hash of id and text for each language; a row gives its
+    first characters up to what the bound can use.  Where the languages would have more
+    than ALL_CHARS together, each has an equal share.  Rows come to the driver by rank,
+    so a repeated or null id brings no more of them.
     """
     rows = docs.where(train & F.col("lang").isNotNull() & F.col("text").isNotNull())
-    known = [r[0] for r in rows.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(MAX_LANGUAGES).collect()]
-    if not known:
+    draw = F.xxhash64(F.col(id_col).cast("string"), F.xxhash64("text"))
+    rank = Window.partitionBy("lang").orderBy("draw")
+    drawn = rows.select("lang", draw.alias("draw")).distinct().withColumn("_r", F.row_number().over(rank))
+    chosen = [(r[0], r[1]) for r in drawn.where(F.col("_r") <= docs_each).select("lang", "draw").collect()]
+    if not chosen:
         return {}
-    chars = min(chars, ALL_CHARS // len(known))
-    rows = rows.where(F.col("lang").isin(known))
-    rank = Window.partitionBy("lang").orderBy(F.xxhash64(id_col), F.col(id_col))
-    ids = rows.select(id_col, "lang").withColumn("_r", F.row_number().over(rank)).where(F.col("_r") <= docs_each).select(id_col).collect()
-    chosen = sorted({r[0] for r in ids if r[0] is not None})
-    found = rows.where(F.col(id_col).isin(chosen)).select(id_col, "lang", F.substring("text", 1, 2 * chars).alias("text"))
+    langs = {lang for lang, _ in chosen}
+    chars = max(1, min(chars, ALL_CHARS // len(langs)))
+    each = max(1000, 4 * chars // docs_each)
+    found = rows.where(draw.isin([d for _, d in chosen])).select("lang", draw.alias("draw"), F.substring("text", 1, 2 * each).alias("text")).dropDuplicates(["lang", "draw"])
     by: dict[str, list[str]] = {}
-    for r in sorted(found.collect(), key=lambda r: (r["lang"], hashlib.md5(str(r[0]).encode()).digest(), r["text"])):
-        by.setdefault(r["lang"], []).append(normalise(r["text"])[: max(1000, 4 * chars // docs_each)])
+    for r in sorted(found.collect(), key=lambda r: (r["lang"], r["draw"], r["text"])):
+        by.setdefault(r["lang"], []).append(normalise(r["text"])[:each])
     return {lang: " ".join(t for t in texts if t)[:chars] for lang, texts in sorted(by.items()) if any(texts)}
 
 
-def automaton(text: str) -> list[dict[str, int]]:
+def automaton(text: Sequence) -> list[dict]:
     """Transitions of the suffix automaton of a text; state 0 is the start."""
-    out: list[dict[str, int]] = [{}]
+    out: list[dict] = [{}]
     link, length, last = [-1], [0], 0
     for c in text:
         new = len(out)
@@ -108,13 +122,20 @@ def automaton(text: str) -> list[dict[str, int]]:
 
 @dataclass
 class Tables:
-    """Completed automata: codes by code point, one flat table, start entries and weights."""
+    """Completed automata: codes by code point (0: none), one flat table, start entries and weights.
+
+    known: code points that are letters of learning texts; spelled: letters of no code are
+    spelled in digits, else a phrase each.
+    """
 
     langs: list[str]
     codes: np.ndarray
+    known: np.ndarray
+    spelled: bool
     table: np.ndarray
     start: np.ndarray
     bits: np.ndarray
+    letter_bits: float
 
 
 def tables(texts: dict[str, str]) -> Tables:
@@ -123,6 +144,20 @@ def tables(texts: dict[str, str]) -> Tables:
     return held(key, lambda: _build(texts))
 
 
+def _spell(points: np.ndarray, codes: np.ndarray) -> np.ndarray:
+    """Codes of code points; letters without a code of their own as their digits, each place with digits for itself."""
+    out = codes[points]
+    rare = out == 0
+    if not rare.any():
+        return out
+    lengths = np.where(rare, PLACES, 1)
+    spelled = np.repeat(out, lengths)
+    first = (np.cumsum(lengths) - lengths)[rare]
+    for i in range(PLACES):
+        spelled[first + i] = FIRST + ((points[rare] >> (6 * (PLACES - 1 - i))) & (DIGITS - 1))
+    return spelled
+
+
 def _build(texts: dict[str, str]) -> Tables:
     langs = sorted(texts)
     counts: dict[str, int] = {}
@@ -130,31 +165,34 @@ def _build(texts: dict[str, str]) -> Tables:
         for c in set(t):
             counts[c] = counts.get(c, 0) + t.count(c)
     counts.pop(" ", None)
-    letters = sorted(counts, key=lambda c: (-counts[c], c))[: MAX_CODES - 2]
-    width = 1 << max(2, math.ceil(math.log2(len(letters) + 2)))
-    number = {c: i + 2 for i, c in enumerate(letters)} | {" ": 1}
+    letters = sorted(counts, key=lambda c: (-counts[c], c))
+    known = np.zeros(0x110000, bool)
+    known[[ord(c) for c in letters]] = True
     codes = np.fromiter((0 if chr(i).isalpha() else 1 for i in range(0x110000)), np.uint8, 0x110000)
-    for c, i in number.items():
-        codes[ord(c)] = i
+    for i, c in enumerate(letters[:SINGLE]):
+        codes[ord(c)] = i + 2
+    spelled = len(letters) > SINGLE
+    width = FIRST + DIGITS * spelled
+    points = [np.frombuffer(texts[x].encode("utf-32-le", "surrogatepass"), np.uint32) for x in langs]
+    coded = [(_spell(p, codes) if spelled else codes[p])[: max(ALL_CHARS // len(langs), PLACES)].tolist() for p in points]
     parts, start, base = [], [], 0
-    for lang in langs:
-        out = automaton(texts[lang])
+    for text in coded:
+        out = automaton(text)
         states = len(out) + 1  # and one that each phrase starts from
-        again = np.full(width, (base + states - 1) * width * 2 + 1, np.int64)
+        kind = np.int32 if (base + states) * width * 2 < 2**31 else np.int64
+        again = np.full(width, (base + states - 1) * width * 2 + 1, kind)
         for c, to in out[0].items():
-            if c in number:
-                again[number[c]] = (base + to) * width * 2 + 1
+            again[c] = (base + to) * width * 2 + 1
         part = np.tile(again, (states, 1))
-        at = np.fromiter((s * width + number[c] for s, edges in enumerate(out) for c in edges if c in number), np.int64)
-        to = np.fromiter(((base + t) * width * 2 for edges in out for c, t in edges.items() if c in number), np.int64)
+        at = np.fromiter((s * width + c for s, edges in enumerate(out) for c in edges), np.int64)
+        to = np.fromiter(((base + t) * width * 2 for edges in out for t in edges.values()), np.int64)
         part.ravel()[at] = to
         parts.append(part)
         start.append((base + states - 1) * width)
         base += states
     flat = np.concatenate([p.ravel() for p in parts])
-    flat = flat.astype(np.int32) if base * width * 2 < 2**31 else flat
-    bits = np.array([math.log2(max(2, len(texts[x]))) for x in langs])
-    return Tables(langs, codes, flat, np.array(start, flat.dtype), bits)
+    bits = np.array([math.log2(max(2, len(x))) for x in coded])
+    return Tables(langs, codes, known, spelled, flat, np.array(start, flat.dtype), bits, math.log2(max(2, len(letters))))
 
 
 def phrase_counts(model: Tables, texts: list[np.ndarray]) -> np.ndarray:
@@ -186,64 +224,59 @@ def phrase_counts(model: Tables, texts: list[np.ndarray]) -> np.ndarray:
     return out
 
 
-def coder(model: Tables, text: str | None) -> np.ndarray:
-    """Codes of a normalised text; none for a text without letters."""
+def coder(model: Tables, text: str | None) -> tuple[np.ndarray, int, int]:
+    """(codes, letters, known letters) of a text, with single separators; no codes without letters."""
     if not text:
-        return np.zeros(0, np.uint8)
+        return np.zeros(0, np.uint8), 0, 0
     points = np.frombuffer(text.lower().encode("utf-32-le", "surrogatepass"), np.uint32)
-    codes = model.codes[points]
-    gap = codes == 1
+    gap = model.codes[points] == 1
     keep = ~gap
     keep[1:] |= ~gap[:-1]
     keep[0] = not gap[0]
-    codes = codes[keep]
-    return codes[:-1] if len(codes) and codes[-1] == 1 else codes
+    letters, known = int((~gap).sum()), int(model.known[points].sum())
+    codes = _spell(points[keep], model.codes) if model.spelled else model.codes[points[keep]]
+    return (codes[:-1] if len(codes) and codes[-1] == 1 else codes), letters, known
 
 
 def predict(model: Tables | None, column: pa.Array) -> list[pa.Array]:
     """Arrays of FIELDS for the texts of a batch."""
     texts = column.to_pylist()
-    langs, scores, phrases, shares = [], [], [], []
+    nothing = ("und", 0.0, 0, 0.0, 0.0, 0)
+    out: list[tuple] = []
     at = 0
     while at < len(texts):
         coded, size = [], 0
         while at < len(texts) and size < PARSE_CHARS:
-            coded.append(coder(model, texts[at]) if model else np.zeros(0, np.uint8))
-            size += len(coded[-1])
+            coded.append(coder(model, texts[at]) if model else (None, 0, 0))
+            size += len(coded[-1][0]) if model else 0
             texts[at] = None
             at += 1
         if not model:
-            langs += ["und"] * len(coded)
-            scores += [0.0] * len(coded)
-            phrases += [0] * len(coded)
-            shares += [0.0] * len(coded)
+            out += [nothing] * len(coded)
             continue
-        counts = phrase_counts(model, coded)
+        counts = phrase_counts(model, [c for c, _, _ in coded])
         cost = counts * model.bits
         best = cost.argmin(axis=1)
-        for codes, row, raw, i in zip(coded, cost, counts, best.tolist(), strict=True):
-            letters = int((codes != 1).sum())
+        for (_, letters, known), row, raw, i in zip(coded, cost, counts, best.tolist(), strict=True):
             if not letters:
-                langs.append("und")
-                scores.append(0.0)
-                phrases.append(0)
-                shares.append(0.0)
+                out.append(nothing)
                 continue
             others = np.delete(row, i)
             second = others.min() if len(others) else np.inf
-            langs.append(model.langs[i])
-            scores.append(float(1.0 if not np.isfinite(second) else second / (second + row[i])))
-            phrases.append(int(raw[i]))
-            shares.append(float((codes > 1).sum() / letters))
-    return [pa.array(langs, pa.string()), pa.array(scores, pa.float64()), pa.array(phrases, pa.int64()), pa.array(shares, pa.float64())]
+            score = 1.0 if not np.isfinite(second) else second / (second + row[i])
+            out.append((model.langs[i], float(score), int(raw[i]), known / letters, float(row[i] / (letters * model.letter_bits)), letters))
+    columns = zip(*out, strict=True) if out else [()] * len(FIELDS)
+    return [pa.array(c, k) for c, k in zip(columns, (pa.string(), pa.float64(), pa.int64(), pa.float64(), pa.float64(), pa.int64()), strict=True)]
 
 
 def identify(docs: DataFrame, texts: dict[str, str], text_col: str = "text") -> DataFrame:
-    """docs with lang_pred, score, phrases and known_share of each whole text.
+    """docs with lang_pred, score, phrases, known_share, spelled_share and letters of each whole text.
 
     texts: learning text by language, from sample().  score is second / (best +
     second) of the weighed phrase counts: 0.5 for a tie, nearer 1 the clearer.
-    known_share: the share of the letters that some language has.
+    known_share: the share of the letters that some language has.  spelled_share: the
+    bits of the best language's phrases over those of its letters spelled one by one;
+    the nearer 1, the less any learned language helps.
     """
 
     def kernel():
@@ -254,16 +287,23 @@ def identify(docs: DataFrame, texts: dict[str, str], text_col: str = "text") ->
 
 
 def stage(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pipeline stage: documents without letters, or most of whose letters no learned language has, go."""
+    """Pipeline stage: documents of no learned language go; others that have no label get the predicted one.
+
+    A document goes where it has no letters, where most of them are in no learned
+    language, or where parsing by the best language takes more bits than spelling its letters singly (unknown scripts, noise), by a margin that
+    falls with their number.
+    """
     texts = sample(docs, F.lit(True))
     found = identify(docs, texts)
-    return found.where((F.col("lang_pred") != "und") & (F.col("known_share") > 0.5)).select(*docs.columns)
+    known = (F.col("known_share") > 0.5) & (F.col("spelled_share") < 1 + STRANGE / F.sqrt("letters"))
+    kept = found.where((F.col("lang_pred") != "und") & known)
+    return kept.select(*(F.coalesce("lang", "lang_pred").alias("lang") if c == "lang" else F.col(c) for c in docs.columns))
 
 
 def op1_language_id(spark, sf_dir: str) -> DataFrame:
     """doc_id, held_out, lang_pred, score, phrases of each row of documents."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    held_out = F.crc32(F.col("doc_id").cast("string")) % 3 == 1
+    held_out = F.coalesce(F.crc32(F.col("doc_id").cast("string")) % 3 == 1, F.lit(False))
     texts = sample(docs, ~held_out)
     found = identify(docs.select("doc_id", "text"), texts)
     return found.select("doc_id", held_out.alias("held_out"), "lang_pred", "score", "phrases")

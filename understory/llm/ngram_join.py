@@ -12,8 +12,10 @@ drops 8 in a million; above it, far fewer.
 
 Defined results: texts without words (null and empty ones too) are linked with nothing
 and form groups of their own; a text of fewer words than a shingle is one shingle;
-equal shingle sets are links of similarity 1; repeated rows are copies; other columns
-are ignored by the join and kept by keep_one(); an empty table gives an empty result.
+equal shingle sets are links of similarity 1; repeated rows are copies; a row of a null
+id is a row of its own; a very long text is one set, read whole; other columns are
+ignored by the join and kept by keep_one(), whatever their names; an empty table gives
+an empty result.
 """
 
 from __future__ import annotations
@@ -29,7 +31,7 @@ from pyspark.sql import functions as F
 
 from understory.llm import blocks
 from understory.llm import textkernel as tk
-from understory.llm.common import components, map_arrow, saved
+from understory.llm.common import components, fresh, keyed, map_arrow, saved
 
 WORDS = 5
 THRESHOLD = 0.8
@@ -40,6 +42,8 @@ STEP = 16
 TOLERANCE = 1e-6
 #: Documents whose ids are broadcast at most (8 bytes each); more are joined by shuffle.
 BROADCAST_IDS = 500_000
+#: Rows of candidates that a class meets its shingles with in one place; more are dealt.
+DEALT_ROWS = 256
 KEYS = ["band", "bucket"]
 
 _rng = np.random.default_rng(20011)
@@ -234,11 +238,19 @@ def join(docs: DataFrame, threshold: float = THRESHOLD, id_col: str = "doc_id",
     shared = blocks.shared_buckets(rows, KEYS).join(classes.select("class", "signature", "copies"), "class")
     dealt = blocks.block_pairs(shared, KEYS, "class")
     candidates = saved(map_arrow(dealt, _candidates(threshold), dealt.schema), "candidates")
-    needed = candidates.select("class").distinct().join(classes.select("class", "least"), "class").select("least").distinct()
-    needed = saved(needed, "needed")
-    ids = F.broadcast(needed) if needed.count() <= BROADCAST_IDS else needed
+    needed = candidates.groupBy("class").agg(F.ceil(F.count("*") / DEALT_ROWS).cast("int").alias("deals"))
+    needed = saved(needed.join(classes.select("class", "least"), "class"), "needed")
+    ids = needed.select("least").distinct()
+    ids = F.broadcast(ids) if needed.count() <= BROADCAST_IDS else ids
     sets = map_arrow(texts.join(ids, F.col("id").eqNullSafe(F.col("least")), "left_semi"), _shingle_sets, "class binary, shingles binary")
-    whole = candidates.join(sets.dropDuplicates(["class"]), "class")
+    # a class of many rows has a copy of its shingles for each deal of them
+    often = needed.where("deals > 1").select("class", "deals")
+    often = F.broadcast(often) if often.count() <= BROADCAST_IDS else often
+    deal = F.when(F.col("deals").isNull(), 0).otherwise(F.pmod(F.xxhash64(*KEYS, "i", "j"), "deals").cast("int"))
+    dealt = candidates.join(often, "class", "left").withColumn("deal", deal).drop("deals")
+    copied = sets.dropDuplicates(["class"]).join(often, "class", "left")
+    copied = copied.select("class", "shingles", F.explode(F.sequence(F.lit(0), F.coalesce("deals", F.lit(1)) - 1)).alias("deal"))
+    whole = dealt.join(copied, ["class", "deal"]).drop("deal")
     whole = whole.repartition(*KEYS, "i", "j").sortWithinPartitions(*KEYS, "i", "j", "side", "class")
     links = saved(map_arrow(whole, _verify(threshold), "class binary, links long, root binary"), "links")
     counts = links.groupBy("class").agg(F.sum("links").alias("links"))
@@ -257,21 +269,18 @@ def join(docs: DataFrame, threshold: float = THRESHOLD, id_col: str = "doc_id",
     return result.withColumn("kept", F.col("wordless") | F.col(id_col).eqNullSafe(F.col("component_id"))).drop("wordless")
 
 
-def keep_one(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
-    """docs with one row of each group of near duplicates: the one of least id; all columns stay."""
-    found = saved(join(docs, threshold), "near")
-    gone = found.where("NOT kept").select(F.col("doc_id").alias("_id"), F.col("text_hash").alias("_hash")).distinct()
-    gone = saved(gone, "gone")
+def keep_one(docs: DataFrame, threshold: float = THRESHOLD, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """docs with one row of each group of near duplicates: the one of least id; all columns stay.
+
+    Where ids are null or repeated, rows are numbered as they are stored and that of the
+    least number stays.
+    """
+    rows, key = keyed(docs, id_col)
+    (out,) = fresh(rows, "_out")
+    found = join(rows.select(F.col(key).alias("id"), F.col(text_col).alias("text")), threshold, "id", "text")
+    gone = saved(found.where("NOT kept").select(F.col("id").alias(out)), "gone")
     gone = F.broadcast(gone) if gone.count() <= BROADCAST_IDS else gone
-    rest = docs.join(gone, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.xxhash64("text") == F.col("_hash")), "left_anti")
-    # rows of the kept id and group are several only where a row is repeated
-    again = found.where("kept AND n_links > 0").groupBy("doc_id", "component_id").count().where("count > 1")
-    if again.limit(1).count():
-        repeated = saved(again.select(F.col("doc_id").alias("_id")), "again")
-        same = F.col("doc_id").eqNullSafe(F.col("_id"))
-        one = rest.join(repeated, same, "left_semi").dropDuplicates(["doc_id", "text"])
-        rest = rest.join(repeated, same, "left_anti").unionByName(one)
-    return rest
+    return rows.join(gone, F.col(key) == F.col(out), "left_anti").select(*docs.columns)
 
 
 def stage(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
