@@ -44,13 +44,61 @@ def test_targets_equal_repeated_sharing(spark, docs, seed):
 
 
 def test_quality_draws_more_of_a_source(spark, docs):
-    noise, plain = "a# b# c# d#", "a b c d e f"
-    rows = [(i, noise if i % 2 else plain, "en", "big") for i in range(4000)] + [(5000 + i, plain, "en", "zsmall") for i in range(4000)]
-    got = mixing.mix(docs(rows), share=0.5).where("source = 'big'")
+    rows = [(i, "a b c d e f", "en", "big") for i in range(4000)] + [(5000 + i, "a b c d e f", "en", "zsmall") for i in range(4000)]
+    df = docs(rows).withColumn("weight", F.when(F.col("doc_id") % 2 == 0, 1.0).otherwise(0.2))
+    got = mixing.mix(df, "weight", share=0.5).where("source = 'big'")
     share = {r[0]: r[1] for r in got.groupBy((F.col("doc_id") % 2 == 0).alias("plain")).agg(F.avg("copies")).collect()}
     assert share[True] > 1.5 * share[False]
 
 
+def test_learned_weights(spark, docs):
+    noise, plain = "BUY!! NOW!! CLICK!! HERE!!", "a quiet text about mills and rivers"
+    df = docs([(i, f"{noise if i % 2 else plain} {i}", "en", "s") for i in range(80)])
+    labels = spark.createDataFrame([(i, (i + 1) % 2, 0) for i in range(40)], "doc_id long, quality int, toxic int")
+    rows, weight = mixing.scored(df, labels)
+    got = {r["doc_id"]: r[weight] for r in rows.collect()}
+    assert min(got[i] for i in range(0, 80, 2)) > max(got[i] for i in range(1, 80, 2)) and all(0.1 <= v <= 1 for v in got.values())
+    rows, weight = mixing.scored(df, labels.limit(0))
+    assert len({r[weight] for r in rows.collect()}) == 1
+
+
+def test_selection_equals_sorting_all(spark, docs):
+    """Copies of every row, against sorted keys and running sums in one place."""
+    rng = random.Random(12)
+    rows = [(i, " ".join(["w"] * rng.randint(0, 30)) + f" {i}", "en", rng.choice("aabc")) for i in range(700)]
+    df = docs(rows).withColumn("weight", F.lit(0.1) + (F.col("doc_id") % 10) / 10)
+    got = {r["doc_id"]: r for r in mixing.mix(df, "weight").collect()}
+    draw = (F.pmod(F.xxhash64(F.lit(mixing.SEED), F.col("doc_id"), F.xxhash64("text")), F.lit(1 << 52)).cast("double") + 0.5) / float(1 << 52)
+    keys = {r[0]: r[1] for r in df.select("doc_id", -F.log(draw) / F.col("weight")).collect()}
+    for source in "abc":
+        mine = sorted((keys[d], d, len(t.split())) for d, t, _, s in rows if s == source)
+        total = sum(n for _, _, n in mine)
+        target = got[mine[0][1]]["target"]
+        epochs = min(2, int(target // total))
+        rest, filled, want = target - epochs * total, 0, {}
+        for _, d, n in mine:
+            want[d] = epochs + (filled + n <= rest and not want.get("full"))
+            if want[d] > epochs:
+                filled += n
+            else:
+                want["full"] = True
+        out = [(abs(rest - filled - n), k, d) for k, d, n in mine if want[d] == epochs]
+        if out and min(out)[0] < rest - filled:
+            want[min(out)[2]] += 1
+        assert {d: got[d]["copies"] for _, d, _ in mine} == {d: c for d, c in want.items() if d != "full"}
+
+
+def test_stage_leaves_out_what_the_mix_leaves_out(spark, docs, tmp_path):
+    spark.createDataFrame([(1, 1, 0)], "doc_id long, quality int, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
+    df = docs([(i, f"a b c {i}", "en", "big" if i < 90 else "c") for i in range(100)])
+    for name in ("_row", "_key", "_score", "copies", "_range", "_id"):
+        df = df.withColumn(name, F.lit(name))
+    got = mixing.stage(spark, df, str(tmp_path))
+    rows = got.collect()
+    assert rows and all(r["copies"] > 0 and r["text"] == f"a b c {r['doc_id']}" and r["_row"] == "_row" and r["_score"] == "_score" for r in rows)
+    assert set(got.columns) == set(df.columns) | set(mixing.MADE)
+
+
 def test_a_source_over_several_ranges(spark, docs, monkeypatch):
     monkeypatch.setattr(mixing, "RANGE_ROWS", 50)
     rows = [(i, " ".join(["w"] * (1 + i % 9)), "en", "one" if i % 3 else "two") for i in range(1500)]

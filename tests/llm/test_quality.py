@@ -50,4 +50,75 @@ def test_scores_do_not_depend_on_neighbours():
     model = quality.train([(1, np.array([3, 5], np.int32), np.ones(2, np.float32)), (0, np.array([4], np.int32), np.ones(1, np.float32))])
     texts = ["ab cd", "x", "", None, "ab cd ab", "é"]
     together = quality.logits(model, pa.array(texts))
-    assert np.allclose(together, [quality.logits(model, pa.array([t], pa.string()))[0] for t in texts])
+    assert together.tolist() == [quality.logits(model, pa.array([t], pa.string()))[0] for t in texts]
+    many = quality.logits(model, pa.array((texts * 700)[:4000]))
+    assert {tuple(many[i :: len(texts)]) == (many[i],) * len(many[i :: len(texts)]) for i in range(len(texts))} == {True}
+
+
+def features(text):
+    """Buckets of a text, one by one."""
+    out = []
+    for kind, n in ((0, 3), (1, 4)):
+        for i in range(len(text) - n + 1):
+            h = 0
+            for c in text[i : i + n]:
+                h = (h * 0x01000193 + ord(c)) % 2**32
+            h ^= h >> 15
+            h = h * 0x85EBCA6B % 2**32
+            h ^= h >> 13
+            out.append(kind * quality.BUCKETS + h % quality.BUCKETS)
+    return out
+
+
+def test_scoring_equals_brute_force():
+    """Character n-grams of mixed scripts one by one; words as the kernel hashes them; the mean of the buckets' shares."""
+    import pyarrow as pa
+
+    from understory.llm import textkernel as tk
+
+    rng = np.random.default_rng(3)
+    model = quality.Model(np.round(rng.normal(0, 1, 4 * quality.BUCKETS), 6), 0.25)
+    texts = ["abc défg", "日本語 text", "x", "", None, "Ж" * 9 + "\n\ta b a b"]
+    got = quality.logits(model, pa.array(texts, pa.string()))
+    for t, z in zip(texts, got, strict=True):
+        raw = (t or "").encode()
+        found = tk.words(np.frombuffer(raw, np.uint8), np.array([0, len(raw)]), tk.TOKEN_BYTE).hashes.tolist()
+        ids = features(t or "") + [2 * quality.BUCKETS + h % quality.BUCKETS for h in found]
+        ids += [3 * quality.BUCKETS + int(tk.mix(np.array([a ^ b], np.uint64))[0]) % quality.BUCKETS for a, b in zip(found, found[1:], strict=False)]
+        assert abs(z - (sum(model.share[i] for i in ids) / max(len(ids), 1) + 0.25)) < 1e-8
+
+
+def test_a_step_goes_down_the_loss():
+    """The change of the output layer and vectors in one step, against differences of the loss."""
+    ids, counts = np.array([2, 7, 9], np.int32), np.array([1.0, 3.0, 2.0], np.float32)
+    part = counts / counts.sum()
+
+    def loss(vectors, output, bias, label):
+        z = part @ vectors[ids] @ output + bias
+        return -(z[label] - np.log(np.exp(z).sum()))
+
+    rng = np.random.default_rng(1)
+    vectors, output, bias = rng.normal(0, 1, (12, quality.DIMENSIONS)), rng.normal(0, 1, (quality.DIMENSIONS, 2)), np.zeros(2)
+    down_vectors, down_output = quality.gradients(vectors[ids], part[:, None], output, bias, 1)
+    for i, j in ((0, 0), (1, 3), (2, 11)):
+        moved = vectors.copy()
+        moved[ids[i], j] += 1e-6
+        assert abs((loss(moved, output, bias, 1) - loss(vectors, output, bias, 1)) / 1e-6 - down_vectors[i, j]) < 1e-4
+    for j, k in ((0, 0), (5, 1)):
+        moved = output.copy()
+        moved[j, k] += 1e-6
+        assert abs((loss(vectors, moved, bias, 1) - loss(vectors, output, bias, 1)) / 1e-6 - down_output[j, k]) < 1e-4
+
+
+def test_the_sample_is_bounded(spark, docs):
+    df = docs([(1, f"text {i} of one id") for i in range(300)] + [(2, "other"), (2, "other")])
+    lab = spark.createDataFrame([(1, 1, 0), (2, 0, 0), (3, 1, 0)], "doc_id long, quality int, toxic int")
+    seen = []
+    real = quality.train
+    quality.train = lambda rows: seen.append(len(rows)) or real(rows)
+    try:
+        quality.learn(df, lab, F.lit(True), rows=2)
+        quality.learn(df, lab, F.lit(True), rows=1000, features=500)
+    finally:
+        quality.train = real
+    assert seen[0] <= 2 and 0 < seen[1] < 30

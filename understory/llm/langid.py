@@ -32,7 +32,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from understory.llm.common import held, with_text_columns
+from understory.llm.common import fresh, held, with_text_columns
 
 #: Bounds of the learning sample for each language: documents, and normalised characters.
 SAMPLE_DOCS = 64
@@ -269,7 +269,7 @@ def predict(model: Tables | None, column: pa.Array) -> list[pa.Array]:
     return [pa.array(c, k) for c, k in zip(columns, (pa.string(), pa.float64(), pa.int64(), pa.float64(), pa.float64(), pa.int64()), strict=True)]
 
 
-def identify(docs: DataFrame, texts: dict[str, str], text_col: str = "text") -> DataFrame:
+def identify(docs: DataFrame, texts: dict[str, str], text_col: str = "text", names: Sequence[str] = tuple(f.name for f in FIELDS)) -> DataFrame:
     """docs with lang_pred, score, phrases, known_share, spelled_share and letters of each whole text.
 
     texts: learning text by language, from sample().  score is second / (best +
@@ -283,7 +283,7 @@ def identify(docs: DataFrame, texts: dict[str, str], text_col: str = "text") ->
         model = tables(texts) if texts else None
         return lambda column: predict(model, column)
 
-    return with_text_columns(docs, text_col, FIELDS, kernel)
+    return with_text_columns(docs, text_col, [T.StructField(n, f.dataType) for n, f in zip(names, FIELDS, strict=True)], kernel)
 
 
 def stage(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -294,10 +294,10 @@ def stage(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
     falls with their number.
     """
     texts = sample(docs, F.lit(True))
-    found = identify(docs, texts)
-    known = (F.col("known_share") > 0.5) & (F.col("spelled_share") < 1 + STRANGE / F.sqrt("letters"))
-    kept = found.where((F.col("lang_pred") != "und") & known)
-    return kept.select(*(F.coalesce("lang", "lang_pred").alias("lang") if c == "lang" else F.col(c) for c in docs.columns))
+    names = fresh(docs, *(f.name for f in FIELDS))
+    lang, _, _, known, spelled, letters = (F.col(n) for n in names)
+    kept = identify(docs, texts, names=names).where((lang != "und") & (known > 0.5) & (spelled < 1 + STRANGE / F.sqrt(letters)))
+    return kept.select(*(F.coalesce("lang", lang).alias("lang") if c == "lang" else F.col(c) for c in docs.columns))
 
 
 def op1_language_id(spark, sf_dir: str) -> DataFrame:

@@ -1,14 +1,16 @@
 """Mixing sources to target weights by Efraimidis-Spirakis sampling.
 
-Every document draws an exponential key divided by its quality weight, from a hash of
-its id.  A source first takes complete epochs; what is left of its target is filled
+Every document draws an exponential key, from a hash of its id and text, divided by its
+quality weight: what the classifier learned from the labels says of it.  A source first takes complete epochs; what is left of its target is filled
 from the least key on, by prefix sums of sizes within the source.  Keys are dealt into
 ranges first, so only the one range in which a source's budget ends is ever sorted,
 and no source needs to fit a task.
 
 Defined results: null texts have size 0 and are taken 0 words; a null source is a
-source of its own, last in order; ties of keys go by id and size; repeated rows count
-each; an empty table gives an empty result; other columns are ignored.
+source of its own, last in order; ties of keys go by id and size; repeated rows and rows of
+null ids count each; a very long text is one row that may not fit a gap; without labels all
+weights are equal; other columns are kept, but for those of a made column's name; an empty
+table gives an empty result.
 """
 
 from __future__ import annotations
@@ -16,13 +18,16 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from understory.llm.common import saved
+from understory.llm import quality
+from understory.llm.common import fresh, saved
 
 #: Weights of the sources in code point order, repeating; share of all words; epochs at most.
 SOURCE_WEIGHTS = (3, 1, 2)
 SHARE = 1.5
 EPOCHS = 2
 SEED = 20240229
+LEAST_WEIGHT = 0.1
+MADE = ("size", "source_size", "target", "copies", "taken")
 #: Documents a key range holds, about.
 RANGE_ROWS = 5000
 
@@ -32,10 +37,11 @@ def size_of(text: Column) -> Column:
     return F.coalesce(F.regexp_count(text, F.lit(r"[^\x20\x09-\x0D]+")), F.lit(0)).cast("long")
 
 
-def quality_weight(text: Column) -> Column:
-    """0.1 to 1: the less of the text is markup and noise characters, the higher."""
-    noise = F.regexp_count(text, F.lit(r"[#$%&*!|<>{}=_]")) / F.greatest(F.length(text), F.lit(1))
-    return F.coalesce(F.greatest(F.lit(0.1), 1 - 6 * noise), F.lit(0.1))
+def scored(docs: DataFrame, labels: DataFrame, text_col: str = "text") -> tuple[DataFrame, str]:
+    """docs with a quality weight from LEAST_WEIGHT to 1, and its column's name."""
+    name, predicted = fresh(docs, "_score", "_predicted")
+    found = quality.score(docs, quality.learn(docs, labels, F.lit(True)), text_col, (name, predicted)).drop(predicted)
+    return found.withColumn(name, LEAST_WEIGHT + (1 - LEAST_WEIGHT) * F.col(name)), name
 
 
 def targets(totals: DataFrame, share: float = SHARE, epochs: int = EPOCHS, weights: tuple = SOURCE_WEIGHTS) -> DataFrame:
@@ -60,16 +66,19 @@ def targets(totals: DataFrame, share: float = SHARE, epochs: int = EPOCHS, weigh
     return t.drop("_w", "_cap", "_budget", "_all", "_cut", "_gone", "_level")
 
 
-def mix(docs: DataFrame, id_col: str = "doc_id", share: float = SHARE, epochs: int = EPOCHS, seed: int = SEED) -> DataFrame:
-    """id, source, size, source_size, target, copies, taken of each row of docs.
+def mix(docs: DataFrame, weight: str | None = None, id_col: str = "doc_id", share: float = SHARE, epochs: int = EPOCHS, seed: int = SEED, keep: tuple[str, ...] | None = None) -> DataFrame:
+    """docs with size, source_size, target, copies, taken.
 
-    copies: times the mix has the document; taken: its words, copies times size.  A
-    source's taken words miss its target by less than the document that fits the last
-    gap of its key range best.
+    weight: a column of positive weights (all alike without it); keep: the columns that
+    are returned, all by default.  copies: times the mix has the document; taken: its
+    words, copies times size.  A source's taken words miss its target by less than the
+    document that fits the last gap of its key range best.
     """
-    draw = (F.pmod(F.xxhash64(F.lit(seed), F.col(id_col)), F.lit(1 << 52)).cast("double") + 0.5) / float(1 << 52)
-    weight = quality_weight(F.col("text"))
-    sized = saved(docs.select(F.col(id_col).alias("_id"), "source", size_of(F.col("text")).alias("size"), weight.alias("_weight"), (-F.log(draw) / weight).alias("_key")), "sizes")
+    kept = [c for c in docs.columns if c not in MADE and c != weight] if keep is None else list(keep)
+    draw = (F.pmod(F.xxhash64(F.lit(seed), F.col(id_col), F.xxhash64("text")), F.lit(1 << 52)).cast("double") + 0.5) / float(1 << 52)
+    heavy = F.col(weight).cast("double") if weight else F.lit(1.0)
+    sized = docs.select(F.struct(*kept).alias("_row"), F.col(id_col).alias("_id"), "source", size_of(F.col("text")).alias("size"), heavy.alias("_weight"), draw.alias("_draw"))
+    sized = saved(sized.withColumn("_key", -F.log("_draw") / F.col("_weight")).drop("_draw"), "sizes")
     totals = sized.groupBy("source").agg(F.sum("size").alias("source_size"), F.count("*").alias("_rows"), F.avg("_weight").alias("_mean"))
     plan = targets(totals, share, epochs)
     plan = plan.withColumn("_epochs", F.when(F.col("source_size") > 0, F.least(F.lit(epochs), F.floor(F.col("target") / F.col("source_size")))).otherwise(0).cast("long"))
@@ -95,14 +104,17 @@ def mix(docs: DataFrame, id_col: str = "doc_id", share: float = SHARE, epochs: i
     ended = ended.withColumn("_more", F.when(F.col("_in") | fits, 1).otherwise(0)).drop("_in", "_gap")
     others = keyed.where(F.col("_range") != F.col("_last")).withColumn("_more", F.when(F.col("_range") < F.col("_last"), 1).otherwise(0))
     rows = others.unionByName(ended).withColumn("copies", F.col("_epochs") + F.col("_more"))
-    return rows.select(F.col("_id").alias(id_col), "source", "size", "source_size", "target", "copies", (F.col("copies") * F.col("size")).alias("taken"))
+    return rows.select("_row.*", "size", "source_size", "target", "copies", (F.col("copies") * F.col("size")).alias("taken"))
 
 
 def stage(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pipeline stage: the mix, as one row a document with its copies."""
-    return mix(docs)
+    """Pipeline stage: the mix, a row a document that it takes, with its copies."""
+    rows, weight = scored(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
+    return mix(rows, weight).where("copies > 0")
 
 
 def op3_mixing(spark, sf_dir: str) -> DataFrame:
     """doc_id, source, size, source_size, target, copies, taken of each row of documents."""
-    return mix(spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "source", "text"))
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "source", "text")
+    rows, weight = scored(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
+    return mix(rows, weight, keep=("doc_id", "source"))
