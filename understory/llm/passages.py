@@ -570,34 +570,43 @@ def _aligned(texts: DataFrame, chains: DataFrame) -> DataFrame:
     return map_arrow(ready, _align, PASSAGES)
 
 
-def _windows(found: tk.Words, i: int) -> np.ndarray:
-    """Hashes of all runs of MIN_WORDS words of text i."""
-    first, last = int(found.bounds[i]), int(found.bounds[i + 1]) - MIN_WORDS
-    places = np.arange(first, max(last + 1, first))
-    return tk.spans(found, places, places + MIN_WORDS)
+def _windows(found: tk.Words) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(hash, text, place) of all runs of MIN_WORDS words of consecutive texts."""
+    runs = np.maximum(found.counts - MIN_WORDS + 1, 0)
+    text = np.repeat(np.arange(len(runs)), runs)
+    at = np.arange(len(text)) - np.repeat(np.cumsum(runs) - runs, runs)
+    first = found.bounds[:-1][text] + at
+    return tk.spans(found, first, first + MIN_WORDS), text, at
+
+
+_WINDOWS = "seed long, key long, at int"
+
+
+def _window_batch(hashes: np.ndarray, keys: np.ndarray, at: np.ndarray) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array(hashes.view(np.int64)), pa.array(keys), pa.array(at.astype(np.int32))], names=["seed", "key", "at"])
 
 
 def _wanted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Runs of MIN_WORDS words of the stretches of each text that no found passage holds."""
     for batch in batches:
-        keys, stretches, spans = (batch.column(c).to_pylist() for c in ("key", "stretches", "spans"))
+        keys, stretches, spans = batch.column("key").to_numpy(), batch.column("stretches").to_pylist(), batch.column("spans").to_pylist()
         for begin, end, raw, offsets in tk.slices(batch.column("text")):
-            found = tk.words(raw, offsets)
+            hashes, text, at = _windows(tk.words(raw, offsets))
+            ask = np.zeros(len(hashes), bool)
+            bounds = np.searchsorted(text, np.arange(end - begin + 1))
             for i in range(begin, end):
-                hashes = _windows(found, i - begin)
-                ask = np.zeros(len(hashes), bool)
+                mine = ask[bounds[i - begin] : bounds[i - begin + 1]]
                 for s in stretches[i]:
-                    ask[max(0, s["start"] - LOOSE) : max(0, s["end"] + LOOSE - MIN_WORDS + 1)] = True
+                    mine[max(0, s["start"] - LOOSE) : max(0, s["end"] + LOOSE - MIN_WORDS + 1)] = True
                 for s in spans[i] or ():
-                    ask[s["start"] : max(s["start"], s["end"] - MIN_WORDS + 1)] = False
-                at = np.flatnonzero(ask)
-                if len(at):
-                    yield pa.RecordBatch.from_arrays([pa.array(hashes[at].view(np.int64)), pa.array([keys[i]] * len(at), pa.int64()), pa.array(at.astype(np.int32))], names=["seed", "key", "at"])
+                    mine[s["start"] : max(s["start"], s["end"] - MIN_WORDS + 1)] = False
+            if ask.any():
+                yield _window_batch(hashes[ask], keys[begin + text[ask]], at[ask])
 
 
 def _bits(wanted: DataFrame, count: int) -> np.ndarray:
-    """A bit set of the wanted hashes, 16 bits for each at least up to 2 ** BIT_POWER longs."""
-    power = int(min(BIT_POWER, max(10, np.ceil(np.log2(max(count, 1) / 4)))))
+    """A bit set of the wanted hashes, 64 bits for each at least up to 2 ** BIT_POWER longs."""
+    power = int(min(BIT_POWER, max(10, np.ceil(np.log2(max(count, 1))))))
     place = F.shiftrightunsigned("seed", 64 - power).cast("int").alias("place")
     rows = wanted.select(place, F.expr("shiftleft(1L, cast(seed & 63 AS int))").alias("bit")).groupBy("place").agg(F.bit_or("bit").alias("bits"))
     out = np.zeros(1 << power, np.int64)
@@ -611,14 +620,15 @@ def _holders(bits: np.ndarray):
     shift = np.uint64(64 - int(np.log2(len(bits))))
 
     def run(texts: pa.Array, keys: np.ndarray) -> Iterator[pa.RecordBatch]:
-        for begin, end, raw, offsets in tk.slices(texts):
-            found = tk.words(raw, offsets)
-            for i in range(end - begin):
-                hashes = _windows(found, i)
-                at = np.flatnonzero((bits[(hashes >> shift).astype(np.int64)] >> (hashes & np.uint64(63))) & np.uint64(1))
-                if len(at):
-                    seed, first = np.unique(hashes[at], return_index=True)
-                    yield pa.RecordBatch.from_arrays([pa.array(seed.view(np.int64)), pa.array(np.full(len(seed), keys[begin + i])), pa.array(at[first].astype(np.int32))], names=["seed", "key", "at"])
+        for begin, _, raw, offsets in tk.slices(texts):
+            hashes, text, at = _windows(tk.words(raw, offsets))
+            some = np.flatnonzero((bits[(hashes >> shift).astype(np.int64)] >> (hashes & np.uint64(63))) & np.uint64(1))
+            if len(some):
+                hashes, text, at = hashes[some], text[some], at[some]
+                order = np.lexsort((at, text, hashes))
+                hashes, text, at = hashes[order], text[order], at[order]
+                one = np.concatenate([[True], (hashes[1:] != hashes[:-1]) | (text[1:] != text[:-1])])
+                yield _window_batch(hashes[one], keys[begin + text[one]], at[one])
 
     return run
 
@@ -629,11 +639,11 @@ def _exact(texts: DataFrame, stretches: DataFrame, found: DataFrame) -> DataFram
     left = stretches.select("key", "start", "end").join(spans, "key", "left").where("spans IS NULL OR NOT exists(spans, s -> s.start <= start AND s.end >= end)")
     left = left.groupBy("key").agg(F.collect_list(F.struct("start", "end")).alias("stretches"), F.first("spans").alias("spans"))
     left = saved(left.withColumnRenamed("key", "of"), "stretches")
-    n = left.count()
+    n = left.agg(F.sum(F.size("stretches") + F.greatest(F.size("spans"), F.lit(0)) + 1)).first()[0]
     if not n:
         return None
-    rows = texts.join(F.broadcast(left) if n <= BROADCAST_BLOCKS // 8 else left, F.col("key") == F.col("of")).select("key", "text", "stretches", "spans")
-    wanted = saved(map_arrow(rows, _wanted, "seed long, key long, at int"), "wanted")
+    rows = texts.join(F.broadcast(left) if n <= BROADCAST_BLOCKS // 4 else left, F.col("key") == F.col("of")).select("key", "text", "stretches", "spans")
+    wanted = saved(map_arrow(rows, _wanted, _WINDOWS), "wanted")
     count = wanted.count()
     if not count:
         return None
@@ -644,7 +654,7 @@ def _exact(texts: DataFrame, stretches: DataFrame, found: DataFrame) -> DataFram
         for batch in batches:
             yield from holders(batch.column("text"), batch.column("key").to_numpy())
 
-    holders = map_arrow(texts, scan, "seed long, key long, at int")
+    holders = map_arrow(texts, scan, _WINDOWS)
     firsts = holders.groupBy("seed").agg(F.min("key").alias("first"), F.min_by("at", "key").alias("first_at"))
     matched = wanted.join(firsts, "seed").where("key > first")
     return matched.select("key", "first", "at", "first_at", F.lit(MIN_WORDS).alias("n"))
