@@ -6,9 +6,9 @@ compared by exact cosine in double precision.  A pair counts in the first table
 shares; links are counted and joined up inside blocks of bounded size and never become
 rows.  Equal vectors are one class and are not compared with each other.
 
-The projections per table grow with the logarithm of the number of vectors, so a bucket
-holds about one stranger at any size; the tables are as many as let one pair in MISS at
-the threshold through (fewer above it).
+Width, projections per table and tables are chosen together, for the counted vectors: as
+many tables as let one pair in MISS at the threshold through (fewer above it), and the
+projections that cost least, so a bucket holds few strangers at any size.
 
 Buckets are computed from coordinates and projections rounded to integers, whose sums
 doubles hold exactly, so every task finds the same buckets whatever its batch.
@@ -16,7 +16,8 @@ doubles hold exactly, so every task finds the same buckets whatever its batch.
 Defined results: vectors that are null, empty, zero or hold null or non-finite components
 link with nothing; vectors of different lengths never link; copies are links of cosine
 1; a null id is a row of its own and is no component's id unless all ids are null; an
-empty table gives an empty result.
+empty table gives an empty result; other columns are ignored; a very long vector costs its
+length, and no more vectors are held at once than two blocks have.
 """
 
 from __future__ import annotations
@@ -34,8 +35,9 @@ from understory.llm import blocks
 from understory.llm.common import components, map_arrow, saved
 
 THRESHOLD = 0.95
-WIDTH = 1.2
 MISS = 1e-4
+#: Bytes of a row of a class and its bucket on its way.
+ROW_BYTES = 40
 SEED = 51
 KEYS = ["part", "bucket"]
 #: Bits after the point that coordinates and projections keep.
@@ -51,7 +53,7 @@ class Plan:
 
     tables: int
     each: int
-    width: float = WIDTH
+    width: float
     seed: int = SEED
 
     def projections(self, dimension: int) -> tuple[np.ndarray, np.ndarray]:
@@ -83,12 +85,25 @@ def _collision(distance: float, width: float) -> float:
     return 1 - 2 * tail - 2 / (math.sqrt(2 * math.pi) * x) * (1 - math.exp(-x * x / 2))
 
 
-def plan_for(rows: int, threshold: float = THRESHOLD, width: float = WIDTH, miss: float = MISS) -> Plan:
-    """Projections that leave about one unrelated vector in a bucket, and tables that miss `miss` of the links."""
-    near = _collision(max(math.sqrt(max(0.0, 2 - 2 * threshold)), 1e-6), width)
-    far = _collision(math.sqrt(2), width)
-    each = max(4, math.ceil(math.log(max(rows, 2)) / -math.log(far)))
-    return Plan(math.ceil(math.log(miss) / math.log(1 - near**each)), each, width)
+def plan_for(rows: int, threshold: float = THRESHOLD, miss: float = MISS, dimension: int = 64) -> Plan:
+    """The width, projections and tables of least cost that miss `miss` of the links.
+
+    Cost for a vector and table, in bytes or what takes as long: a narrow row, the vector
+    once more where a stranger shares the bucket, and the projections.
+    """
+    distance = max(math.sqrt(max(0.0, 2 - 2 * threshold)), 1e-6)
+    best = None
+    for step in range(6, 41):
+        width = step / 10
+        near, far = _collision(distance, width), _collision(math.sqrt(2), width)
+        for each in range(4, 65):
+            whole = near**each
+            tables = 1 if whole >= 1 - miss else math.ceil(math.log(miss) / math.log1p(-whole))
+            strangers = rows * far**each
+            cost = tables * (ROW_BYTES + (1 - math.exp(-strangers)) * (ROW_BYTES + 8 * dimension) + strangers * dimension / 4 + each * dimension / 50)
+            if best is None or cost < best[0]:
+                best = (cost, Plan(tables, each, width))
+    return best[1]
 
 
 def usable(vector: Column) -> Column:
@@ -217,7 +232,8 @@ def link(vectors: DataFrame, threshold: float = THRESHOLD, id_col: str = "vec_id
     rows = saved(rows.withColumn("vector", F.when(usable(F.col("vector")), F.transform("vector", lambda x: x + 0.0))), "vectors")
     classes = rows.where("vector IS NOT NULL").groupBy("vector").agg(F.min("row").alias("class"), F.count("*").alias("copies"), F.min("id").alias("least"))
     classes = saved(classes, "vector-classes")
-    plan = plan_for(classes.count(), threshold)
+    known, dimension = classes.agg(F.count("*"), F.max(F.size("vector"))).first()
+    plan = plan_for(known, threshold, dimension=dimension or 1)
     buckets = map_arrow(classes.select("class", "vector"), _hash(plan), "class long, buckets array<long>")
     shared = blocks.shared_buckets(buckets.select("class", F.posexplode("buckets").alias("part", "bucket")), KEYS)
     shared = shared.join(classes.select("class", "vector", "copies", F.size("vector").alias("dimension")), "class")
