@@ -70,11 +70,13 @@ def map_arrow(df: DataFrame, function: Callable[[Iterator[pa.RecordBatch]], Iter
 def shared_folder(spark: SparkSession) -> str:
     """The folder that driver and executors share, from spark.checkpoint.dir.
 
-    Only where that is unset (tests on one machine) a folder is made and set.
+    Only where that is unset on one machine (tests) a folder is made and set.
     """
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if not folder:
         made = spark.sparkContext._jsc.sc().getCheckpointDir()
+        if not made.isDefined() and not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         folder = made.get() if made.isDefined() else "file://" + tempfile.mkdtemp(prefix="understory-")
         spark.conf.set("spark.checkpoint.dir", folder)
     return folder.rstrip("/")
@@ -109,24 +111,28 @@ FILE_ROWS = 200_000
 def saved(df: DataFrame, name: str, rows: int | None = None) -> DataFrame:
     """df written as Parquet in the shared folder and read again: lineage ends there.
 
-    The files outlive executors; a lost task reads them again.  rows: a bound of the
-    number of (narrow) rows, for no more files than they need.
+    The files outlive executors; a lost task reads them again; they go when the driver
+    ends.  rows: a bound of the number of (narrow) rows, for no more files than they need.
     """
     spark = df.sparkSession
     if rows is not None:
         df = df.coalesce(max(1, -(-rows // FILE_ROWS)))
     path = f"{shared_folder(spark)}/understory/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
+    _folder(spark, path, lambda files, place: files.deleteOnExit(place))
     return spark.read.schema(df.schema).parquet(path)
 
 
+def _folder(spark: SparkSession, path: str, act: Callable) -> None:
+    """Call act with a folder's file system and place."""
+    place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    act(place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), place)
+
+
 def drop_saved(df: DataFrame) -> None:
     """Delete the files of a table from saved() that nothing reads any more."""
-    spark = df.sparkSession
-    jvm = spark.sparkContext._jvm
     for file in df.inputFiles()[:1]:
-        path = jvm.org.apache.hadoop.fs.Path(file).getParent()
-        path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+        _folder(df.sparkSession, file.rsplit("/", 1)[0], lambda files, place: files.delete(place, True))
 
 
 def with_text_columns(

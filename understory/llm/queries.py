@@ -28,6 +28,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op9_url_filter": urlfilter.op9_url_filter,
         "op10_decontamination": decontaminate.op10_decontamination,
         "pipeline": pipeline,
+        "url_aliases": urlfilter.url_aliases,
     }
 
 
@@ -35,5 +36,6 @@ def oracle_sql() -> dict[str, str]:
     return {
         "op5_warc": warc.OP5_SQL,
         "op9_url_filter": urlfilter.OP9_SQL,
+        "url_aliases": urlfilter.ALIASES_SQL,
         "op10_decontamination": decontaminate.OP10_SQL,
     }
