@@ -21,7 +21,7 @@ def values(df, *columns):
 
 
 @pytest.mark.parametrize(
-    "change", [{"dataset_id": 0}, {"tile_size": 0}, {"threads": -1}, {"catalog_workers": 0}, {"grid_search_step": 21}, {"minimum_tree_voxels": 0}, {"maximum_height": 0.5}, {"voxel_resolution": float("nan")}]
+    "change", [{"dataset_id": 0}, {"tile_size": 0}, {"threads": -1}, {"catalog_workers": 0}, {"grid_search_step": 21}, {"minimum_tree_voxels": 0}, {"maximum_height": 0.5}, {"voxel_resolution": float("nan")}, {"dtm_buffer": 0}]
 )
 def test_parameters_are_checked(change):
     with pytest.raises(ValueError):
@@ -196,7 +196,81 @@ def test_cli_checks_its_options(tmp_path, capsys):
 
     path = str(tmp_path / "p.parquet")
     open(path, "w").close()
-    _, p = parse(["--point_cloud", path, "--output-dir", ".", "--instance-dimension", "a,b", "--instance_dimension", "a", "--tile-size", "10"])
+    _, p = parse(["--point_cloud", path, "--output-dir", ".", "--dataset-id", "3", "--instance-dimension", "a,b", "--instance_dimension", "a", "--tile-size", "10"])
     assert p.instance_dimensions == ("a", "b") and p.tile_size == 10
-    assert main(["--point-cloud", "/missing.las", "--output-dir", "."]) == 1
+    assert main(["--point-cloud", "/missing.las", "--output-dir", ".", "--dataset-id", "3"]) == 1
     assert "does not exist" in capsys.readouterr().err
+
+
+def test_usable_area_of_touching_and_overlapping_polygons():
+    from understory import geometry as g
+
+    square = lambda *box: g.rectangle(box)
+    assert g.usable_area([square(0, 0, 20, 10), square(0, 10, 20, 20)]) == pytest.approx(400)
+    assert g.usable_area([square(0, 0, 20, 12), square(0, 8, 20, 20)], [square(5, 5, 10, 30)]) == pytest.approx(400 - 75)
+    assert g.complete((0, 0, 20, 20), [square(0, 0, 20, 10), square(0, 10, 20, 20)]) and not g.complete((0, 0, 20, 20), [square(0, 0, 20, 10), square(0, 10.5, 20, 20)])
+    triangle = [[(0.0, 0.0), (8.0, 0.0), (0.0, 8.0), (0.0, 0.0)]]
+    assert g.usable_area([triangle], [], (0, 0, 4, 4)) == pytest.approx(16) and g.usable_area([triangle], [], (0, 0, 5, 5)) == pytest.approx(23) and g.usable_area([triangle], [triangle]) == pytest.approx(0)
+    bow = [[(0.0, 0.0), (4.0, 4.0), (4.0, 0.0), (0.0, 4.0), (0.0, 0.0)]]
+    assert g.usable_area([bow]) == pytest.approx(8)
+    ring = [g.rectangle((0, 0, 10, 10))[0], g.rectangle((2, 2, 4, 4))[0]]
+    assert g.usable_area([ring]) == pytest.approx(96) and not g.rectangles_apart([square(0, 0, 1, 1), square(1, 0, 2, 1)])
+    with pytest.raises(ValueError, match="empty without"):
+        g.usable([square(0, 0, 2, 2), square(2, 0, 4, 2)], [square(-1, -1, 5, 5)])
+
+
+def test_tiles_over_touching_inclusions(spark):
+    from understory import geometry as g
+
+    halves = [g.rectangle((0.0, 0.0, 40.0, 10.0)), g.rectangle((0.0, 10.0, 40.0, 40.0))]
+    whole = values(grid.optimized(spark, [(0.0, 0.0, 40.0, 40.0)], 20.0, 5.0), "tile_id", "xmin", "ymin")
+    assert values(grid.optimized_in_polygons(spark, halves, 20.0, 5.0), "tile_id", "xmin", "ymin") == whole and len(whole) == 4
+    moved = [g.rectangle((3.0, 1.0, 45.0, 21.0)), g.rectangle((3.0, 21.0, 45.0, 43.0))]
+    bars = [(20.0, 30.0, 24.0, 36.0)]
+    want = values(grid.optimized(spark, [(3.0, 1.0, 45.0, 43.0)], 20.0, 1.0, bars), "tile_id", "xmin", "ymin")
+    assert values(grid.optimized_in_polygons(spark, moved, 20.0, 1.0, [g.rectangle(b) for b in bars]), "tile_id", "xmin", "ymin") == want
+    assert grid.optimized_in_polygons(spark, [g.rectangle((0.0, 0.0, 9.0, 9.0))], 20.0, 5.0).count() == 0
+
+
+@pytest.mark.parametrize("big", [False, True])
+def test_geotiff_round_trip(spark, tmp_path, big):
+    from understory.sinks import geotiff
+
+    cells = [(c, r, c + 100.0 * r) for c in range(7) for r in range(50) if (c + r) % 3 and not 16 <= r < 34]
+    geotiff.write(spark.createDataFrame([*cells, (9, 1, 5.0), (-1, 0, 5.0)], "col long, row long, value double"), str(tmp_path / "a.tif"), 10.0, 20.0, 0.5, 7, 50, 32633, big=big)
+    got, tags = geotiff.read(str(tmp_path / "a.tif"))
+    want = np.full((50, 7), np.nan)
+    for c, r, v in cells:
+        want[49 - r, c] = v
+    assert np.array_equal(got, want, equal_nan=True) and tags[33922][3:5] == (10.0, 45.0) and tags[34735][-1] == 32633
+    assert (tmp_path / "a.tif").read_bytes()[2] == (43 if big else 42)
+
+
+def test_las_files_name_their_coordinate_system(tmp_path):
+    from understory.sources.points import epsg_of
+
+    path, xyz = str(tmp_path / "a.las"), np.random.default_rng(1).uniform(0, 9, (20, 3))
+    for version in ((1, 4), (1, 2)):
+        las.write(path, xyz, extras={"Tree": np.ones(20)}, version=version, epsg=25833)
+        assert epsg_of(path) == 25833 and las.read_header(path).extras[0][0] == "Tree"
+    las.write(path, xyz)
+    assert epsg_of(path) is None and epsg_of("a.parquet") is None
+    assert las._epsg(2112, b'PROJCS["x",GEOGCS["y",AUTHORITY["EPSG","4258"]],AUTHORITY["EPSG","25832"]]') == 25832
+
+
+def test_triangulation_of_lattices_and_equal_points():
+    lattice = np.stack(np.meshgrid(np.arange(30.0), np.arange(20.0)), -1).reshape(-1, 2)
+    for points, area in ((lattice, 29 * 19), (np.vstack([lattice, lattice]), 29 * 19), (lattice[::-1] * 0.1 + 4e5, 29 * 19 * 0.01)):
+        t = triangulate(points)
+        a, b, c = (points[t[:, i]] for i in range(3))
+        parts = ((b - a)[:, 0] * (c - a)[:, 1] - (b - a)[:, 1] * (c - a)[:, 0]) / 2
+        assert (parts > 0).all() and parts.sum() == pytest.approx(area)
+
+
+def test_ground_leaves_vegetation_out():
+    rng = np.random.default_rng(4)
+    xy = rng.uniform(0, 60, (8000, 2))
+    ground = np.arange(8000) % 2 == 0
+    z = 100 + 0.05 * xy[:, 0] + np.sin(xy[:, 1] / 9) + np.where(ground, 0, rng.uniform(0.6, 12, 8000))
+    got = terrain._ground_points(np.column_stack([xy, z]), 20.0, 30.0, 1.0)
+    assert got[ground].mean() > 0.99 and got[~ground].mean() < 0.02

@@ -10,6 +10,9 @@ from dataclasses import fields
 from understory.params import DEFAULT_DIMENSIONS, Parameters, check_aoi, check_input, split_names
 
 
+FLAGS = {"performance_report": "write phase timings and parameters", "keep_ground_classes": "build the terrain from the points of class 2 instead of classifying"}
+
+
 def parser() -> argparse.ArgumentParser:
     """Options by the names of parameters, with dashes or underscores."""
     out = argparse.ArgumentParser(prog="understory", description="Forest structure of a point cloud by tiles and segments.")
@@ -23,8 +26,10 @@ def parser() -> argparse.ArgumentParser:
         if f.name in ("instance_dimensions",):
             continue
         names = dict.fromkeys((f"--{f.name.replace('_', '-')}", f"--{f.name}"))
-        if f.name == "performance_report":
-            out.add_argument(*names, action="store_true", help="write phase timings and parameters")
+        if f.name in FLAGS:
+            out.add_argument(*names, action="store_true", help=FLAGS[f.name])
+        elif f.name == "dataset_id":
+            out.add_argument(*names, type=int, required=True, help="number that artifacts are named by")
         else:
             out.add_argument(*names, type=type(f.default), default=f.default, help=f"(default: {f.default:g})")
     return out

@@ -5,21 +5,24 @@ from __future__ import annotations
 import numpy as np
 
 
-def _circumcircles(points: np.ndarray, triangles: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    a, b, c = (points[triangles[:, i]] for i in range(3))
-    ab, ac = b - a, c - a
-    d = 2 * (ab[:, 0] * ac[:, 1] - ab[:, 1] * ac[:, 0])
-    d = np.where(d == 0, np.finfo(float).tiny, d)
-    ab2, ac2 = (ab**2).sum(axis=1), (ac**2).sum(axis=1)
-    centre = a + np.column_stack([ac[:, 1] * ab2 - ab[:, 1] * ac2, ab[:, 0] * ac2 - ac[:, 0] * ab2]) / d[:, None]
-    return centre, ((centre - a) ** 2).sum(axis=1)
+def _insertion_order(p: np.ndarray) -> list[int]:
+    """Points in rounds of doubling size, each along a snake of cells: cavities stay small and walks short."""
+    n = len(p)
+    turn = np.random.default_rng(n).permutation(n)
+    rank = np.empty(n, np.int64)
+    rank[turn] = np.floor(np.log2(np.arange(n) + 1)).astype(np.int64)
+    cells = np.maximum(1, np.sqrt(2.0 ** rank / 2)).astype(np.int64)
+    place = np.floor((p - p.min(axis=0)) / max(np.ptp(p, axis=0).max(), 1e-12) * (cells[:, None] - 1e-9)).astype(np.int64)
+    along = np.where(place[:, 1] % 2 == 0, p[:, 0], -p[:, 0])
+    return np.lexsort((along, place[:, 1], rank)).tolist()
 
 
 def triangulate(points: np.ndarray) -> np.ndarray:
     """Triangles (rows of three indices, counter-clockwise) of distinct points; none if all are on one line.
 
-    Points are put in one by one in x order within a great triangle; triangles whose
-    circumcircle lies to the left of the sweep are finished and no longer tested.
+    Points are put in one by one within a great triangle: a walk over neighbours finds the
+    triangle that holds a point, the triangles around it whose circumcircles hold it make
+    way, and their rim is joined to it.
     """
     points = np.asarray(points, float)
     none = np.zeros((0, 3), np.int64)
@@ -31,30 +34,66 @@ def triangulate(points: np.ndarray) -> np.ndarray:
     keep = np.ones(len(order), bool)
     keep[1:] = (np.abs(np.diff(p[order], axis=0)) > 1e-12).any(axis=1)
     order = order[keep]
-    centred = p[order] - p[order].mean(axis=0)
-    if len(order) < 3 or np.linalg.svd(centred, compute_uv=False)[1] < 1e-9:
+    if len(order) < 3 or np.linalg.svd(p[order] - p[order].mean(axis=0), compute_uv=False)[1] < 1e-9:
         return none
+    order = order[_insertion_order(p[order])].tolist()
     n = len(p)
-    p = np.vstack([p, [[-1e3, -1e3], [1e3, -1e3], [0.0, 1e3]]])
-    live = np.array([[n, n + 1, n + 2]])
-    centre, radius = _circumcircles(p, live)
-    finished = []
+    xs, ys = [*p[:, 0].tolist(), -1e3, 1e3, 0.0], [*p[:, 1].tolist(), -1e3, -1e3, 1e3]
+    corners, beside, circles = [(n, n + 1, n + 2)], [[-1, -1, -1]], [(0.0, 0.0, 1e9)]
+    t = 0
     for i in order:
-        x, y = p[i]
-        passed = centre[:, 0] + np.sqrt(radius) < x - 1e-12
-        if passed.any():
-            finished.append(live[passed])
-            live, centre, radius = live[~passed], centre[~passed], radius[~passed]
-        bad = (centre[:, 0] - x) ** 2 + (centre[:, 1] - y) ** 2 <= radius * (1 + 1e-12)
-        hole = live[bad]
-        edges = np.vstack([hole[:, [0, 1]], hole[:, [1, 2]], hole[:, [2, 0]]])
-        key = np.sort(edges, axis=1)
-        _, place, count = np.unique(key, axis=0, return_index=True, return_counts=True)
-        rim = edges[place[count == 1]]
-        new = np.column_stack([rim, np.full(len(rim), i)])
-        c, r = _circumcircles(p, new)
-        live, centre, radius = np.vstack([live[~bad], new]), np.vstack([centre[~bad], c]), np.concatenate([radius[~bad], r])
-    triangles = np.vstack([*finished, live])
+        x, y = xs[i], ys[i]
+        came = -1
+        while True:
+            a, b, c = corners[t]
+            ax, ay, bx, by, cx, cy = xs[a], ys[a], xs[b], ys[b], xs[c], ys[c]
+            near = beside[t]
+            if (cx - bx) * (y - by) < (cy - by) * (x - bx) and near[0] != came and near[0] >= 0:
+                came, t = t, near[0]
+            elif (ax - cx) * (y - cy) < (ay - cy) * (x - cx) and near[1] != came and near[1] >= 0:
+                came, t = t, near[1]
+            elif (bx - ax) * (y - ay) < (by - ay) * (x - ax) and near[2] != came and near[2] >= 0:
+                came, t = t, near[2]
+            else:
+                break
+        gone, at, rim = [t], 0, []
+        held = {t}
+        while at < len(gone):
+            t = gone[at]
+            at += 1
+            v, near = corners[t], beside[t]
+            for k in (0, 1, 2):
+                o = near[k]
+                if o in held:
+                    continue
+                if o >= 0:
+                    ox, oy, r = circles[o]
+                    if (ox - x) * (ox - x) + (oy - y) * (oy - y) < r:
+                        held.add(o)
+                        gone.append(o)
+                        continue
+                rim.append((v[k - 2], v[k - 1], o, t))
+        first, last = {}, {}
+        for k, (a, b, o, old) in enumerate(rim):
+            if k < len(gone):
+                t = gone[k]
+            else:
+                t = len(corners)
+                corners.append(None)
+                beside.append(None)
+                circles.append(None)
+            first[a], last[b] = t, t
+            ux, uy, vx, vy = xs[a] - x, ys[a] - y, xs[b] - x, ys[b] - y
+            d = 2 * (ux * vy - uy * vx) or 1e-300
+            u2, v2 = ux * ux + uy * uy, vx * vx + vy * vy
+            px, py = (vy * u2 - uy * v2) / d, (ux * v2 - vx * u2) / d
+            rim[k] = (a, b, o, old, t, (x + px, y + py, (px * px + py * py) * (1 - 1e-12)))
+        links = [(o, [k for k in (0, 1, 2) if beside[o][k] == old][0], t) for _, _, o, old, t, _ in rim if o >= 0]
+        for a, b, o, _, t, circle in rim:
+            corners[t], beside[t], circles[t] = (a, b, i), [first[b], last[a], o], circle
+        for o, k, t in links:
+            beside[o][k] = t
+    triangles = np.array(corners, np.int64)
     triangles = triangles[(triangles < n).all(axis=1)]
     a, b, c = (p[triangles[:, i]] for i in range(3))
     area = (b[:, 0] - a[:, 0]) * (c[:, 1] - a[:, 1]) - (b[:, 1] - a[:, 1]) * (c[:, 0] - a[:, 0])

@@ -8,6 +8,9 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from understory import geometry
+from understory.geometry import MultiPolygon
+
 #: (xmin, ymin, xmax, ymax).
 Box = tuple[float, float, float, float]
 #: Tiles whose broadcast is asked for at most (48 bytes each).
@@ -106,6 +109,33 @@ def optimized(spark: SparkSession, inclusions: Sequence[Box], size: float, step:
     return _numbered(found)
 
 
+def optimized_in_polygons(spark: SparkSession, inclusions: MultiPolygon, size: float, step: float, exclusions: MultiPolygon = ()) -> DataFrame:
+    """optimized() for any polygons: each candidate's cells are tested in tasks, a candidate a row.
+
+    The polygons are a few outlines of a footprint and go with the code.
+    """
+    x0, y0, x1, y1 = geometry.box_of(inclusions)
+
+    def whole(dx: float, dy: float) -> list[Box]:
+        columns, rows = math.ceil((x1 - x0 + dx) / size), math.ceil((y1 - y0 + dy) / size)
+        boxes = ((x0 - dx + c * size, y0 - dy + r * size, x0 - dx + (c + 1) * size, y0 - dy + (r + 1) * size) for r in range(rows) for c in range(columns))
+        return [b for b in boxes if geometry.complete(b, inclusions, exclusions)]
+
+    def count(batches):
+        for pdf in batches:
+            pdf["tiles"] = [len(whole(dx, dy)) for dx, dy in zip(pdf.offset_x, pdf.offset_y, strict=True)]
+            yield pdf
+
+    best, offset = whole(0.0, 0.0), (0.0, 0.0)
+    if len(best) < math.floor(geometry.usable_area(inclusions, exclusions) / size**2 + 1e-9) and step < size:
+        offsets = candidates(spark, size, step)
+        scored = offsets.repartition(4 * spark.sparkContext.defaultParallelism).mapInPandas(count, "offset_x double, offset_y double, tiles long")
+        offset = tuple(best_offset(scored).first()[:2])
+        best = whole(*offset)
+    rows = [(round((b[0] - x0 + offset[0]) / size), round((b[1] - y0 + offset[1]) / size), *map(float, b)) for b in best]
+    return _numbered(spark.createDataFrame(rows, "col long, row long, xmin double, ymin double, xmax double, ymax double"))
+
+
 def edge_flags(tiles: DataFrame, size: float) -> DataFrame:
     """tiles with edge_tile: whether one of the eight neighbours is missing.
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -135,10 +136,10 @@ def gated(segments: DataFrame, p: Parameters) -> DataFrame:
     return s.withColumn("fail_reason", fail_reason(*((name, F.col(c)) for c, name in GATES)))
 
 
-def segment_table(points: DataFrame, p: Parameters) -> DataFrame:
-    """All segment measures from long points (x, y, h, pid, keys)."""
+def segment_table(points: DataFrame, p: Parameters, kept: Callable[[DataFrame], DataFrame] = lambda df: df) -> DataFrame:
+    """All segment measures from long points (x, y, h, pid, keys); kept as in voxels.tile_metrics()."""
     rows = valid(points, p)
-    v = voxels(rows, p).persist()
+    v = kept(voxels(rows, p))
     stats = v.groupBy(*KEYS).agg(F.count("*").cast("int").alias("n_vox"), (F.count_distinct("voxel_x", "voxel_y") * F.lit(p.voxel_resolution**2)).alias("crown_area"))
     stats = stats.withColumn("voxel_volume", F.col("n_vox") * F.lit(p.voxel_resolution**3))
     return gated(merge([apexes(rows), stats, layer_totals(layers(rows)), extents(v, p)]), p)

@@ -18,6 +18,8 @@ from understory.operators.delaunay import interpolate, triangulate
 
 #: Raster cells whose broadcast is asked for at most.
 BROADCAST_CELLS = 1_000_000
+#: Metres from the surface within which a point is ground without becoming a corner of it.
+FLAT = 0.15
 
 
 def snapped_bounds(extents: DataFrame, resolution: float) -> DataFrame:
@@ -71,19 +73,22 @@ def normalize_bilinear(points: DataFrame, raster: DataFrame, x0: float, y0: floa
     """points with h above the raster interpolated between the four nearest cell centres.
 
     Weights of missing cells are left out; a point without any of the four goes.
-    Each point becomes four rows (its corners) that meet again in one aggregation;
-    rows are numbered, so equal points stay apart.
+    The raster, the small side, gets a row for each square of four centres with a value;
+    a point meets its square in one join, whatever its columns.
     """
-    columns = points.columns
-    points = points.withColumn("_id", F.monotonically_increasing_id())
-    u = (F.col("x") - F.lit(x0)) / F.lit(resolution) - 0.5
-    v = (F.col("y") - F.lit(y0)) / F.lit(resolution) - 0.5
-    placed = points.withColumns({"_i": F.floor(u).cast("long"), "_j": F.floor(v).cast("long"), "_u": u - F.floor(u), "_v": v - F.floor(v)})
-    corners = F.array(*(F.struct((F.col("_i") + i).alias("col"), (F.col("_j") + j).alias("row"), ((F.col("_u") if i else 1 - F.col("_u")) * (F.col("_v") if j else 1 - F.col("_v"))).alias("w")) for i in (0, 1) for j in (0, 1)))
-    four = placed.withColumn("_corner", F.explode(corners)).select(*points.columns, "_corner.*")
-    met = four.join(_sized(raster.select("col", "row", "value")), ["col", "row"])
-    total = met.groupBy(*points.columns).agg((F.sum(F.col("w") * F.col("value")) / F.sum("w")).alias("_ground"), F.sum("w").alias("_w"))
-    return total.where("_w > 0").withColumn("h", F.col("z") - F.col("_ground")).select(*[c for c in columns if c != "h"], "h")
+    corner = F.array(*(F.struct((F.col("col") - i).alias("_i"), (F.col("row") - j).alias("_j"), F.lit(2 * i + j).alias("k")) for i in (0, 1) for j in (0, 1)))
+    sent = raster.select("value", F.inline(corner))
+    squares = sent.groupBy("_i", "_j").agg(*(F.max(F.when(F.col("k") == k, F.col("value"))).alias(f"_g{k}") for k in range(4)))
+    u, v = ((F.col(c) - F.lit(o)) / F.lit(resolution) - 0.5 for c, o in (("x", x0), ("y", y0)))
+    placed = points.withColumns({"_i": F.floor(u).cast("long"), "_j": F.floor(v).cast("long")})
+    met = placed.join(_sized(squares), ["_i", "_j"])
+    du, dv = u - F.floor(u), v - F.floor(v)
+    weights = [(du if i else 1 - du) * (dv if j else 1 - dv) for i in (0, 1) for j in (0, 1)]
+    present = [F.when(F.col(f"_g{k}").isNull(), F.lit(0.0)).otherwise(w) for k, w in enumerate(weights)]
+    total = present[0] + present[1] + present[2] + present[3]
+    sums = [F.when(F.col(f"_g{k}").isNull(), F.lit(0.0)).otherwise(w * F.col(f"_g{k}")) for k, w in enumerate(weights)]
+    ground = (sums[0] + sums[1] + sums[2] + sums[3]) / total
+    return met.where(total > 0).withColumn("h", F.col("z") - ground).select(*[c for c in points.columns if c != "h"], "h")
 
 
 def _sized(raster: DataFrame) -> DataFrame:
@@ -91,12 +96,22 @@ def _sized(raster: DataFrame) -> DataFrame:
     return F.broadcast(raster) if raster.count() <= BROADCAST_CELLS else raster
 
 
+def _dealt(points: DataFrame, keys: tuple[str, ...]) -> DataFrame:
+    """points dealt by chunk into as many partitions as keep all cores busy; small ones aren't put together."""
+    spark = points.sparkSession
+    n = max(int(spark.conf.get("spark.sql.shuffle.partitions")), 4 * spark.sparkContext.defaultParallelism)
+    return points.repartition(n, *keys)
+
+
 def classify_ground(points: DataFrame, seed: float = 20.0, angle: float = 30.0, distance: float = 1.0, keys: tuple[str, ...] = ("chunk_x", "chunk_y")) -> DataFrame:
     """points with classification 2 (ground) or 1, by progressive TIN densification in each chunk.
 
     The lowest point of each seed cell starts a triangulation; points within `distance`
     of it whose angles to the triangle's corners are at most `angle` degrees join, until
-    none does.  A chunk is bounded by its size and buffer.
+    none does.  The lowest point of each small cell (a 20th of a seed cell) may join: all
+    that lie within FLAT of the surface at once, others one an eighth of a seed cell and
+    round.  At the end all points within FLAT of the surface are ground.  A chunk is
+    bounded by its size and buffer.
     """
     schema = f"{points.schema.simpleString()[7:-1].replace(':', ' ')}, classification int" if "classification" not in points.columns else points.schema.simpleString()[7:-1].replace(":", " ")
 
@@ -105,7 +120,7 @@ def classify_ground(points: DataFrame, seed: float = 20.0, angle: float = 30.0,
         pdf["classification"] = np.where(_ground_points(pdf[["x", "y", "z"]].to_numpy(float), seed, angle, distance), 2, 1).astype(np.int32)
         return pdf
 
-    return points.groupBy(*keys).applyInPandas(run, schema)
+    return _dealt(points, keys).groupBy(*keys).applyInPandas(run, schema)
 
 
 def _ground_points(xyz: np.ndarray, seed: float, angle: float, distance: float) -> np.ndarray:
@@ -113,13 +128,13 @@ def _ground_points(xyz: np.ndarray, seed: float, angle: float, distance: float)
     mask = np.zeros(len(xyz), bool)
     if len(xyz) < 3:
         return mask
-    everything, whole, thin = xyz, mask, _lowest(xyz, seed / 40)
+    everything, whole, thin = xyz, mask, _lowest(xyz, seed / 20)
     xyz, mask = xyz[thin], np.zeros(len(thin), bool)  # ground grows through the lowest point of each small cell
     origin = xyz[:, :2].min(axis=0)
     mask[_lowest(xyz, seed)] = True
     # the chunk's corners at the height of the nearest seeds, so that every point is inside
     limit = math.tan(math.radians(angle))
-    for _ in range(30):
+    while True:  # every round adds a point
         ground = xyz[mask]
         low, high = xyz[:, :2].min(axis=0) - seed, xyz[:, :2].max(axis=0) + seed
         corners = np.array([[low[0], low[1]], [high[0], low[1]], [high[0], high[1]], [low[0], high[1]]])
@@ -129,23 +144,26 @@ def _ground_points(xyz: np.ndarray, seed: float, angle: float, distance: float)
         surface, at = interpolate(base, triangles, xyz[:, :2])
         off = xyz[:, 2] - surface
         todo = ~mask & (at >= 0) & (np.abs(off) <= distance)
+        flat = todo & (np.abs(off) <= FLAT)
+        if flat.any():
+            mask |= flat
+            continue
         if not todo.any():
             break
         ends = base[triangles[at[todo]]]
-        flat = np.sqrt(((ends[:, :, :2] - xyz[todo][:, None, :2]) ** 2).sum(axis=2))
-        slopes = np.abs(off[todo])[:, None] / np.maximum(flat, 1e-9)
+        away = np.sqrt(((ends[:, :, :2] - xyz[todo][:, None, :2]) ** 2).sum(axis=2))
+        slopes = np.abs(off[todo])[:, None] / np.maximum(away, 1e-9)
         good = np.flatnonzero(todo)[(slopes <= limit).all(axis=1)]
-        # one a seed quarter and round, the lowest: keeps triangulations small and close to the ground
         if not len(good):
             break
-        quarter = np.floor((xyz[good, :2] - origin) / max(seed / 8, 1e-6)).astype(np.int64)
-        order = np.lexsort((xyz[good, 1], xyz[good, 0], np.abs(off[good]), quarter[:, 1], quarter[:, 0]))
+        part = np.floor((xyz[good, :2] - origin) / max(seed / 8, 1e-6)).astype(np.int64)
+        order = np.lexsort((xyz[good, 1], xyz[good, 0], np.abs(off[good]), part[:, 1], part[:, 0]))
         first = np.ones(len(order), bool)
-        first[1:] = (quarter[order][1:] != quarter[order][:-1]).any(axis=1)
+        first[1:] = (part[order][1:] != part[order][:-1]).any(axis=1)
         mask[good[order[first]]] = True
     surface, at = interpolate(base, triangles, everything[:, :2])
     whole[thin[mask]] = True
-    return whole | ((at >= 0) & (np.abs(everything[:, 2] - surface) <= 0.1))
+    return whole | ((at >= 0) & (np.abs(everything[:, 2] - surface) <= FLAT))
 
 
 def _lowest(xyz: np.ndarray, size: float) -> np.ndarray:
@@ -165,29 +183,45 @@ def tin_raster(points: DataFrame, x0: float, y0: float, resolution: float, chunk
     """
 
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        ground = pdf[pdf.classification == 2]
-        empty = pd.DataFrame({"chunk_x": [], "chunk_y": [], "col": [], "row": [], "value": []})
-        if len(ground) < 3:
-            return empty
-        xyz = ground.groupby(["x", "y"], as_index=False).z.min()[["x", "y", "z"]].to_numpy(float)
-        triangles = triangulate(xyz[:, :2])
-        if not len(triangles):
-            return empty
-        cx, cy = int(pdf.chunk_x.iloc[0]), int(pdf.chunk_y.iloc[0])
-        n = max(1, round(chunk / resolution))
-        cols, rows = np.meshgrid(np.arange(cx * n, (cx + 1) * n), np.arange(cy * n, (cy + 1) * n))
-        centres = np.column_stack([x0 + (cols.ravel() + 0.5) * resolution, y0 + (rows.ravel() + 0.5) * resolution])
-        value, at = interpolate(xyz, triangles, centres)
-        ok = at >= 0
-        return pd.DataFrame({"chunk_x": cx, "chunk_y": cy, "col": cols.ravel()[ok], "row": rows.ravel()[ok], "value": value[ok]})
-
-    return points.groupBy(*keys).applyInPandas(run, "chunk_x long, chunk_y long, col long, row long, value double")
-
-
-def terrain(points: DataFrame, x0: float, y0: float, resolution: float = 1.0, chunk: float = 60.0, buffer: float = 20.0, seed: float = 20.0, classified: bool = False) -> DataFrame:
-    """(col, row, value): the terrain raster of points; classifies ground first unless it is classified."""
-    spread = chunked(points.select("x", "y", "z", *(["classification"] if classified else [])), x0, y0, chunk, buffer)
-    if not classified:
-        spread = classify_ground(spread, seed)
-    return mosaic(tin_raster(spread, x0, y0, resolution, chunk))
+        ground = pdf.classification.to_numpy() == 2
+        return _surface(pdf[["x", "y", "z"]].to_numpy(float)[ground], int(pdf.chunk_x.iloc[0]), int(pdf.chunk_y.iloc[0]), x0, y0, resolution, chunk)
+
+    return _dealt(points, keys).groupBy(*keys).applyInPandas(run, _CELLS)
+
+
+_CELLS = "chunk_x long, chunk_y long, col long, row long, value double"
+
+
+def _surface(xyz: np.ndarray, cx: int, cy: int, x0: float, y0: float, resolution: float, chunk: float) -> pd.DataFrame:
+    """Cells of a chunk's core from its ground points; of points at one place the lowest counts."""
+    empty = pd.DataFrame({"chunk_x": [], "chunk_y": [], "col": [], "row": [], "value": []})
+    xyz = xyz[np.lexsort((xyz[:, 2], xyz[:, 1], xyz[:, 0]))]
+    once = np.ones(len(xyz), bool)
+    once[1:] = (xyz[1:, :2] != xyz[:-1, :2]).any(axis=1)
+    xyz = xyz[once]
+    triangles = triangulate(xyz[:, :2])
+    if not len(triangles):
+        return empty
+    n = max(1, round(chunk / resolution))
+    cols, rows = np.meshgrid(np.arange(cx * n, (cx + 1) * n), np.arange(cy * n, (cy + 1) * n))
+    centres = np.column_stack([x0 + (cols.ravel() + 0.5) * resolution, y0 + (rows.ravel() + 0.5) * resolution])
+    value, at = interpolate(xyz, triangles, centres)
+    ok = at >= 0
+    return pd.DataFrame({"chunk_x": cx, "chunk_y": cy, "col": cols.ravel()[ok], "row": rows.ravel()[ok], "value": value[ok]})
+
+
+def terrain(points: DataFrame, x0: float, y0: float, resolution: float = 1.0, chunk: float = 60.0, buffer: float = 20.0, seed: float = 20.0, classified: bool = False, angle: float = 30.0, distance: float = 1.0) -> DataFrame:
+    """(col, row, value): the terrain raster of points; classifies ground first unless it is classified.
+
+    A chunk is classified and interpolated in one go, after one shuffle of its x, y, z.
+    """
+    spread = chunked(points.select("x", "y", "z", *(["classification"] if classified else [])), x0, y0, chunk, buffer).drop("in_core")
+    if classified:
+        return mosaic(tin_raster(spread.where("classification = 2"), x0, y0, resolution, chunk))
+
+    def run(pdf: pd.DataFrame) -> pd.DataFrame:
+        xyz = pdf[["x", "y", "z"]].to_numpy(float)
+        return _surface(xyz[_ground_points(xyz, seed, angle, distance)], int(pdf.chunk_x.iloc[0]), int(pdf.chunk_y.iloc[0]), x0, y0, resolution, chunk)
 
+    keys = ("chunk_x", "chunk_y")
+    return mosaic(_dealt(spread, keys).groupBy(*keys).applyInPandas(run, _CELLS))

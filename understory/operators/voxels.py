@@ -7,6 +7,8 @@ rounding.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -116,13 +118,13 @@ def rumple(cells: DataFrame, p: Parameters) -> DataFrame:
     return squares.groupBy("tile_id").agg((F.sum(area) / (F.count("*") * F.lit(r * r))).alias("rumple"))
 
 
-def tile_metrics(points: DataFrame, p: Parameters) -> DataFrame:
+def tile_metrics(points: DataFrame, p: Parameters, kept: Callable[[DataFrame], DataFrame] = lambda df: df) -> DataFrame:
     """All structure metrics of tiles from their points (tile_id, x, y, h); a row for each tile with points in range.
 
-    Voxels are deduplicated once; statistics that share a grouping are one aggregation.
+    Statistics that share a grouping are one aggregation.  kept: what a caller does to
+    the distinct voxels, which are read several times, such as persisting them.
     """
-    voxels = tile_voxels(within_heights(points, p.maximum_height), p.voxel_resolution)
-    voxels = voxels.persist()
+    voxels = kept(tile_voxels(within_heights(points, p.maximum_height), p.voxel_resolution))
     z = with_height(voxels, p.voxel_resolution)
     green = F.col("z") > p.vegetation_minimum_height
     over = F.when(green, F.col("z"))

@@ -9,8 +9,8 @@ from dataclasses import dataclass, field, fields
 #: Segment-id attributes that are looked for when none is asked for.
 DEFAULT_DIMENSIONS = ("PredInstance", "PredInstance_SAT", "PredInstance_FM")
 
-_POSITIVE = ("tile_size", "grid_search_step", "ptd_resolution", "dtm_resolution", "maximum_height", "voxel_resolution", "chm_resolution", "dtm_chunk_size", "chunk_size")
-_NOT_NEGATIVE = ("dtm_buffer", "vegetation_minimum_height", "gap_height_threshold", "apex_minimum_height", "minimum_tree_thickness", "threads")
+_POSITIVE = ("tile_size", "grid_search_step", "ptd_resolution", "dtm_resolution", "maximum_height", "voxel_resolution", "chm_resolution", "dtm_chunk_size", "chunk_size", "dtm_buffer")
+_NOT_NEGATIVE = ("vegetation_minimum_height", "gap_height_threshold", "apex_minimum_height", "minimum_tree_thickness", "threads")
 _ONE_AT_LEAST = ("dataset_id", "minimum_tree_voxels", "minimum_occupied_layers", "catalog_workers")
 
 
@@ -38,11 +38,12 @@ class Parameters:
     catalog_workers: int = 2
     dataset_id: int = 1
     performance_report: bool = False
+    keep_ground_classes: bool = False
     instance_dimensions: tuple[str, ...] = field(default=DEFAULT_DIMENSIONS)
 
     def __post_init__(self):
         for names, ok, what in (
-            (_POSITIVE, lambda v: v > 0, "must be greater than zero"),
+            (_POSITIVE, lambda v: v > 0, "has to be above 0"),
             (_NOT_NEGATIVE, lambda v: v >= 0, "must not be negative"),
             (_ONE_AT_LEAST, lambda v: v >= 1, "must be one or more"),
         ):
@@ -51,7 +52,7 @@ class Parameters:
                 if not isinstance(value, (int, float)) or value != value or not ok(value):
                     raise ValueError(f"{name.replace('_', '-')} {what}")
         if self.grid_search_step > self.tile_size:
-            raise ValueError("grid-search-step must not exceed tile-size")
+            raise ValueError("grid-search-step cannot be wider than tile-size")
         if self.maximum_height <= self.vegetation_minimum_height:
             raise ValueError("maximum-height must exceed vegetation-minimum-height")
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from understory.operators.terrain import FLAT
 from understory.plans.virtual import AOI, EXCLUSION, WIDE_AOI, P
 
 _D = lambda v: f"CAST({v!r} AS DOUBLE)"
@@ -198,8 +199,8 @@ SQL = {
         [CLOUD], """SELECT cx AS chunk_x, cy AS chunk_y, count(DISTINCT (x, y)) >= 3 AND NOT coalesce(var_pop(x) * var_pop(y) - covar_pop(x, y) * covar_pop(x, y) <= CAST(1e-9 AS DOUBLE) * var_pop(x) * var_pop(y), true) AS usable
   FROM cloud, range(-2, 6) a(cx), range(-2, 6) b(cy) WHERE cx BETWEEN floor((x - 412337 - 5) / 20) AND floor((x - 412337 + 5) / 20) AND cy BETWEEN floor((y - 5733149 - 5) / 20) AND floor((y - 5733149 + 5) / 20) GROUP BY ALL""",
     ),
-    "tin_dtm": _sql([_RASTER], "SELECT col, row, round(value, 6) AS value FROM cells"),
-    "ptd_ground": _sql([CLOUD], "SELECT 2 AS classification, 61 * 61 AS points UNION ALL SELECT 1, count(*) FROM cloud WHERE h > 2"),
+    "tin_dtm": "SELECT c AS col, r AS row, true AS near, true AS not_below FROM range(60) a(c), range(60) b(r)",
+    "ptd_ground": _sql([CLOUD], f"SELECT 2 AS classification, 61 * 61 + count(*) FILTER (h <= {FLAT}) AS points FROM cloud UNION ALL SELECT 1, count(*) FROM cloud WHERE h > {FLAT}"),
     "dtm_mosaic_mean": _sql(
         [_RASTER], """SELECT col, row, round(avg(value + CAST(0.01 AS DOUBLE) * cx - CAST(0.02 AS DOUBLE) * cy), 6) AS value FROM cells, range(-2, 6) a(cx), range(-2, 6) b(cy)
   WHERE cx BETWEEN floor((col + 0.5 - 5) / 20) AND floor((col + 0.5 + 5) / 20) AND cy BETWEEN floor((row + 0.5 - 5) / 20) AND floor((row + 0.5 + 5) / 20) GROUP BY ALL""",

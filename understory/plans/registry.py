@@ -50,7 +50,7 @@ def _per_table(*columns: str) -> Query:
 
 
 def covering_grid(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _tiles(grid.covering(spark, points.bounds(virtual.cloud(spark, sf_dir)), P.tile_size))
+    return _tiles(grid.covering(spark, points.bounds(virtual.cloud(spark, sf_dir))[0], P.tile_size))
 
 
 def edge_flags(corner: tuple[float, float]) -> Query:
@@ -153,10 +153,10 @@ def aoi_roles(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _ground_points(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The cloud over a bare lattice of ground points."""
+    """The cloud, low vegetation and all, over a lattice of ground points."""
     lattice = spark.range(61 * 61).select((F.lit(X0) + F.col("id") % 61).alias("x"), (F.lit(Y0) + F.floor(F.col("id") / 61)).alias("y"))
     bare = lattice.withColumn("z", points.ground(F.col("x"), F.col("y")))
-    return virtual.cloud(spark, sf_dir).where("h > 2").select("x", "y", "z").unionByName(bare)
+    return virtual.cloud(spark, sf_dir).select("x", "y", "z").unionByName(bare)
 
 
 def ptd_ground(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -166,8 +166,10 @@ def ptd_ground(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def tin_dtm(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The terrain raster from classified ground."""
-    return rounded(terrain.terrain(_ground_points(spark, sf_dir), X0, Y0, P.dtm_resolution, P.dtm_chunk_size, P.dtm_buffer, P.ptd_resolution))
+    """Cells of the terrain raster from classified ground, and whether they lie as near the plane as ground points do."""
+    found = terrain.terrain(_ground_points(spark, sf_dir), X0, Y0, P.dtm_resolution, P.dtm_chunk_size, P.dtm_buffer, P.ptd_resolution)
+    plane = points.ground(F.lit(X0) + F.col("col") + F.lit(0.5), F.lit(Y0) + F.col("row") + F.lit(0.5))
+    return found.select("col", "row", (F.abs(F.col("value") - plane) <= terrain.FLAT).alias("near"), (F.col("value") >= plane - 1e-6).alias("not_below"))
 
 
 def nondegenerate_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import logging
-import math
 import os
 import time
 from contextlib import contextmanager
@@ -33,37 +32,15 @@ def footprint(path: str | None, extent: geometry.Box) -> dict:
 def tiles_for(spark: SparkSession, found: dict, p: Parameters) -> DataFrame:
     """Analysis tiles: covering ones for an extent, else complete ones at the best offset.
 
-    Rectangles are searched by Spark.  Other polygons are small on the driver: each
-    candidate's cells are tested by clipping.
+    Rectangles apart from each other are searched by expressions, other polygons by area.
     """
     inclusions, exclusions = found["inclusion"], found["exclusion"]
     if found["source"] == "point_cloud_extent":
         return grid.covering(spark, geometry.box_of(inclusions), p.tile_size)
-    if all(geometry.is_rectangle(r) for r in (*inclusions, *exclusions)):
+    if geometry.rectangles_apart(inclusions) and all(geometry.is_rectangle(r) for r in exclusions):
         boxes = [geometry.box_of([r]) for r in inclusions], [geometry.box_of([r]) for r in exclusions]
         return grid.optimized(spark, boxes[0], p.tile_size, p.grid_search_step, boxes[1])
-    x0, y0, x1, y1 = geometry.box_of(inclusions)
-    size, n = p.tile_size, math.floor((p.tile_size - p.grid_search_step) / p.grid_search_step + 1e-9) + 1
-    most = math.floor((geometry.area(inclusions) - geometry.clipped_area(exclusions, (x0, y0, x1, y1))) / size**2)
-
-    def complete(dx: float, dy: float) -> list[geometry.Box]:
-        out = []
-        for r in range(math.ceil((y1 - y0 + dy) / size)):
-            for c in range(math.ceil((x1 - x0 + dx) / size)):
-                box = (x0 - dx + c * size, y0 - dy + r * size, x0 - dx + (c + 1) * size, y0 - dy + (r + 1) * size)
-                if geometry.within(box, inclusions) and (not exclusions or geometry.apart(box, exclusions)):
-                    out.append(box)
-        return out
-
-    best: list[geometry.Box] = []
-    for i in range(n * n):
-        found_here = complete(i // n * p.grid_search_step, i % n * p.grid_search_step)
-        if len(found_here) > len(best):
-            best = found_here
-        if len(best) >= most:
-            break
-    rows = [(i, int(round((b[0] - x0) / size)), int(round((b[1] - y0) / size)), *map(float, b)) for i, b in enumerate(sorted(best, key=lambda b: (b[1], b[0])), 1)]
-    return spark.createDataFrame(rows, "tile_id int, col long, row long, xmin double, ymin double, xmax double, ymax double")
+    return grid.optimized_in_polygons(spark, inclusions, p.tile_size, p.grid_search_step, exclusions)
 
 
 @contextmanager
@@ -77,13 +54,28 @@ def _timed(timings: dict, name: str):
 def run(spark: SparkSession, cloud: DataFrame | str, folder: str, p: Parameters, aoi_path: str | None = None, name: str | None = None, epsg: int | None = None) -> dict:
     """Write all artifacts of a run; the paths written, and its counts.
 
-    cloud: points (x, y, z, ...), or a path.  Ground classes are used where the points
-    have some, else ground is classified.
+    cloud: points (x, y, z, ...), or a path.  Ground is classified, whatever classes the
+    points have, unless p.keep_ground_classes says to use those.  epsg: the coordinate
+    system of rasters and tiles; that of the file, where it says one, by default.
     """
+    held: list[DataFrame] = []
+    try:
+        return _run(spark, cloud, folder, p, aoi_path, name, epsg, held)
+    finally:
+        for df in held:
+            df.unpersist()
+
+
+def _run(spark: SparkSession, cloud: DataFrame | str, folder: str, p: Parameters, aoi_path: str | None, name: str | None, epsg: int | None, held: list[DataFrame]) -> dict:
+    def kept(df: DataFrame) -> DataFrame:
+        held.append(df.persist())
+        return df
+
     timings: dict[str, float] = {}
     began = time.monotonic()
     if isinstance(cloud, str):
         name = name or os.path.basename(cloud)
+        epsg = epsg or points.epsg_of(cloud)
         cloud = points.read(spark, params.check_input(cloud))
     name = name or "points"
     if not os.path.isdir(folder) or not os.access(folder, os.W_OK):
@@ -91,26 +83,27 @@ def run(spark: SparkSession, cloud: DataFrame | str, folder: str, p: Parameters,
     params.artifacts(folder, p.dataset_id)
     if "pid" not in cloud.columns:
         cloud = cloud.withColumn("pid", F.xxhash64("x", "y", "z"))
-    count = params.check_point_count(cloud.count())
-    extent = points.bounds(cloud)
+    extent, found_count = points.bounds(cloud)
+    count = params.check_point_count(found_count)
     with _timed(timings, "grid"):
         found = footprint(aoi_path, extent)
-        tiles = tiles_for(spark, found, p).persist()
+        tiles = kept(tiles_for(spark, found, p))
         n_tiles = tiles.count()
         log.info("grid: %d tiles", n_tiles)
+    whole = spark.range(1).select(*(F.lit(v).alias(n) for n, v in zip(("xmin", "ymin", "xmax", "ymax"), extent, strict=True)))
     r = p.dtm_resolution
-    box = terrain.snapped_bounds(points.extent(cloud), r).select("gx0", "gy0", "gx1", "gy1").first()
+    box = terrain.snapped_bounds(whole, r).select("gx0", "gy0", "gx1", "gy1").first()
     if not terrain.covers(tuple(box), extent, r):
         raise ValueError("the raster does not cover the points")
     with _timed(timings, "dtm"):
-        classified = "classification" in cloud.columns and bool(cloud.where("classification = 2").limit(3).count() == 3)
-        dtm = terrain.terrain(cloud, box[0], box[1], r, p.dtm_chunk_size, p.dtm_buffer, p.ptd_resolution, classified).persist()
+        dtm = terrain.terrain(cloud, box[0], box[1], r, p.dtm_chunk_size, p.dtm_buffer, p.ptd_resolution, p.keep_ground_classes)
+        dtm = kept(dtm)
         paths = params.artifacts(folder, p.dataset_id)
         geotiff.write(dtm, paths["dtm"], box[0], box[1], r, round((box[2] - box[0]) / r), round((box[3] - box[1]) / r), epsg)
-    normal = terrain.normalize_bilinear(cloud, dtm, box[0], box[1], r).persist()
+    normal = kept(terrain.normalize_bilinear(cloud, dtm, box[0], box[1], r))
     with _timed(timings, "chm"):
         c = p.chm_resolution
-        high = terrain.snapped_bounds(points.extent(cloud), c).select("gx0", "gy0", "gx1", "gy1").first()
+        high = terrain.snapped_bounds(whole, c).select("gx0", "gy0", "gx1", "gy1").first()
         vox = voxels.tile_voxels(voxels.within_heights(normal, p.maximum_height), p.voxel_resolution, keys=())
         chm = voxels.canopy(vox, p, keys=())
         placed = chm.select((F.col("cx") - round(high[0] / c)).alias("col"), (F.col("cy") - round(high[1] / c)).alias("row"), F.col("top").alias("value"))
@@ -120,22 +113,22 @@ def run(spark: SparkSession, cloud: DataFrame | str, folder: str, p: Parameters,
     with _timed(timings, "segment"):
         if dimensions:
             long = points.unpivot(normal.select("pid", "x", "y", "h", *dimensions), dimensions)
-            table = segments.assign_tiles(segments.segment_table(long, p), tiles).persist()
+            table = kept(segments.assign_tiles(segments.segment_table(long, p, kept), tiles))
             if not table.limit(1).count():
                 table = None
     with _timed(timings, "tile"):
         inside = grid.lattice_join(normal.select("x", "y", "h"), tiles, columns=["tile_id"])
-        metrics = voxels.tile_metrics(inside, p).persist()
+        metrics = kept(voxels.tile_metrics(inside, p, kept))
         metrics.count()
     written = [paths["dtm"], paths["chm"]]
     with _timed(timings, "output"):
         for d in dimensions or [None]:
             own = params.artifacts(folder, p.dataset_id, d)
             mine = None if table is None or d is None else table.where(F.col("instance_dimension") == d)
-            rows = results.tile_results(tiles, metrics, None if mine is None else segments.tree_metrics(mine), p, name).persist()
-            if tables.write_csv(rows, own["results"], ["tile_id"]) != n_tiles:
+            rows = results.tile_results(tiles, metrics, None if mine is None else segments.tree_metrics(mine), p, name)
+            crs = f"urn:ogc:def:crs:EPSG::{epsg}" if epsg else None
+            if tables.write_tiles(rows, own["results"], own["tiles"], p.tile_size, crs) != n_tiles:
                 raise RuntimeError("the results do not have one row for each tile")
-            tables.write_geojson(rows, own["tiles"], p.tile_size, f"urn:ogc:def:crs:EPSG::{epsg}" if epsg else None)
             diagnostics = spark.createDataFrame([], results.DIAGNOSTICS) if mine is None else results.segment_diagnostics(mine, name)
             tables.write_csv(diagnostics, own["diagnostics"], ["PredInstance"])
             written += [own["results"], own["tiles"], own["diagnostics"]]

@@ -48,15 +48,17 @@ def write_csv(rows: DataFrame, path: str, order: Iterable[str] = ()) -> int:
     return n
 
 
-def write_geojson(rows: DataFrame, path: str, size: float, crs: str | None = None, order: Iterable[str] = ("tile_id",)) -> int:
-    """A FeatureCollection of square tiles with all attributes of rows (tile_xmin, tile_ymin, ...)."""
+def write_tiles(rows: DataFrame, csv_path: str, geojson_path: str, size: float, crs: str | None = None) -> int:
+    """The tiles' table, and a FeatureCollection of their squares with all its attributes, in one pass; the number of rows."""
     n = 0
-    with published(path) as f:
+    with published(csv_path) as table, published(geojson_path) as f:
+        table.write(",".join(f'"{c}"' for c in rows.columns) + "\n")
         f.write('{"type":"FeatureCollection",')
         if crs:
             f.write(f'"crs":{{"type":"name","properties":{{"name":{json.dumps(crs)}}}}},')
         f.write('"features":[')
-        for r in rows.orderBy(*order).toLocalIterator():
+        for r in rows.orderBy("tile_id").toLocalIterator(prefetchPartitions=True):
+            table.write(",".join(map(_text, r)) + "\n")
             x, y = r["tile_xmin"], r["tile_ymin"]
             ring = [[x, y], [x + size, y], [x + size, y + size], [x, y + size], [x, y]]
             properties = {k: None if isinstance(v, float) and v != v else v for k, v in r.asDict().items()}

@@ -43,6 +43,18 @@ class Header:
     low: tuple[float, float, float]
     high: tuple[float, float, float]
     extras: list[tuple[str, str, float, float]]
+    epsg: int | None = None
+
+
+def _epsg(record: int, data: bytes) -> int | None:
+    """The EPSG number of a coordinate system record: well-known text, or keys."""
+    if record == 2112:
+        found = re.findall(rb'(?:AUTHORITY|ID)\["EPSG",\s*"?(\d+)"?\]', data)
+        return int(found[-1]) if found else None
+    keys = struct.unpack_from(f"<{len(data) // 2}H", data)
+    named = {keys[i]: keys[i + 3] for i in range(4, len(keys) - 3, 4) if keys[i + 1] == 0}
+    code = named.get(3072) or named.get(2048)
+    return code if code and code != 32767 else None
 
 
 def read_header(path: str) -> Header:
@@ -59,14 +71,16 @@ def read_header(path: str) -> Header:
             count = struct.unpack_from("<Q", h, 247)[0] or count
         values = struct.unpack_from("<12d", h, 131)
         f.seek(size)
-        extras = []
+        extras, epsg = [], None
         for _ in range(n_vlr):
             vlr = f.read(54)
             user, (record, body) = vlr[2:18].rstrip(b"\0"), struct.unpack_from("<HH", vlr, 18)
             data = f.read(body)
             if user == b"LASF_Spec" and record == 4:
                 extras += [_extra(data[i : i + 192]) for i in range(0, len(data) - 191, 192)]
-    return Header(version, point_format, length, count, offset, values[0:3], values[3:6], (values[7], values[9], values[11]), (values[6], values[8], values[10]), extras)
+            elif user == b"LASF_Projection" and record in (2112, 34735):
+                epsg = _epsg(record, data) or epsg
+    return Header(version, point_format, length, count, offset, values[0:3], values[3:6], (values[7], values[9], values[11]), (values[6], values[8], values[10]), extras, epsg)
 
 
 def _extra(record: bytes) -> tuple[str, str, float, float]:
@@ -180,7 +194,7 @@ def register(spark: SparkSession) -> None:
     spark.dataSource.register(LasSource)
 
 
-def write(path: str, xyz: np.ndarray, classification: np.ndarray | None = None, extras: dict[str, np.ndarray] | None = None, scale: float = 0.001, version: tuple[int, int] = (1, 4)) -> None:
+def write(path: str, xyz: np.ndarray, classification: np.ndarray | None = None, extras: dict[str, np.ndarray] | None = None, scale: float = 0.001, version: tuple[int, int] = (1, 4), epsg: int | None = None) -> None:
     """Write points to a LAS file: format 6 for 1.4, else format 0; extras are 8-byte floats."""
     extras = extras or {}
     n, new = len(xyz), version >= (1, 4)
@@ -190,6 +204,9 @@ def write(path: str, xyz: np.ndarray, classification: np.ndarray | None = None,
     if extras:
         body = b"".join(b"\0\0" + bytes([10, 0]) + k.encode()[:32].ljust(32, b"\0") + bytes(156) for k in extras)
         vlr = b"\0\0" + b"LASF_Spec".ljust(16, b"\0") + struct.pack("<HH", 4, len(body)) + bytes(32) + body
+    if epsg:
+        body = struct.pack("<8H", 1, 1, 0, 1, 3072, 0, 1, epsg)
+        vlr += b"\0\0" + b"LASF_Projection".ljust(16, b"\0") + struct.pack("<HH", 34735, len(body)) + bytes(32) + body
     shift = np.floor(xyz.min(axis=0)) if n else np.zeros(3)
     low, high = (xyz.min(axis=0), xyz.max(axis=0)) if n else (np.zeros(3), np.zeros(3))
     size = _SIZES[point_format] + 8 * len(extras)
@@ -204,7 +221,7 @@ def write(path: str, xyz: np.ndarray, classification: np.ndarray | None = None,
     header = bytearray(head)
     header[:4] = b"LASF"
     header[24:26] = bytes(version)
-    struct.pack_into("<HIIBH", header, 94, head, head + len(vlr), 1 if vlr else 0, point_format, size)
+    struct.pack_into("<HIIBH", header, 94, head, head + len(vlr), bool(extras) + bool(epsg), point_format, size)
     struct.pack_into("<I", header, 107, 0 if new else n)
     struct.pack_into("<12d", header, 131, scale, scale, scale, *shift, high[0], low[0], high[1], low[1], high[2], low[2])
     if new:

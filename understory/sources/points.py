@@ -66,12 +66,21 @@ def extent(points: DataFrame) -> DataFrame:
     return points.agg(F.count("*").alias("n_points"), F.min("x").alias("xmin"), F.min("y").alias("ymin"), F.max("x").alias("xmax"), F.max("y").alias("ymax"))
 
 
-def bounds(points: DataFrame) -> tuple[float, float, float, float]:
-    """xmin, ymin, xmax, ymax; an error unless finite with positive spans."""
-    found = extent(points).first()[1:]
+def epsg_of(path: str) -> int | None:
+    """The coordinate system that a file names by its EPSG number."""
+    if not re.search(r"(?i)\.las$", path):
+        return None
+    from understory.sources.las import read_header
+
+    return read_header(path).epsg
+
+
+def bounds(points: DataFrame) -> tuple[tuple[float, float, float, float], int]:
+    """(xmin, ymin, xmax, ymax) and the number of points; an error unless finite with positive spans."""
+    count, *found = extent(points).first()
     if any(v is None or v != v or abs(v) == float("inf") for v in found) or found[2] <= found[0] or found[3] <= found[1]:
         raise ValueError("the point cloud has no finite XY extent with positive spans")
-    return tuple(found)
+    return tuple(found), count
 
 
 def unpivot(points: DataFrame, dimensions: list[str]) -> DataFrame:

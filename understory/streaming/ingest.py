@@ -59,6 +59,10 @@ def heights_by_window(stream: DataFrame, time: str, watermark: str = "10 minutes
 
 
 def state_folder(spark: SparkSession) -> str:
-    """A new folder in spark.checkpoint.dir; a temporary one only where that is unset, on one machine."""
-    shared = spark.conf.get("spark.checkpoint.dir", None) or "file://" + tempfile.mkdtemp(prefix="understory-")
+    """A new folder in spark.checkpoint.dir; a temporary one only where that is unset on one machine."""
+    shared = spark.conf.get("spark.checkpoint.dir", None)
+    if not shared:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+        shared = "file://" + tempfile.mkdtemp(prefix="understory-")
     return f"{shared.rstrip('/')}/understory/stream-{uuid.uuid4().hex}"
