@@ -28,8 +28,8 @@ from understory.llm import textkernel as tk
 from understory.llm.common import map_arrow, saved, with_text_columns
 
 #: Labelled rows that are learned from at most: those of least hash; and their features (8 bytes each).
-SAMPLE_ROWS = 2000
-SAMPLE_FEATURES = 8_000_000
+SAMPLE_ROWS = 1200
+SAMPLE_FEATURES = 4_000_000
 BUCKETS = 1 << 15
 DIMENSIONS = 12
 EPOCHS = 6
