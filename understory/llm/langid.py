@@ -28,7 +28,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -37,8 +37,6 @@ from understory.llm.common import fresh, held, with_text_columns
 #: Bounds of the learning sample for each language: documents, and normalised characters.
 SAMPLE_DOCS = 64
 SAMPLE_CHARS = 40_000
-#: Parts of a language's documents that are ranked apart.
-SHARES = 32
 #: Bound over all languages: normalised characters, shared alike where each bound would pass it.
 ALL_CHARS = 320_000
 #: Characters of texts that are parsed side by side.
@@ -70,19 +68,16 @@ def normalise(text: str) -> str:
 def sample(docs: DataFrame, train: Column, id_col: str = "doc_id", docs_each: int = SAMPLE_DOCS, chars: int = SAMPLE_CHARS) -> dict[str, str]:
     """Normalised learning text of each language: a bounded sample, the same at each run.
 
-    docs_each rows at most for each language, those of least hash of id and text in each
-    of SHARES parts; a row gives its first characters up to what the bound can use.  Where the languages would have more
+    A language's rows are dealt into docs_each parts by a hash of id and text, and the
+    least hash of each part is taken; a row gives its first characters up to what the
+    bound can use.  Where the languages would have more
     than ALL_CHARS together, each has an equal share.  Rows come to the driver by rank,
     so a repeated or null id brings no more of them.
     """
     rows = docs.where(train & F.col("lang").isNotNull() & F.col("text").isNotNull())
     draw = F.xxhash64(F.col(id_col).cast("string"), F.xxhash64("text"))
-    drawn = rows.select("lang", draw.alias("draw")).distinct()
-    # ranked by shares of a language, so no task gets all documents of a frequent one
-    shares = min(SHARES, docs_each)
-    rank = F.row_number().over(Window.partitionBy("lang", F.pmod("draw", F.lit(shares))).orderBy("draw"))
-    drawn = drawn.withColumn("_r", rank).where(F.col("_r") <= docs_each // shares).select("lang", "draw")
-    chosen = [(r[0], r[1]) for r in drawn.collect()]
+    drawn = rows.select("lang", draw.alias("draw")).groupBy("lang", F.pmod("draw", F.lit(docs_each)).alias("part")).agg(F.min("draw").alias("draw"))
+    chosen = [(r["lang"], r["draw"]) for r in drawn.collect()]  # docs_each rows a language at most
     if not chosen:
         return {}
     langs = {lang for lang, _ in chosen}
