@@ -6,9 +6,10 @@ compared by exact cosine in double precision.  A pair counts in the first table
 shares; links are counted and joined up inside blocks of bounded size and never become
 rows.  Equal vectors are one class and are not compared with each other.
 
-Width, projections per table and tables are chosen together, for the counted vectors: as
-many tables as let one pair in MISS at the threshold through (fewer above it), and the
-projections that cost least, so a bucket holds few strangers at any size.
+Width, projections per table and tables are chosen together, for the counted vectors:
+projections that leave about one stranger in a bucket at any size, as many tables as let
+one pair in MISS at the threshold through (fewer above it), and the width whose tables are
+fewest.
 
 Buckets are computed from coordinates and projections rounded to integers, whose sums
 doubles hold exactly, so every task finds the same buckets whatever its batch.
@@ -36,8 +37,6 @@ from understory.llm.common import components, map_arrow, saved
 
 THRESHOLD = 0.95
 MISS = 1e-4
-#: Bytes of a row of a class and its bucket on its way.
-ROW_BYTES = 40
 SEED = 51
 KEYS = ["part", "bucket"]
 #: Bits after the point that coordinates and projections keep.
@@ -85,25 +84,19 @@ def _collision(distance: float, width: float) -> float:
     return 1 - 2 * tail - 2 / (math.sqrt(2 * math.pi) * x) * (1 - math.exp(-x * x / 2))
 
 
-def plan_for(rows: int, threshold: float = THRESHOLD, miss: float = MISS, dimension: int = 64) -> Plan:
-    """The width, projections and tables of least cost that miss `miss` of the links.
-
-    Cost for a vector and table, in bytes or what takes as long: a narrow row, the vector
-    once more where a stranger shares the bucket, and the projections.
-    """
+def plan_for(rows: int, threshold: float = THRESHOLD, miss: float = MISS) -> Plan:
+    """The width whose tables are fewest: projections that leave about one unrelated vector in a bucket, tables that miss `miss` of the links."""
     distance = max(math.sqrt(max(0.0, 2 - 2 * threshold)), 1e-6)
     best = None
     for step in range(6, 41):
         width = step / 10
         near, far = _collision(distance, width), _collision(math.sqrt(2), width)
-        for each in range(4, 65):
-            whole = near**each
-            tables = 1 if whole >= 1 - miss else math.ceil(math.log(miss) / math.log1p(-whole))
-            strangers = rows * far**each
-            cost = tables * (ROW_BYTES + (1 - math.exp(-strangers)) * (ROW_BYTES + 8 * dimension) + strangers * dimension / 4 + each * dimension / 50)
-            if best is None or cost < best[0]:
-                best = (cost, Plan(tables, each, width))
-    return best[1]
+        each = max(4, math.ceil(math.log(max(rows, 2)) / -math.log(far)))
+        whole = near**each
+        tables = 1 if whole >= 1 - miss else math.ceil(math.log(miss) / math.log1p(-whole))
+        if best is None or (tables, each) < (best.tables, best.each):
+            best = Plan(tables, each, width)
+    return best
 
 
 def usable(vector: Column) -> Column:
@@ -163,9 +156,14 @@ def _pairs_within(bounds: np.ndarray, groups: np.ndarray) -> Iterator[tuple[np.n
         at = end
 
 
-def _first_here(plan: Plan, table: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    """Which pairs of unit vectors share no table before the one given."""
-    same = plan.buckets(a) == plan.buckets(b)
+def _first_here(plan: Plan, table: np.ndarray, ids: np.ndarray, vectors: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Which pairs of rows share no table before the one given; each class is hashed once.
+
+    ids, vectors: of the rows; a, b: the pairs' rows; table: of each pair.
+    """
+    _, place, where = np.unique(ids, return_index=True, return_inverse=True)
+    keys = plan.buckets(vectors[place])
+    same = keys[where[a]] == keys[where[b]]
     return same.argmax(axis=1) >= np.where(same.any(axis=1), table, 0)
 
 
@@ -202,9 +200,11 @@ def _compare(plan: Plan, threshold: float):
                     a, b = (p[mine], q[mine]) if not mine.all() else (p, q)
                     near = np.einsum("ij,ij->i", unit[place[a]], unit[place[b]]) >= threshold
                     a, b = a[near], b[near]
-                    first = _first_here(plan, table[a], unit[place[a]], unit[place[b]])
-                    ps.append(a[first])
-                    qs.append(b[first])
+                    if len(a):
+                        rows, at = np.unique(np.concatenate([a, b]), return_inverse=True)
+                        first = _first_here(plan, table[a], ids[rows], unit[place[rows]], at[: len(a)], at[len(a) :])
+                        ps.append(a[first])
+                        qs.append(b[first])
             if ps:
                 p, q = np.concatenate(ps), np.concatenate(qs)
                 some, where = np.unique(np.concatenate([p, q]), return_inverse=True)
@@ -232,8 +232,7 @@ def link(vectors: DataFrame, threshold: float = THRESHOLD, id_col: str = "vec_id
     rows = saved(rows.withColumn("vector", F.when(usable(F.col("vector")), F.transform("vector", lambda x: x + 0.0))), "vectors")
     classes = rows.where("vector IS NOT NULL").groupBy("vector").agg(F.min("row").alias("class"), F.count("*").alias("copies"), F.min("id").alias("least"))
     classes = saved(classes, "vector-classes")
-    known, dimension = classes.agg(F.count("*"), F.max(F.size("vector"))).first()
-    plan = plan_for(known, threshold, dimension=dimension or 1)
+    plan = plan_for(classes.count(), threshold)
     buckets = map_arrow(classes.select("class", "vector"), _hash(plan), "class long, buckets array<long>")
     shared = blocks.shared_buckets(buckets.select("class", F.posexplode("buckets").alias("part", "bucket")), KEYS)
     shared = shared.join(classes.select("class", "vector", "copies", F.size("vector").alias("dimension")), "class")
