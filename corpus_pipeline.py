@@ -1,5 +1,13 @@
 """The corpus pipeline: documents through language ID, near-duplicate removal,
-repeated-passage removal, decontamination and source mixing."""
+repeated-passage removal, decontamination and source mixing.
+
+Defined results: null, empty and letterless texts go in the first stage; a null label gets
+the predicted language; null and repeated ids are rows of their own, and where ids don't
+tell rows apart the stored order decides which copy stays; of equal texts the least id
+stays; very long texts are read whole; other columns are kept, whatever their names, but
+for those of the mix (size, source_size, target, copies, taken); empty tables give an
+empty result.  The result has a row for each document that the mix takes, with its text.
+"""
 
 from __future__ import annotations
 
