@@ -274,3 +274,28 @@ def test_ground_leaves_vegetation_out():
     z = 100 + 0.05 * xy[:, 0] + np.sin(xy[:, 1] / 9) + np.where(ground, 0, rng.uniform(0.6, 12, 8000))
     got = terrain._ground_points(np.column_stack([xy, z]), 20.0, 30.0, 1.0)
     assert got[ground].mean() > 0.99 and got[~ground].mean() < 0.02
+
+
+def test_heights_by_window_count_late_points_until_the_watermark(spark, tmp_path):
+    from understory.streaming.ingest import heights_by_window
+
+    rows = [("2024-05-01 10:01:00", 2.0), ("2024-05-01 10:04:59", 4.0), ("2024-05-01 10:07:00", 8.0), ("2024-05-01 12:00:00", 1.0)]
+    late = [("2024-05-01 10:02:00", 99.0), ("2024-05-01 11:58:00", 3.0)]
+    schema = "t string, h double"
+    for i, part in enumerate((rows, late)):
+        spark.createDataFrame(part, schema).coalesce(1).selectExpr("cast(t AS timestamp) AS t", "h").write.parquet(str(tmp_path / "in" / f"p{i}"))
+    stream = spark.readStream.schema("t timestamp, h double").option("recursiveFileLookup", "true").option("maxFilesPerTrigger", "1").parquet(str(tmp_path / "in"))
+    query = heights_by_window(stream, "t").writeStream.outputMode("update").format("memory").queryName("windows").option("checkpointLocation", str(tmp_path / "c")).trigger(availableNow=True).start()
+    query.awaitTermination(120)
+    got = {str(r["start"])[11:16]: (r["n"], r["height_max"]) for r in spark.sql("SELECT window.start, max(n) AS n, max(height_max) AS height_max FROM windows GROUP BY 1").collect()}
+    assert got["10:05"] == (1, 8.0) and got["11:55"] == (1, 3.0) and got["12:00"] == (1, 1.0) and got["10:00"][0] in (2, 3)
+
+
+def test_only_named_columns_are_read(spark, tmp_path):
+    from understory.sources import points
+
+    path = str(tmp_path / "a.las")
+    las.write(path, np.random.default_rng(2).uniform(0, 9, (30, 3)), extras={"Tree": np.ones(30), "Other": np.zeros(30)})
+    assert points.read(spark, path, ["x", "Tree"]).columns == ["x", "Tree"] and points.read(spark, path).count() == 30
+    points.read(spark, path).write.parquet(str(tmp_path / "a.parquet"))
+    assert points.read(spark, str(tmp_path / "a.parquet"), ["z"]).columns == ["z"]

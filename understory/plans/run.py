@@ -76,7 +76,9 @@ def _run(spark: SparkSession, cloud: DataFrame | str, folder: str, p: Parameters
     if isinstance(cloud, str):
         name = name or os.path.basename(cloud)
         epsg = epsg or points.epsg_of(cloud)
-        cloud = points.read(spark, params.check_input(cloud))
+        path = params.check_input(cloud)
+        wanted = {"x", "y", "z", "pid", *p.instance_dimensions, *(["classification"] if p.keep_ground_classes else [])}
+        cloud = points.read(spark, path, [c for c in points.read(spark, path).columns if c in wanted])
     name = name or "points"
     if not os.path.isdir(folder) or not os.access(folder, os.W_OK):
         raise ValueError(f"the output folder cannot be written: {folder}")

@@ -7,6 +7,7 @@ classification and segment-id attributes.
 from __future__ import annotations
 
 import re
+from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -16,16 +17,19 @@ ORIGIN_X, ORIGIN_Y = 412337.0, 5733149.0
 PLANE_Z, PLANE_X, PLANE_Y = 96.0, 0.02, 0.03
 
 
-def read(spark: SparkSession, path: str) -> DataFrame:
-    """Points of a .parquet, .csv or .las file."""
+def read(spark: SparkSession, path: str, columns: Sequence[str] = ()) -> DataFrame:
+    """Points of a .parquet, .csv or .las file; only the columns that are named, if any are."""
     if re.search(r"(?i)\.las$", path):
         from understory.sources.las import register
 
         register(spark)
-        return spark.read.format("las").load(path)
+        reader = spark.read.format("las")
+        return (reader.option("columns", ",".join(columns)) if columns else reader).load(path)
     if re.search(r"(?i)\.csv$", path):
-        return spark.read.option("header", True).option("inferSchema", True).csv(path)
-    return spark.read.parquet(path)
+        found = spark.read.option("header", True).option("inferSchema", True).csv(path)
+    else:
+        found = spark.read.parquet(path)
+    return found.select(*columns) if columns else found
 
 
 def ground(x: Column, y: Column) -> Column:
