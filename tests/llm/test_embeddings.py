@@ -1,3 +1,4 @@
+import duckdb
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
@@ -44,12 +45,21 @@ def test_links_equal_comparing_all(spark, block, monkeypatch):
     links, components = brute(rows)
     assert [got[d]["n_links"] for d, _ in rows] == links
     assert [got[d]["component_id"] for d, _ in rows] == components
+    assert sql(rows) == {d: (r["n_links"], r["component_id"], r["kept"]) for d, r in got.items()}
+
+
+def sql(rows):
+    c = duckdb.connect()
+    c.execute("CREATE TABLE embeddings (vec_id BIGINT, embedding FLOAT[])")
+    c.executemany("INSERT INTO embeddings VALUES (?, ?)", rows)
+    return {d: (n, of, kept) for d, n, of, kept in c.execute(embeddings.OP8_SQL).fetchall()}
 
 
 def test_odd_vectors(spark):
     rows = [(1, None), (2, []), (3, [0.0, 0.0]), (4, [1.0, None]), (5, [float("nan"), 1.0]), (6, [float("inf"), 1.0]), (7, [1.0, 2.0]), (8, [1.0, 2.0]), (9, [2.0, 4.0]), (10, [1.0, 2.0, 0.0]), (11, [-0.0, 0.0]), (12, [-1.0, -2.0])]
     df = table(spark, rows).withColumn("class", F.lit("clash")).withColumn("row", F.lit(1))
     got = {r["vec_id"]: (r["n_links"], r["component_id"], r["kept"]) for r in embeddings.link(df).collect()}
+    assert got == sql(rows)
     assert got == {i: (0, i, True) for i in (1, 2, 3, 4, 5, 6, 10, 11, 12)} | {7: (2, 7, True), 8: (2, 7, False), 9: (2, 7, False)}
     assert embeddings.link(table(spark, [])).count() == 0
     assert embeddings.link(table(spark, [(1, None)])).count() == 1

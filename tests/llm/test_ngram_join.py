@@ -1,5 +1,7 @@
 import random
 
+import duckdb
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -112,3 +114,13 @@ def test_a_class_of_many_candidate_rows(spark, docs, monkeypatch):
     got = {r["doc_id"]: r for r in ngram_join.join(docs(rows)).collect()}
     links, components = brute(rows)
     assert [got[d]["n_links"] for d, _ in rows] == links and [got[d]["component_id"] for d, _ in rows] == components
+
+
+def test_sql_equals_comparing_all():
+    rows = [*corpus(3), (900, None), (901, "..."), (902, "one two"), (903, "One, TWO"), (904, "one")]
+    documents = pd.DataFrame(rows, columns=["doc_id", "text"])  # read by name
+    found = duckdb.connect().execute(ngram_join.OP6_SQL).fetchdf().set_index("doc_id").loc[documents["doc_id"]]
+    links, components = brute(rows)
+    assert found["n_links"].tolist() == links
+    assert found["component_id"].tolist() == components
+    assert found["kept"].tolist() == [d == c for (d, _), c in zip(rows, components, strict=True)]

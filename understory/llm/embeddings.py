@@ -255,3 +255,17 @@ def link(vectors: DataFrame, threshold: float = THRESHOLD, id_col: str = "vec_id
 def op8_embedding_dedup(spark, sf_dir: str) -> DataFrame:
     """vec_id, n_links, component_id, kept of each row of embeddings."""
     return link(spark.read.parquet(f"{sf_dir}/embeddings.parquet").select("vec_id", "embedding"))
+
+
+#: DuckDB SQL for op8: all pairs.
+OP8_SQL = """
+WITH RECURSIVE every AS (SELECT vec_id, CAST(embedding AS DOUBLE[]) AS e FROM embeddings),
+squares AS (SELECT vec_id, e, CASE WHEN len(e) > 0 AND len([x for x in e if NOT coalesce(isfinite(x), false)]) = 0 THEN list_sum([x * x for x in e]) ELSE 0 END AS square FROM every),
+usable AS MATERIALIZED (SELECT vec_id, e, sqrt(square) AS norm FROM squares WHERE square > 0),
+links AS (SELECT a.vec_id AS a, b.vec_id AS b FROM usable a JOIN usable b ON a.vec_id <> b.vec_id
+  WHERE CASE WHEN len(a.e) = len(b.e) THEN list_dot_product(a.e, b.e) / (a.norm * b.norm) >= 0.95 ELSE false END),
+reach AS (SELECT vec_id, vec_id AS r FROM every UNION SELECT reach.vec_id, links.b FROM reach JOIN links ON links.a = reach.r),
+found AS (SELECT vec_id, min(r) AS component_id FROM reach GROUP BY vec_id),
+degrees AS (SELECT a AS vec_id, count(*) AS n FROM links GROUP BY a)
+SELECT vec_id, CAST(coalesce(n, 0) AS BIGINT) AS n_links, component_id, vec_id = component_id AS kept FROM every JOIN found USING (vec_id) LEFT JOIN degrees USING (vec_id)
+"""

@@ -291,3 +291,22 @@ def stage(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
 def op6_ngram_join(spark, sf_dir: str) -> DataFrame:
     """doc_id, class_id, component_id, n_links, kept of each row of documents."""
     return join(spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")).drop("text_hash")
+
+
+#: DuckDB SQL for op6: all pairs that share a shingle, whole sets, 64-bit hashes of shingles.
+OP6_SQL = r"""
+WITH RECURSIVE dw AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents),
+places AS (SELECT doc_id, unnest(w) AS x, generate_subscripts(w, 1) AS i, len(w) AS n FROM dw WHERE len(w) > 0),
+hashed AS (SELECT doc_id, i, n, hash(concat_ws(' ', x, lead(x, 1) OVER o, lead(x, 2) OVER o, lead(x, 3) OVER o, lead(x, 4) OVER o)) AS h FROM places WINDOW o AS (PARTITION BY doc_id ORDER BY i)),
+sets AS (SELECT doc_id, list_sort(list(DISTINCT h)) AS s FROM hashed WHERE i <= greatest(n - 4, 1) GROUP BY doc_id),
+classes AS (SELECT min(doc_id) AS c, count(*) AS copies, s, len(s) AS n FROM sets GROUP BY s),
+members AS (SELECT c, n, unnest(s) AS h FROM classes),
+links AS (SELECT a.c AS a, b.c AS b FROM members a JOIN members b ON a.h = b.h AND a.c <> b.c AND 5 * least(a.n, b.n) >= 4 * greatest(a.n, b.n)
+  GROUP BY a.c, b.c, a.n, b.n HAVING 5 * count(*) >= 4 * (a.n + b.n - count(*))),
+reach AS (SELECT c, c AS r FROM classes UNION SELECT reach.c, links.b FROM reach JOIN links ON links.a = reach.r),
+found AS (SELECT c, min(r) AS component_id FROM reach GROUP BY c),
+degrees AS (SELECT a AS c, sum(copies) AS n FROM links JOIN classes ON classes.c = links.b GROUP BY a)
+SELECT doc_id, coalesce(classes.c, doc_id) AS class_id, coalesce(component_id, doc_id) AS component_id,
+  CAST(coalesce(degrees.n, 0) + coalesce(copies, 1) - 1 AS BIGINT) AS n_links, coalesce(component_id, doc_id) = doc_id AS kept
+FROM dw LEFT JOIN sets USING (doc_id) LEFT JOIN classes ON classes.s = sets.s LEFT JOIN found ON found.c = classes.c LEFT JOIN degrees ON degrees.c = classes.c
+"""

@@ -35,6 +35,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 def oracle_sql() -> dict[str, str]:
     return {
         "op5_warc": warc.OP5_SQL,
+        "op6_ngram_join": ngram_join.OP6_SQL,
+        "op8_embedding_dedup": embeddings.OP8_SQL,
         "op9_url_filter": urlfilter.OP9_SQL,
         "url_aliases": urlfilter.ALIASES_SQL,
         "op10_decontamination": decontaminate.OP10_SQL,
