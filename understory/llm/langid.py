@@ -175,22 +175,25 @@ def _build(texts: dict[str, str]) -> Tables:
     width = FIRST + DIGITS * spelled
     points = [np.frombuffer(texts[x].encode("utf-32-le", "surrogatepass"), np.uint32) for x in langs]
     coded = [(_spell(p, codes) if spelled else codes[p])[: max(ALL_CHARS // len(langs), PLACES)].tolist() for p in points]
-    parts, start, base = [], [], 0
+    # an automaton has two states a character at most; pages that none fills are never touched
+    bound = sum(2 * len(text) + 2 for text in coded)
+    kind = np.int32 if bound * width * 2 < 2**31 else np.int64
+    rows = np.empty((bound, width), kind)
+    start, base = [], 0
     for text in coded:
         out = automaton(text)
         states = len(out) + 1  # and one that each phrase starts from
-        kind = np.int32 if (base + states) * width * 2 < 2**31 else np.int64
         again = np.full(width, (base + states - 1) * width * 2 + 1, kind)
         for c, to in out[0].items():
             again[c] = (base + to) * width * 2 + 1
-        part = np.tile(again, (states, 1))
-        at = np.fromiter((s * width + c for s, edges in enumerate(out) for c in edges), np.int64)
-        to = np.fromiter(((base + t) * width * 2 for edges in out for t in edges.values()), np.int64)
-        part.ravel()[at] = to
-        parts.append(part)
+        rows[base : base + states] = again
+        for s, edges in enumerate(out):
+            for c, to in edges.items():
+                rows[base + s, c] = (base + to) * width * 2
+            edges.clear()
         start.append((base + states - 1) * width)
         base += states
-    flat = np.concatenate([p.ravel() for p in parts])
+    flat = rows[:base].ravel()
     bits = np.array([math.log2(max(2, len(x))) for x in coded])
     return Tables(langs, codes, known, spelled, flat, np.array(start, flat.dtype), bits, math.log2(max(2, len(letters))))
 
