@@ -5,7 +5,10 @@ from __future__ import annotations
 import logging
 import os
 import time
+from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 from contextlib import contextmanager
+from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -51,6 +54,12 @@ def _timed(timings: dict, name: str):
     log.info("PERF %s %.3f s", name, timings[name])
 
 
+def _together(*phases: Callable[[], object]) -> list:
+    """Results of phases that don't need each other, run side by side: small jobs of one fill the cores that another leaves idle."""
+    with ThreadPoolExecutor(len(phases)) as pool:
+        return [f.result() for f in [pool.submit(phase) for phase in phases]]
+
+
 def run(spark: SparkSession, cloud: DataFrame | str, folder: str, p: Parameters, aoi_path: str | None = None, name: str | None = None, epsg: int | None = None) -> dict:
     """Write all artifacts of a run; the paths written, and its counts.
 
@@ -87,55 +96,80 @@ def _run(spark: SparkSession, cloud: DataFrame | str, folder: str, p: Parameters
         cloud = cloud.withColumn("pid", F.xxhash64("x", "y", "z"))
     extent, found_count = points.bounds(cloud)
     count = params.check_point_count(found_count)
-    with _timed(timings, "grid"):
-        found = footprint(aoi_path, extent)
-        tiles = kept(tiles_for(spark, found, p))
-        n_tiles = tiles.count()
-        log.info("grid: %d tiles", n_tiles)
     whole = spark.range(1).select(*(F.lit(v).alias(n) for n, v in zip(("xmin", "ymin", "xmax", "ymax"), extent, strict=True)))
     r = p.dtm_resolution
     box = terrain.snapped_bounds(whole, r).select("gx0", "gy0", "gx1", "gy1").first()
     if not terrain.covers(tuple(box), extent, r):
         raise ValueError("the raster does not cover the points")
-    with _timed(timings, "dtm"):
-        dtm = terrain.terrain(cloud, box[0], box[1], r, p.dtm_chunk_size, p.dtm_buffer, p.ptd_resolution, p.keep_ground_classes)
-        dtm = kept(dtm)
-        paths = params.artifacts(folder, p.dataset_id)
-        geotiff.write(dtm, paths["dtm"], box[0], box[1], r, round((box[2] - box[0]) / r), round((box[3] - box[1]) / r), epsg)
+    paths = params.artifacts(folder, p.dataset_id)
+    found = footprint(aoi_path, extent)
+
+    def placed_tiles() -> tuple[DataFrame, int]:
+        with _timed(timings, "grid"):
+            tiles = kept(tiles_for(spark, found, p))
+            n_tiles = tiles.count()
+            log.info("grid: %d tiles", n_tiles)
+            return tiles, n_tiles
+
+    def ground() -> DataFrame:
+        with _timed(timings, "dtm"):
+            dtm = kept(terrain.terrain(cloud, box[0], box[1], r, p.dtm_chunk_size, p.dtm_buffer, p.ptd_resolution, p.keep_ground_classes))
+            geotiff.write(dtm, paths["dtm"], box[0], box[1], r, round((box[2] - box[0]) / r), round((box[3] - box[1]) / r), epsg)
+            return dtm
+
+    (tiles, n_tiles), dtm = _together(placed_tiles, ground)
     normal = kept(terrain.normalize_bilinear(cloud, dtm, box[0], box[1], r))
-    with _timed(timings, "chm"):
-        c = p.chm_resolution
-        high = terrain.snapped_bounds(whole, c).select("gx0", "gy0", "gx1", "gy1").first()
-        vox = voxels.tile_voxels(voxels.within_heights(normal, p.maximum_height), p.voxel_resolution, keys=())
-        chm = voxels.canopy(vox, p, keys=())
-        placed = chm.select((F.col("cx") - round(high[0] / c)).alias("col"), (F.col("cy") - round(high[1] / c)).alias("row"), F.col("top").alias("value"))
-        geotiff.write(placed, paths["chm"], high[0], high[1], c, round((high[2] - high[0]) / c), round((high[3] - high[1]) / c), epsg)
     dimensions = params.select_dimensions(p.instance_dimensions, cloud.columns)
-    table = None
-    with _timed(timings, "segment"):
-        if dimensions:
+
+    def canopy() -> None:
+        with _timed(timings, "chm"):
+            c = p.chm_resolution
+            high = terrain.snapped_bounds(whole, c).select("gx0", "gy0", "gx1", "gy1").first()
+            vox = voxels.tile_voxels(voxels.within_heights(normal, p.maximum_height), p.voxel_resolution, keys=())
+            chm = voxels.canopy(vox, p, keys=())
+            placed = chm.select((F.col("cx") - round(high[0] / c)).alias("col"), (F.col("cy") - round(high[1] / c)).alias("row"), F.col("top").alias("value"))
+            geotiff.write(placed, paths["chm"], high[0], high[1], c, round((high[2] - high[0]) / c), round((high[3] - high[1]) / c), epsg)
+
+    def trees() -> DataFrame | None:
+        with _timed(timings, "segment"):
+            if not dimensions:
+                return None
             long = points.unpivot(normal.select("pid", "x", "y", "h", *dimensions), dimensions)
             table = kept(segments.assign_tiles(segments.segment_table(long, p, kept), tiles))
-            if not table.limit(1).count():
-                table = None
-    with _timed(timings, "tile"):
-        inside = grid.lattice_join(normal.select("x", "y", "h"), tiles, columns=["tile_id"])
-        metrics = kept(voxels.tile_metrics(inside, p, kept))
-        metrics.count()
+            return table if table.limit(1).count() else None
+
+    def structure() -> DataFrame:
+        with _timed(timings, "tile"):
+            inside = grid.lattice_join(normal.select("x", "y", "h"), tiles, columns=["tile_id"])
+            metrics = kept(voxels.tile_metrics(inside, p, kept))
+            metrics.count()
+            return metrics
+
+    _, table, metrics = _together(canopy, trees, structure)
     written = [paths["dtm"], paths["chm"]]
+    crs = f"urn:ogc:def:crs:EPSG::{epsg}" if epsg else None
+
+    def tile_files(own: dict, mine: DataFrame | None) -> None:
+        rows = results.tile_results(tiles, metrics, None if mine is None else segments.tree_metrics(mine), p, name)
+        if tables.write_tiles(rows, own["results"], own["tiles"], p.tile_size, crs) != n_tiles:
+            raise RuntimeError("the results do not have one row for each tile")
+
+    def segment_file(own: dict, mine: DataFrame | None) -> None:
+        diagnostics = spark.createDataFrame([], results.DIAGNOSTICS) if mine is None else results.segment_diagnostics(mine, name)
+        tables.write_csv(diagnostics, own["diagnostics"], ["PredInstance"])
+
+    def image() -> None:
+        flags = grid.edge_flags(tiles, p.tile_size).orderBy("tile_id").select("tile_id", "xmin", "ymin", "xmax", "ymax", "edge_tile").collect()
+        layout.draw(paths["layout"], found["inclusion"], found["exclusion"], [tuple(t) for t in flags])
+
     with _timed(timings, "output"):
+        outputs = [image]
         for d in dimensions or [None]:
             own = params.artifacts(folder, p.dataset_id, d)
             mine = None if table is None or d is None else table.where(F.col("instance_dimension") == d)
-            rows = results.tile_results(tiles, metrics, None if mine is None else segments.tree_metrics(mine), p, name)
-            crs = f"urn:ogc:def:crs:EPSG::{epsg}" if epsg else None
-            if tables.write_tiles(rows, own["results"], own["tiles"], p.tile_size, crs) != n_tiles:
-                raise RuntimeError("the results do not have one row for each tile")
-            diagnostics = spark.createDataFrame([], results.DIAGNOSTICS) if mine is None else results.segment_diagnostics(mine, name)
-            tables.write_csv(diagnostics, own["diagnostics"], ["PredInstance"])
+            outputs += [partial(tile_files, own, mine), partial(segment_file, own, mine)]
             written += [own["results"], own["tiles"], own["diagnostics"]]
-        flags = grid.edge_flags(tiles, p.tile_size).orderBy("tile_id").select("tile_id", "xmin", "ymin", "xmax", "ymax", "edge_tile").collect()
-        layout.draw(paths["layout"], found["inclusion"], found["exclusion"], [tuple(t) for t in flags])
+        _together(*outputs)
         written.append(paths["layout"])
     timings["total"] = time.monotonic() - began
     if p.performance_report:
