@@ -1,6 +1,10 @@
 """Edges of single operators: ties, bounds, nulls, degenerate groups."""
 
+import importlib.util
 import math
+import sys
+import types
+import zlib
 
 import numpy as np
 import pytest
@@ -299,3 +303,41 @@ def test_only_named_columns_are_read(spark, tmp_path):
     assert points.read(spark, path, ["x", "Tree"]).columns == ["x", "Tree"] and points.read(spark, path).count() == 30
     points.read(spark, path).write.parquet(str(tmp_path / "a.parquet"))
     assert points.read(spark, str(tmp_path / "a.parquet"), ["z"]).columns == ["z"]
+
+
+def test_compressed_records_come_through_a_decoder(tmp_path, monkeypatch):
+    """The decoder's part is played by a stand-in that unpacks zlib."""
+    xyz = np.random.default_rng(7).uniform(0, 50, (2500, 3))
+    path, packed = str(tmp_path / "a.las"), str(tmp_path / "a.laz")
+    las.write(path, xyz, extras={"Tree": np.arange(2500.0)})
+    h, data = las.read_header(path), bytearray((tmp_path / "a.las").read_bytes())
+    data[104] |= 0x80
+    (tmp_path / "a.laz").write_bytes(data[: h.offset] + zlib.compress(data[h.offset :]))
+
+    class Decoder:
+        def __init__(self, file):
+            self.records = np.frombuffer(zlib.decompress(open(file, "rb").read()[h.offset :]), f"V{h.size}")
+
+        __enter__ = lambda self: self
+        __exit__ = lambda self, *_: None
+
+        def seek(self, at):
+            self.records = self.records[at:]
+
+        def read_points(self, n):
+            taken, self.records = self.records[:n], self.records[n:]
+            return types.SimpleNamespace(array=taken)
+
+    monkeypatch.setattr(las, "BATCH_RECORDS", 700)
+    assert las.read_header(packed).compressed and not h.compressed
+    if not importlib.util.find_spec("laspy"):
+        with pytest.raises(ValueError, match="laspy"):
+            las._Reader(packed, ["x"])
+    monkeypatch.setattr(las.importlib.util, "find_spec", lambda name: True)
+    monkeypatch.setitem(sys.modules, "laspy", types.SimpleNamespace(open=Decoder))
+    columns = ["x", "z", "Tree"]
+    for part in (las._Range(0, 2500), las._Range(900, 1401)):
+        read = [[b.to_pylist() for b in las._Reader(p, columns).read(part)] for p in (path, packed)]
+        assert read[0] == read[1] and sum(map(len, read[0])) == part.count
+    with pytest.raises(ValueError, match="ends before"):
+        list(las._Reader(packed, columns).read(las._Range(2000, 600)))

@@ -92,10 +92,8 @@ def check_input(path: str) -> str:
         raise ValueError(f"point cloud does not exist: {path}")
     if os.path.isdir(path) and not path.endswith(".parquet"):
         raise ValueError(f"point cloud is a directory: {path}")
-    if re.search(r"(?i)\.laz$", path):
-        raise ValueError("compressed LAZ is not supported: convert it to LAS or Parquet")
-    if not re.search(r"(?i)\.(las|parquet|csv)$", path):
-        raise ValueError("point cloud must end in .las, .parquet or .csv")
+    if not re.search(r"(?i)\.(las|laz|parquet|csv)$", path):
+        raise ValueError("point cloud must end in .las, .laz, .parquet or .csv")
     return path
 
 

@@ -1,4 +1,7 @@
-"""LAS 1.2 to 1.4 point files (uncompressed) as a Spark data source, and a writer.
+"""LAS 1.2 to 1.4 point files as a Spark data source, and a writer.
+
+Compressed (LAZ) records are unpacked by the laspy package with one of its decoders,
+where it is installed on driver and executors; without it they are refused.
 
 The source's schema comes from the file's header: coordinates, returns, class and the
 extra attributes its records carry.  A partition is a range of records, so one file is
@@ -8,6 +11,7 @@ of a file system that driver and executors share.
 
 from __future__ import annotations
 
+import importlib.util
 import re
 import struct
 from collections.abc import Iterator, Sequence
@@ -44,6 +48,7 @@ class Header:
     high: tuple[float, float, float]
     extras: list[tuple[str, str, float, float]]
     epsg: int | None = None
+    compressed: bool = False
 
 
 def _epsg(record: int, data: bytes) -> int | None:
@@ -58,15 +63,14 @@ def _epsg(record: int, data: bytes) -> int | None:
 
 
 def read_header(path: str) -> Header:
-    """The header of a LAS file; another magic, or compressed records, is an error."""
+    """The header of a LAS or LAZ file; another magic is an error."""
     with open(path, "rb") as f:
         h = f.read(375)
         if len(h) < 227 or h[:4] != b"LASF":
             raise ValueError(f"{path} is not a LAS file")
         version, (size,), (offset, n_vlr) = (h[24], h[25]), struct.unpack_from("<H", h, 94), struct.unpack_from("<II", h, 96)
         point_format, (length,), (count,) = h[104], struct.unpack_from("<H", h, 105), struct.unpack_from("<I", h, 107)
-        if point_format & 0xC0:
-            raise ValueError("compressed LAZ records are not supported")
+        compressed, point_format = bool(point_format & 0xC0), point_format & 0x3F
         if version >= (1, 4) and len(h) >= 255:
             count = struct.unpack_from("<Q", h, 247)[0] or count
         values = struct.unpack_from("<12d", h, 131)
@@ -80,7 +84,7 @@ def read_header(path: str) -> Header:
                 extras += [_extra(data[i : i + 192]) for i in range(0, len(data) - 191, 192)]
             elif user == b"LASF_Projection" and record in (2112, 34735):
                 epsg = _epsg(record, data) or epsg
-    return Header(version, point_format, length, count, offset, values[0:3], values[3:6], (values[7], values[9], values[11]), (values[6], values[8], values[10]), extras, epsg)
+    return Header(version, point_format, length, count, offset, values[0:3], values[3:6], (values[7], values[9], values[11]), (values[6], values[8], values[10]), extras, epsg, compressed)
 
 
 def _extra(record: bytes) -> tuple[str, str, float, float]:
@@ -139,6 +143,24 @@ def decode(h: Header, data: bytes) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=names)
 
 
+def packed(path: str, first: int, count: int) -> Iterator[bytes]:
+    """Records of a range of a compressed file, a batch at a time."""
+    import laspy
+
+    with laspy.open(path) as f:
+        f.seek(first)
+        for at in range(0, count, BATCH_RECORDS):
+            yield f.read_points(min(BATCH_RECORDS, count - at)).array.tobytes()
+
+
+def plain(path: str, h: Header, first: int, count: int) -> Iterator[bytes]:
+    """Records of a range of an uncompressed file, a batch at a time."""
+    with open(path, "rb") as f:
+        f.seek(h.offset + first * h.size)
+        for at in range(0, count, BATCH_RECORDS):
+            yield f.read(min(BATCH_RECORDS, count - at) * h.size)
+
+
 class _Range(InputPartition):
     def __init__(self, first: int, count: int):
         self.first, self.count = first, count
@@ -148,23 +170,20 @@ class _Reader(DataSourceReader):
     def __init__(self, path: str, columns: list[str]):
         self.path, self.columns = path, columns
         self.header = read_header(path)
+        if self.header.compressed and not importlib.util.find_spec("laspy"):
+            raise ValueError("reading compressed LAZ records needs the laspy package with a decoder: install it, or convert the file to LAS")
 
     def partitions(self) -> Sequence[InputPartition]:
         n = self.header.count
         return [_Range(i, min(PARTITION_RECORDS, n - i)) for i in range(0, n, PARTITION_RECORDS)] or [_Range(0, 0)]
 
     def read(self, partition: _Range) -> Iterator[pa.RecordBatch]:
-        h = self.header
-        with open(self.path, "rb") as f:
-            f.seek(h.offset + partition.first * h.size)
-            left = partition.count
-            while left:
-                n = min(left, BATCH_RECORDS)
-                data = f.read(n * h.size)
-                if len(data) < n * h.size:
-                    raise ValueError(f"{self.path} ends before its last record")
-                yield decode(h, data).select(self.columns)
-                left -= n
+        h, first, count = self.header, partition.first, partition.count
+        for data in packed(self.path, first, count) if h.compressed else plain(self.path, h, first, count):
+            if len(data) < min(count, BATCH_RECORDS) * h.size:
+                raise ValueError(f"{self.path} ends before its last record")
+            count -= len(data) // h.size
+            yield decode(h, data).select(self.columns)
 
 
 class LasSource(DataSource):

@@ -18,8 +18,8 @@ PLANE_Z, PLANE_X, PLANE_Y = 96.0, 0.02, 0.03
 
 
 def read(spark: SparkSession, path: str, columns: Sequence[str] = ()) -> DataFrame:
-    """Points of a .parquet, .csv or .las file; only the columns that are named, if any are."""
-    if re.search(r"(?i)\.las$", path):
+    """Points of a .parquet, .csv, .las or .laz file; only the columns that are named, if any are."""
+    if re.search(r"(?i)\.la[sz]$", path):
         from understory.sources.las import register
 
         register(spark)
@@ -72,7 +72,7 @@ def extent(points: DataFrame) -> DataFrame:
 
 def epsg_of(path: str) -> int | None:
     """The coordinate system that a file names by its EPSG number."""
-    if not re.search(r"(?i)\.las$", path):
+    if not re.search(r"(?i)\.la[sz]$", path):
         return None
     from understory.sources.las import read_header
 
