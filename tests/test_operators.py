@@ -341,3 +341,23 @@ def test_compressed_records_come_through_a_decoder(tmp_path, monkeypatch):
         assert read[0] == read[1] and sum(map(len, read[0])) == part.count
     with pytest.raises(ValueError, match="ends before"):
         list(las._Reader(packed, columns).read(las._Range(2000, 600)))
+
+
+def test_ground_of_a_chunk_takes_only_lowest_points_together(spark, monkeypatch):
+    """The classes are those of a chunk at hand as a whole, but no task gets more of it than the lowest points of small cells."""
+    rng = np.random.default_rng(6)
+    xyz = np.column_stack([rng.uniform(0, 60, (9000, 2)), np.zeros(9000)])
+    xyz[:, 2] = 100 + 0.05 * xyz[:, 0] + np.sin(xyz[:, 1] / 9) + np.where(np.arange(9000) % 2 == 0, rng.uniform(0, 0.3, 9000), rng.uniform(0.6, 12, 9000))
+    xyz[17] = xyz[16]
+    df = spark.createDataFrame([(0, 0, i, *map(float, r)) for i, r in enumerate(xyz)], "chunk_x long, chunk_y long, i int, x double, y double, z double")
+    dealt = []
+    deal = terrain._dealt
+    monkeypatch.setattr(terrain, "_dealt", lambda points, keys: dealt.append(points.count()) or deal(points, keys))
+    found = terrain.classify_ground(df)
+    assert found.columns == [*df.columns, "classification"]
+    got = {r["i"]: r["classification"] == 2 for r in found.collect()}
+    want = terrain._ground_points(xyz, 20.0, 30.0, 1.0)
+    assert [got[i] for i in range(9000)] == want.tolist() and 0 < want.sum() < 9000
+    assert dealt and max(dealt) <= 60 * 60
+    few = terrain.classify_ground(df.where("i < 2"))
+    assert [r["classification"] for r in few.collect()] == [1, 1]

@@ -10,14 +10,18 @@ import math
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from understory.functions.scalars import snapped
+from understory.functions.scalars import in_cells, snapped
 from understory.operators.delaunay import interpolate, triangulate
+from understory.streaming.ingest import state_folder
 
 #: Raster cells whose broadcast is asked for at most.
 BROADCAST_CELLS = 1_000_000
+#: Small cells with their triangles (some 600 bytes each) whose broadcast is asked for at most.
+BROADCAST_SURFACE = 50_000
 #: Metres from the surface within which a point is ground without becoming a corner of it.
 FLAT = 0.15
 
@@ -91,9 +95,16 @@ def normalize_bilinear(points: DataFrame, raster: DataFrame, x0: float, y0: floa
     return met.where(total > 0).withColumn("h", F.col("z") - ground).select(*[c for c in points.columns if c != "h"], "h")
 
 
-def _sized(raster: DataFrame) -> DataFrame:
+def _sized(raster: DataFrame, most: int = BROADCAST_CELLS) -> DataFrame:
     """The raster, broadcast where its counted cells allow."""
-    return F.broadcast(raster) if raster.count() <= BROADCAST_CELLS else raster
+    return F.broadcast(raster) if raster.count() <= most else raster
+
+
+def _saved(rows: DataFrame) -> DataFrame:
+    """rows, written and read again."""
+    folder = state_folder(rows.sparkSession)
+    rows.write.parquet(folder)
+    return rows.sparkSession.read.schema(rows.schema).parquet(folder)
 
 
 def _dealt(points: DataFrame, keys: tuple[str, ...]) -> DataFrame:
@@ -110,26 +121,128 @@ def classify_ground(points: DataFrame, seed: float = 20.0, angle: float = 30.0,
     of it whose angles to the triangle's corners are at most `angle` degrees join, until
     none does.  The lowest point of each small cell (a 20th of a seed cell) may join: all
     that lie within FLAT of the surface at once, others one an eighth of a seed cell and
-    round.  At the end all points within FLAT of the surface are ground.  A chunk is
-    bounded by its size and buffer.
+    round.  At the end all points within FLAT of the surface are ground.  Only the lowest
+    points of small cells are gathered by chunk, however many points a chunk has; each point
+    meets the triangles of its small cell in a join.
     """
-    schema = f"{points.schema.simpleString()[7:-1].replace(':', ' ')}, classification int" if "classification" not in points.columns else points.schema.simpleString()[7:-1].replace(":", " ")
+    cell = [*keys, "_i", "_j"]
+    placed = points.withColumns({"_i": in_cells(F.col("x"), seed / 20), "_j": in_cells(F.col("y"), seed / 20)})
+    low = _saved(placed.groupBy(*cell).agg(F.min("z").alias("_z"), F.count("*").alias("_n")))
+    thin = placed.join(_sized(low), cell).where("z = _z").groupBy(*cell, "z", "_n").agg(F.min(F.struct("x", "y")).alias("_at"))
+
+    def run(group: pa.Table) -> pa.Table:
+        return _sheets(group, list(keys), seed, angle, distance)
+
+    schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in low.select(*cell).schema) + ", _gx double, _gy double, _gz double, _low double, _high double, _sides array<struct<" + ", ".join(f"{n}: double" for n in _SIDES) + ">>"
+    sheets = _saved(_dealt(thin.select(*cell, "_n", "_at.x", "_at.y", "z"), keys).groupBy(*keys).applyInArrow(run, schema))
+    met = placed.join(_sized(sheets, BROADCAST_SURFACE), cell, "left")
+    own = (F.col("x") == F.col("_gx")) & (F.col("y") == F.col("_gy")) & (F.col("z") == F.col("_gz"))
+    near = F.col("z").between(F.col("_low") - FLAT - 1e-6, F.col("_high") + FLAT + 1e-6)
+    ground = F.when(own, True).when(near, F.abs(F.col("z") - _surface_at(F.col("x"), F.col("y"))) <= FLAT)
+    names = [*points.columns, *([] if "classification" in points.columns else ["classification"])]
+    return met.withColumn("classification", F.when(F.coalesce(ground, F.lit(False)), 2).otherwise(1)).select(*names)
+
+
+#: Corners of a triangle.
+_SIDES = [f"{corner}{c}" for corner in "abc" for c in "xyz"]
+
+
+def _surface_at(x: Column, y: Column) -> Column:
+    """Height of the first of the cell's triangles that holds a place, null where none does; as interpolate()."""
+
+    def weights(t: Column) -> tuple[Column, Column, Column]:
+        det = (t.by - t.cy) * (t.ax - t.cx) + (t.cx - t.bx) * (t.ay - t.cy)
+        u = ((t.by - t.cy) * (x - t.cx) + (t.cx - t.bx) * (y - t.cy)) / det
+        v = ((t.cy - t.ay) * (x - t.cx) + (t.ax - t.cx) * (y - t.cy)) / det
+        return u, v, 1 - u - v
+
+    def holds(t: Column) -> Column:
+        u, v, w = weights(t)
+        return (u >= -1e-9) & (v >= -1e-9) & (w >= -1e-9)
+
+    def height(t: Column) -> Column:
+        u, v, w = weights(t)
+        return u * t.az + v * t.bz + w * t.cz
+
+    return F.get(F.transform(F.filter("_sides", holds), height), F.lit(0))
+
+
+def _sheets(group: pa.Table, keys: list[str], seed: float, angle: float, distance: float) -> pa.Table:
+    """The small cells of a chunk: their lowest point if it is ground, the surface's triangles in them and its bounds."""
+    xyz = np.column_stack([group[c].to_numpy() for c in "xyz"])
+    cells = np.column_stack([group["_i"].to_numpy(), group["_j"].to_numpy()])
+    order = np.lexsort((cells[:, 1], cells[:, 0]))
+    group, xyz, cells = group.take(order), xyz[order], cells[order]
+    if int(group["_n"].to_numpy().sum()) < 3:
+        mask, base, triangles = np.zeros(len(xyz), bool), xyz, np.zeros((0, 3), np.int64)
+    else:
+        mask, base, triangles = _grown(xyz, seed, angle, distance)
+    a, b, c = (base[triangles[:, i]] for i in range(3))
+    triangles = triangles[(b[:, 1] - c[:, 1]) * (a[:, 0] - c[:, 0]) + (c[:, 0] - b[:, 0]) * (a[:, 1] - c[:, 1]) != 0]
+    row, t = _touched(base[:, :2], triangles, cells, seed / 20)
+    ends = base[triangles[t]]
+    offsets = np.searchsorted(row, np.arange(len(cells) + 1)).astype(np.int32)
+    low, high = np.full(len(cells), np.inf), np.full(len(cells), -np.inf)
+    np.minimum.at(low, row, ends[:, :, 2].min(axis=1, initial=np.inf))
+    np.maximum.at(high, row, ends[:, :, 2].max(axis=1, initial=-np.inf))
+    made = {f"_g{c}": pa.array(xyz[:, k], mask=~mask) for k, c in enumerate("xyz")} | {"_low": pa.array(low), "_high": pa.array(high)}
+    sides = pa.StructArray.from_arrays([pa.array(v) for v in ends.reshape(-1, 9).T.copy()], _SIDES)
+    made["_sides"] = pa.ListArray.from_arrays(pa.array(offsets), sides)
+    return pa.table({n: group[n] for n in [*keys, "_i", "_j"]} | made)
+
+
+def _touched(places: np.ndarray, triangles: np.ndarray, cells: np.ndarray, size: float, most: int = 1 << 20) -> tuple[np.ndarray, np.ndarray]:
+    """(cell, triangle) by place in their lists, in this order: the triangles that touch each of the sorted cells."""
+    slack = 1e-6
+    corners = places[triangles]
+    floor = lambda v: np.floor(v / size).astype(np.int64)
+    least, span = cells.min(axis=0), np.ptp(cells, axis=0) + 1
+    first = np.maximum(floor(corners.min(axis=1, initial=np.inf) - slack), least) - least if len(triangles) else np.zeros((0, 2), np.int64)
+    last = np.minimum(floor(corners.max(axis=1, initial=-np.inf) + slack), least + span - 1) - least if len(triangles) else np.zeros((0, 2), np.int64)
+    wide = np.maximum(last - first + 1, 0)
+    n = wide.prod(axis=1)
+    known = (cells[:, 0] - least[0]) * span[1] + cells[:, 1] - least[1]
+    parts, begin, total = [], 0, np.concatenate([[0], np.cumsum(n)])
+    while begin < len(triangles):
+        end = max(begin + 1, int(np.searchsorted(total, total[begin] + most, "right")) - 1)
+        t = np.repeat(np.arange(begin, end), n[begin:end])
+        step = np.arange(len(t)) - (total[t] - total[begin])
+        i, j = first[t, 0] + step % np.maximum(wide[t, 0], 1), first[t, 1] + step // np.maximum(wide[t, 0], 1)
+        key = i * span[1] + j
+        row = np.minimum(np.searchsorted(known, key), len(known) - 1)
+        held = known[row] == key
+        row, t = row[held], t[held]
+        # a cell lies apart from a triangle if it lies beyond one of its sides
+        corner, near = corners[t], cells[row] * size
+        touch = np.ones(len(row), bool)
+        for k in range(3):
+            p, q = corner[:, k], corner[:, (k + 1) % 3]
+            dx, dy = q[:, 0] - p[:, 0], q[:, 1] - p[:, 1]
+            x = np.where(dy > 0, near[:, 0] - slack, near[:, 0] + size + slack)
+            y = np.where(dx > 0, near[:, 1] + size + slack, near[:, 1] - slack)
+            touch &= dx * (y - p[:, 1]) - dy * (x - p[:, 0]) >= 0
+        parts.append(np.column_stack([row[touch], t[touch]]))
+        begin = end
+    found = np.vstack([np.zeros((0, 2), np.int64), *parts])
+    found = found[np.lexsort((found[:, 1], found[:, 0]))]
+    return found[:, 0], found[:, 1]
 
-    def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.copy()
-        pdf["classification"] = np.where(_ground_points(pdf[["x", "y", "z"]].to_numpy(float), seed, angle, distance), 2, 1).astype(np.int32)
-        return pdf
 
-    return _dealt(points, keys).groupBy(*keys).applyInPandas(run, schema)
+def _ground_points(xyz: np.ndarray, seed: float, angle: float, distance: float) -> np.ndarray:
+    """Mask of the ground points of one chunk that is at hand as a whole."""
+    whole = np.zeros(len(xyz), bool)
+    if len(xyz) < 3:
+        return whole
+    thin = _lowest(xyz, seed / 20, np.zeros(2))
+    mask, base, triangles = _grown(xyz[thin], seed, angle, distance)
+    surface, at = interpolate(base, triangles, xyz[:, :2])
+    whole[thin[mask]] = True
+    return whole | ((at >= 0) & (np.abs(xyz[:, 2] - surface) <= FLAT))
 
 
-def _ground_points(xyz: np.ndarray, seed: float, angle: float, distance: float) -> np.ndarray:
-    """Mask of the ground points of one chunk."""
+def _grown(xyz: np.ndarray, seed: float, angle: float, distance: float) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(mask, corners, triangles): which of the lowest points of small cells are ground, and their surface."""
     mask = np.zeros(len(xyz), bool)
-    if len(xyz) < 3:
-        return mask
-    everything, whole, thin = xyz, mask, _lowest(xyz, seed / 20)
-    xyz, mask = xyz[thin], np.zeros(len(thin), bool)  # ground grows through the lowest point of each small cell
     origin = xyz[:, :2].min(axis=0)
     mask[_lowest(xyz, seed)] = True
     # the chunk's corners at the height of the nearest seeds, so that every point is inside
@@ -161,14 +274,12 @@ def _ground_points(xyz: np.ndarray, seed: float, angle: float, distance: float)
         first = np.ones(len(order), bool)
         first[1:] = (part[order][1:] != part[order][:-1]).any(axis=1)
         mask[good[order[first]]] = True
-    surface, at = interpolate(base, triangles, everything[:, :2])
-    whole[thin[mask]] = True
-    return whole | ((at >= 0) & (np.abs(everything[:, 2] - surface) <= FLAT))
+    return mask, base, triangles
 
 
-def _lowest(xyz: np.ndarray, size: float) -> np.ndarray:
-    """Index of the lowest point of each square cell; of equal ones least x, then y."""
-    cell = np.floor((xyz[:, :2] - xyz[:, :2].min(axis=0)) / size).astype(np.int64)
+def _lowest(xyz: np.ndarray, size: float, origin: np.ndarray | None = None) -> np.ndarray:
+    """Index of the lowest point of each square cell, counted from the least x and y or an origin; of equal ones least x, then y."""
+    cell = np.floor((xyz[:, :2] - (xyz[:, :2].min(axis=0) if origin is None else origin)) / size).astype(np.int64)
     order = np.lexsort((xyz[:, 1], xyz[:, 0], xyz[:, 2], cell[:, 1], cell[:, 0]))
     first = np.ones(len(order), bool)
     first[1:] = (cell[order][1:] != cell[order][:-1]).any(axis=1)
