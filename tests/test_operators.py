@@ -361,3 +361,32 @@ def test_ground_of_a_chunk_takes_only_lowest_points_together(spark, monkeypatch)
     assert dealt and max(dealt) <= 60 * 60
     few = terrain.classify_ground(df.where("i < 2"))
     assert [r["classification"] for r in few.collect()] == [1, 1]
+
+
+def test_places_are_interpolated_in_all_points_triangles_but_few_are_triangulated(monkeypatch):
+    from understory.operators import delaunay
+
+    rng = np.random.default_rng(3)
+    xy = rng.uniform(0, 30, (12000, 2))
+    xy = xy[(np.hypot(*(xy - 12).T) > 7) | (rng.uniform(size=len(xy)) < 0.01)] + [4e5, 5.7e6]
+    xyz = np.column_stack([xy, 5 * np.sin(xy[:, 0] / 7) + np.cos(xy[:, 1]) + rng.uniform(0, 0.1, len(xy))])
+    at = np.stack(np.meshgrid(np.arange(-1, 31, 3.0), np.arange(-1, 31, 3.0)), -1).reshape(-1, 2) + [4e5, 5.7e6]
+    value, t = interpolate(xyz, triangulate(xy), at)
+    sizes = []
+    monkeypatch.setattr(delaunay, "triangulate", lambda p: sizes.append(len(p)) or triangulate(p))
+    got, found = delaunay.interpolated(xyz, at, 1000)
+    assert (found == (t >= 0)).all() and 0 < found.sum() < len(at)
+    assert got[found] == pytest.approx(value[found], abs=1e-9)
+    assert max(sizes) < len(xy) / 3
+
+
+def test_terrain_gathers_ground_points_only(spark, monkeypatch):
+    rng = np.random.default_rng(8)
+    rows = [(*map(float, rng.uniform(0, 60, 2)), float(z)) for z in [*np.zeros(4000), *rng.uniform(2, 20, 20000)]]
+    dealt = []
+    deal = terrain._dealt
+    monkeypatch.setattr(terrain, "_dealt", lambda points, keys: dealt.append(points.count()) or deal(points, keys))
+    cells = terrain.terrain(spark.createDataFrame(rows, "x double, y double, z double"), 0.0, 0.0).collect()
+    assert len({(r["col"], r["row"]) for r in cells}) == len(cells) > 3400
+    assert all(abs(r["value"]) < 0.5 for r in cells if 1 < r["col"] < 58 and 1 < r["row"] < 58)
+    assert dealt and max(dealt) < 24000

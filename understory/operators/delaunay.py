@@ -5,6 +5,10 @@ from __future__ import annotations
 import numpy as np
 
 
+#: Points that are triangulated as they are.
+WHOLE = 20_000
+
+
 def _insertion_order(p: np.ndarray) -> list[int]:
     """Points in rounds of doubling size, each along a snake of cells: cavities stay small and walks short."""
     n = len(p)
@@ -143,3 +147,105 @@ def interpolate(xyz: np.ndarray, triangles: np.ndarray, at: np.ndarray) -> tuple
         value[r] = u[hit] * a[t, 2] + v[hit] * b[t, 2] + w[hit] * c[t, 2]
         found[r] = t
     return value, found
+
+
+def interpolated(xyz: np.ndarray, at: np.ndarray, whole: int = WHOLE) -> tuple[np.ndarray, np.ndarray]:
+    """(values, found) at places: linear in the Delaunay triangles of distinct points, NaN and False outside all.
+
+    Of more than `whole` points only those are triangulated that the places' triangles need:
+    the hull, one of each cell of a lattice, and what the circles of the places' triangles
+    hold, until those circles are empty.  A triangle with an empty circle is one of all points'.
+    """
+    if len(xyz) <= whole:
+        value, t = interpolate(xyz, triangulate(xyz[:, :2]), at)
+        return value, t >= 0
+    p = xyz[:, :2] - xyz[:, :2].mean(axis=0)
+    places = at - xyz[:, :2].mean(axis=0)
+    chosen = np.zeros(len(p), bool)
+    chosen[_hull(p)] = True
+    chosen[np.unique(_lattice(p, int(np.sqrt(4 * len(at))) + 1)[0], return_index=True)[1]] = True
+    side = int(np.sqrt(len(p) / 4)) + 1
+    cell, size, low = _lattice(p, side)
+    order = np.argsort(cell, kind="stable")
+    cell = cell[order]
+    while True:  # every round chooses a point
+        some = np.flatnonzero(chosen)
+        triangles = triangulate(p[some])
+        value, t = interpolate(xyz[some], triangles, at)
+        asked = np.flatnonzero(t >= 0)
+        x, y, r2 = _circles(p[some][triangles[t[asked]]])
+        more = False
+        for circle, point in _within(p, order, cell, side, size, low, x, y, r2):
+            point, circle = point[~chosen[point]], circle[~chosen[point]]
+            if not len(point):
+                continue
+            more = True
+            dx, dy = (p[point] - places[asked[circle]]).T
+            eighth = (dx > 0) * 4 + (dy > 0) * 2 + (np.abs(dx) > np.abs(dy))
+            near = np.lexsort((dx * dx + dy * dy, eighth, circle))
+            key = circle[near] * 8 + eighth[near]
+            chosen[point[near[np.concatenate([[True], key[1:] != key[:-1]])]]] = True
+        if not more:
+            return value, t >= 0
+
+
+def _lattice(p: np.ndarray, side: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(cell of each point, widths of a cell, corner) of side by side cells."""
+    low = p.min(axis=0)
+    size = np.maximum(np.ptp(p, axis=0), 1e-9) / side * (1 + 1e-12)
+    place = np.minimum(np.floor((p - low) / size).astype(np.int64), side - 1)
+    return place[:, 0] * side + place[:, 1], size, low
+
+
+def _circles(corners: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(x, y, squared radius), a billionth less, of the circles through three corners each."""
+    a, b, c = corners[:, 0], corners[:, 1] - corners[:, 0], corners[:, 2] - corners[:, 0]
+    d = 2 * (b[:, 0] * c[:, 1] - b[:, 1] * c[:, 0])
+    b2, c2 = (b * b).sum(axis=1), (c * c).sum(axis=1)
+    x, y = (c[:, 1] * b2 - b[:, 1] * c2) / d, (b[:, 0] * c2 - c[:, 0] * b2) / d
+    return a[:, 0] + x, a[:, 1] + y, (x * x + y * y) * (1 - 1e-9)
+
+
+def _within(p, order, cell, side, size, low, x, y, r2, most: int = 1 << 20):
+    """(circle, point) pairs of the points inside circles, in parts; order and cell: the points by cells of a lattice."""
+    r = np.sqrt(r2)
+    lo = [np.clip(np.floor((v - r - low[k]) / size[k]), 0, side - 1).astype(np.int64) for k, v in enumerate((x, y))]
+    hi = [np.clip(np.floor((v + r - low[k]) / size[k]), 0, side - 1).astype(np.int64) for k, v in enumerate((x, y))]
+    wide = hi[0] - lo[0] + 1
+    circle = np.repeat(np.arange(len(x)), wide)
+    column = lo[0][circle] + np.arange(len(circle)) - np.repeat(np.cumsum(wide) - wide, wide)
+    begin = np.searchsorted(cell, column * side + lo[1][circle], "left")
+    n = np.searchsorted(cell, column * side + hi[1][circle], "right") - begin
+    total = np.concatenate([[0], np.cumsum(n)])
+    first = 0
+    while first < len(circle):
+        last = max(first + 1, int(np.searchsorted(total, total[first] + most, "right")) - 1)
+        owner = np.repeat(np.arange(first, last), n[first:last])
+        point = order[begin[owner] + np.arange(len(owner)) - (total[owner] - total[first])]
+        mine = circle[owner]
+        inside = (p[point, 0] - x[mine]) ** 2 + (p[point, 1] - y[mine]) ** 2 < r2[mine]
+        yield mine[inside], point[inside]
+        first = last
+
+
+def _hull(p: np.ndarray) -> np.ndarray:
+    """Indices of the corners of the convex hull; points inside the polygon of 32 directions' extremes are left out first."""
+    turn = np.arange(32) * (np.pi / 16)
+    extreme = np.array([(p[:, 0] * np.cos(a) + p[:, 1] * np.sin(a)).argmax() for a in turn])
+    inside = np.ones(len(p), bool)
+    for a, b in zip(extreme, np.roll(extreme, -1), strict=True):
+        if a != b:
+            inside &= (p[b, 0] - p[a, 0]) * (p[:, 1] - p[a, 1]) - (p[b, 1] - p[a, 1]) * (p[:, 0] - p[a, 0]) > 0
+    rest = np.flatnonzero(~inside) if len(set(extreme.tolist())) > 2 else np.arange(len(p))
+    rest = rest[np.lexsort((p[rest, 1], p[rest, 0]))].tolist()
+    xs, ys = p[:, 0], p[:, 1]
+
+    def chain(indices: list[int]) -> list[int]:
+        kept: list[int] = []
+        for i in indices:
+            while len(kept) > 1 and (xs[kept[-1]] - xs[kept[-2]]) * (ys[i] - ys[kept[-2]]) <= (ys[kept[-1]] - ys[kept[-2]]) * (xs[i] - xs[kept[-2]]):
+                kept.pop()
+            kept.append(i)
+        return kept
+
+    return np.unique(chain(rest) + chain(rest[::-1]))

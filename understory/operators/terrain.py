@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from understory.functions.scalars import in_cells, snapped
-from understory.operators.delaunay import interpolate, triangulate
+from understory.operators.delaunay import interpolate, interpolated, triangulate
 from understory.streaming.ingest import state_folder
 
 #: Raster cells whose broadcast is asked for at most.
@@ -294,10 +294,10 @@ def tin_raster(points: DataFrame, x0: float, y0: float, resolution: float, chunk
     """
 
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        ground = pdf.classification.to_numpy() == 2
-        return _surface(pdf[["x", "y", "z"]].to_numpy(float)[ground], int(pdf.chunk_x.iloc[0]), int(pdf.chunk_y.iloc[0]), x0, y0, resolution, chunk)
+        return _surface(pdf[["x", "y", "z"]].to_numpy(float), int(pdf.chunk_x.iloc[0]), int(pdf.chunk_y.iloc[0]), x0, y0, resolution, chunk)
 
-    return _dealt(points, keys).groupBy(*keys).applyInPandas(run, _CELLS)
+    ground = points.where("classification = 2").select(*dict.fromkeys([*keys, "chunk_x", "chunk_y", "x", "y", "z"]))
+    return _dealt(ground, keys).groupBy(*keys).applyInPandas(run, _CELLS)
 
 
 _CELLS = "chunk_x long, chunk_y long, col long, row long, value double"
@@ -305,34 +305,21 @@ _CELLS = "chunk_x long, chunk_y long, col long, row long, value double"
 
 def _surface(xyz: np.ndarray, cx: int, cy: int, x0: float, y0: float, resolution: float, chunk: float) -> pd.DataFrame:
     """Cells of a chunk's core from its ground points; of points at one place the lowest counts."""
-    empty = pd.DataFrame({"chunk_x": [], "chunk_y": [], "col": [], "row": [], "value": []})
     xyz = xyz[np.lexsort((xyz[:, 2], xyz[:, 1], xyz[:, 0]))]
     once = np.ones(len(xyz), bool)
     once[1:] = (xyz[1:, :2] != xyz[:-1, :2]).any(axis=1)
     xyz = xyz[once]
-    triangles = triangulate(xyz[:, :2])
-    if not len(triangles):
-        return empty
     n = max(1, round(chunk / resolution))
     cols, rows = np.meshgrid(np.arange(cx * n, (cx + 1) * n), np.arange(cy * n, (cy + 1) * n))
     centres = np.column_stack([x0 + (cols.ravel() + 0.5) * resolution, y0 + (rows.ravel() + 0.5) * resolution])
-    value, at = interpolate(xyz, triangles, centres)
-    ok = at >= 0
+    value, ok = interpolated(xyz, centres)
     return pd.DataFrame({"chunk_x": cx, "chunk_y": cy, "col": cols.ravel()[ok], "row": rows.ravel()[ok], "value": value[ok]})
 
 
 def terrain(points: DataFrame, x0: float, y0: float, resolution: float = 1.0, chunk: float = 60.0, buffer: float = 20.0, seed: float = 20.0, classified: bool = False, angle: float = 30.0, distance: float = 1.0) -> DataFrame:
     """(col, row, value): the terrain raster of points; classifies ground first unless it is classified.
 
-    A chunk is classified and interpolated in one go, after one shuffle of its x, y, z.
+    Ground points are the only ones gathered by chunk.
     """
     spread = chunked(points.select("x", "y", "z", *(["classification"] if classified else [])), x0, y0, chunk, buffer).drop("in_core")
-    if classified:
-        return mosaic(tin_raster(spread.where("classification = 2"), x0, y0, resolution, chunk))
-
-    def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        xyz = pdf[["x", "y", "z"]].to_numpy(float)
-        return _surface(xyz[_ground_points(xyz, seed, angle, distance)], int(pdf.chunk_x.iloc[0]), int(pdf.chunk_y.iloc[0]), x0, y0, resolution, chunk)
-
-    keys = ("chunk_x", "chunk_y")
-    return mosaic(_dealt(spread, keys).groupBy(*keys).applyInPandas(run, _CELLS))
+    return mosaic(tin_raster(spread if classified else classify_ground(spread, seed, angle, distance), x0, y0, resolution, chunk))
