@@ -390,3 +390,23 @@ def test_terrain_gathers_ground_points_only(spark, monkeypatch):
     assert len({(r["col"], r["row"]) for r in cells}) == len(cells) > 3400
     assert all(abs(r["value"]) < 0.5 for r in cells if 1 < r["col"] < 58 and 1 < r["row"] < 58)
     assert dealt and max(dealt) < 24000
+
+
+def test_extents_of_equal_variances_are_along_the_axes(spark):
+    """Full boxes, as dense clouds make them, have no principal axes of their own; the order of rows must not make any."""
+    cells = F.col("id") % 35, F.floor(F.col("id") / 35) % 35, F.floor(F.col("id") / 1225)
+    boxes = None
+    for k, (height, x) in enumerate(((21, 2061685), (36, 2061790), (35, 2061720))):
+        c = cells if k < 2 else (cells[2], cells[0], cells[1])
+        box = spark.range(1225 * height).select(F.lit("a").alias("instance_dimension"), F.lit(float(k)).alias("instance_id"), *((v + o).alias(f"voxel_{n}") for v, o, n in zip(c, (x, 28665745, 0), "xyz", strict=True)))
+        boxes = box if boxes is None else boxes.unionByName(box)
+    turned = [(t, t, t) for t in range(11)] + [(5 + a, 5 + b, 5 + c) for a, b, c in ((3, -3, 0), (-3, 3, 0), (3, 0, -3), (-3, 0, 3), (0, 3, -3), (0, -3, 3))]
+    boxes = boxes.unionByName(spark.createDataFrame([("a", 3.0, *map(int, v)) for v in turned] + [("a", 4.0, 1, 2, t) for t in range(4)], boxes.schema))
+    want = {0.0: [6.8, 6.8, 4.0], 1.0: [7.0, 6.8, 6.8], 2.0: [6.8, 6.8, 6.8], 3.0: [2 * 3**0.5, 1.2 * 2**0.5, 3.6 / 6**0.5], 4.0: [0.6, 0.0, 0.0]}
+    seen = set()
+    for seed in range(3):
+        rows = segments.extents(boxes.repartition(7).orderBy(F.rand(seed)), P).collect()
+        for r in rows:
+            assert [r[f"pca_extent_{i}"] for i in (1, 2, 3)] == pytest.approx(want[r["instance_id"]], abs=1e-9)
+        seen.add(tuple(sorted(map(tuple, rows))))
+    assert len(seen) == 1

@@ -88,32 +88,56 @@ def _vector(c: dict[str, Column], value: Column) -> Column:
 def extents(voxel_rows: DataFrame, p: Parameters) -> DataFrame:
     """(keys, pca_extent_1..3): range of the voxels along their principal axes; null for fewer than 3 voxels.
 
-    One aggregation for means and covariances, a closed-form eigen-decomposition, and
-    one for the ranges along the axes, from the mean; no Python.  The middle axis is the
-    cross product of the others, so equal values still give a right-angled frame.
+    One aggregation for covariances, a closed-form eigen-decomposition, and one for the
+    ranges along the axes; no Python.  Covariances are of whole numbers of voxels and exact,
+    so that the order of rows doesn't count.  Equal values leave axes open: then the axis is
+    the coordinate axis across the one that isn't, made perpendicular to it; x and z if all
+    are equal.  The middle axis is the cross product of the others.
     """
-    r = F.lit(p.voxel_resolution)
-    at = voxel_rows.select(*KEYS, *((F.col(f"voxel_{c}") * r).alias(c) for c in "xyz"))
+    whole = {k: F.col(f"voxel_{k}").cast("decimal(20,0)") for k in "xyz"}
     names = ("xx", "xy", "xz", "yy", "yz", "zz")
-    stats = at.groupBy(*KEYS).agg(F.count("*").alias("_n"), *(F.avg(c).alias(f"m{c}") for c in "xyz"), *(F.covar_pop(n[0], n[1]).alias(n) for n in names))
+    sums = voxel_rows.groupBy(*KEYS).agg(
+        F.count("*").alias("_n"), *(F.min(f"voxel_{k}").alias(f"m{k}") for k in "xyz"), *(F.sum(whole[k]).alias(f"s{k}") for k in "xyz"), *(F.sum(whole[n[0]] * whole[n[1]]).alias(f"s{n}") for n in names)
+    )
     c = {n: F.col(n) for n in names}
     means = [f"m{k}" for k in "xyz"]
-    stats = stats.select(*KEYS, "_n", *means, *names, *(v.alias(f"l{i}") for i, v in enumerate(_eigen(c), 1)))
+    n = F.col("_n").cast("decimal(20,0)")
+    squared = F.col("_n").cast("double") * F.col("_n")
+    stats = sums.select(*KEYS, "_n", *means, *(((n * F.col(f"s{k}") - F.col(f"s{k[0]}") * F.col(f"s{k[1]}")).cast("double") / squared).alias(k) for k in names))
+    stats = stats.withColumns({f"l{i}": v for i, v in enumerate(_eigen(c), 1)})
     stats = stats.withColumn("v1", _vector(c, F.col("l1"))).withColumn("v3", _vector(c, F.col("l3")))
-    tiny = F.lit(1e-18)
-
-    def unit(v: str, other: tuple[float, float, float]) -> list[Column]:
-        n = F.sqrt(F.col(f"{v}.n"))
-        return [F.when(F.col(f"{v}.n") > tiny, F.col(f"{v}.{k}") / n).otherwise(F.lit(o)) for k, o in zip("xyz", other, strict=True)]
-
-    frame = stats.select(*KEYS, "_n", *means, *(x.alias(f"a{k}") for x, k in zip(unit("v1", (1.0, 0.0, 0.0)), "xyz", strict=True)), *(x.alias(f"c{k}") for x, k in zip(unit("v3", (0.0, 0.0, 1.0)), "xyz", strict=True)))
+    slack = (F.col("l1") - F.col("l3")) * 1e-7 + (F.col("l1") + F.col("l2") + F.col("l3")) * 1e-12
+    stats = stats.withColumns({"_same12": F.col("l1") - F.col("l2") <= slack, "_same23": F.col("l2") - F.col("l3") <= slack})
+
+    def unit(x: list[Column]) -> Column:
+        length = F.sqrt(x[0] * x[0] + x[1] * x[1] + x[2] * x[2])
+        return F.struct(*(F.try_divide(v, length).alias(k) for v, k in zip(x, "xyz", strict=True)))
+
+    def of(v: str) -> list[Column]:
+        return [F.col(f"{v}.{k}") for k in "xyz"]
+
+    def axis(k: str) -> list[Column]:
+        return [F.lit(float(k == j)) for j in "xyz"]
+
+    def across(v: str, order: str) -> Column:
+        """The coordinate axis least along v, the first in order of equal ones, less its part along v."""
+        made = {k: unit([e - F.col(f"{v}.{k}") * x for e, x in zip(axis(k), of(v), strict=True)]) for k in order}
+        size = {k: F.abs(F.col(f"{v}.{k}")) for k in order}
+        i, j, k = order
+        return F.when((size[i] <= size[j]) & (size[i] <= size[k]), made[i]).when(size[j] <= size[k], made[j]).otherwise(made[k])
+
+    every = F.col("_same12") & F.col("_same23")
+    frame = stats.withColumn("_a", F.when(every, unit(axis("x"))).when(~F.col("_same12"), unit(of("v1"))))
+    frame = frame.withColumn("_c", F.when(every, unit(axis("z"))).when(F.col("_same23"), across("_a", "zyx")).otherwise(unit(of("v3"))))
+    frame = frame.withColumn("_a", F.coalesce(F.col("_a"), across("_c", "xyz")))
+    frame = frame.select(*KEYS, "_n", *means, *(F.col(f"_a.{k}").alias(f"a{k}") for k in "xyz"), *(F.col(f"_c.{k}").alias(f"c{k}") for k in "xyz"))
     cross = [F.col("cy") * F.col("az") - F.col("cz") * F.col("ay"), F.col("cz") * F.col("ax") - F.col("cx") * F.col("az"), F.col("cx") * F.col("ay") - F.col("cy") * F.col("ax")]
     frame = frame.withColumns({f"b{k}": x for k, x in zip("xyz", cross, strict=True)})
-    turned = at.join(frame, KEYS)
+    turned = voxel_rows.join(frame, KEYS)
     spans = []
-    for i, axis in enumerate("abc", 1):
-        along = sum(((F.col(k) - F.col(f"m{k}")) * F.col(f"{axis}{k}") for k in "xyz"), F.lit(0.0))
-        spans.append(F.when(F.max("_n") >= 3, F.max(along) - F.min(along)).alias(f"pca_extent_{i}"))
+    for i, name in enumerate("abc", 1):
+        along = sum(((F.col(f"voxel_{k}") - F.col(f"m{k}")) * F.col(f"{name}{k}") for k in "xyz"), F.lit(0.0))
+        spans.append(F.when(F.max("_n") >= 3, (F.max(along) - F.min(along)) * F.lit(p.voxel_resolution)).alias(f"pca_extent_{i}"))
     return turned.groupBy(*KEYS).agg(*spans)
 
 
