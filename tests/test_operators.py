@@ -410,3 +410,15 @@ def test_extents_of_equal_variances_are_along_the_axes(spark):
             assert [r[f"pca_extent_{i}"] for i in (1, 2, 3)] == pytest.approx(want[r["instance_id"]], abs=1e-9)
         seen.add(tuple(sorted(map(tuple, rows))))
     assert len(seen) == 1
+
+
+def test_diagnostics_of_full_boxes_have_the_boxes_sides(spark):
+    from understory.operators import results
+
+    at = [F.col("id") % 35, F.floor(F.col("id") / 35) % 35, F.floor(F.col("id") / 1225) % 21]
+    tree = F.floor(F.col("id") / 25725)
+    x, y, h = (F.lit(o) + (c + F.lit(0.5)) * 0.2 for o, c in zip((412337.0, 5733149.0, 0.0), at, strict=True))
+    rows = spark.range(25725 * 6).select(F.col("id").alias("pid"), (x + tree * 7).alias("x"), (y + tree * 14).alias("y"), h.alias("h"), F.lit("PredInstance").alias("instance_dimension"), (tree + 1).cast("double").alias("instance_id"))
+    table = segments.segment_table(rows.repartition(9), P).withColumn("tile_id", F.lit(None).cast("int"))
+    found = results.segment_diagnostics(table, "a").collect()
+    assert [(r["pc_ext1"], r["pc_ext2"], r["pc_ext3"], r["n_vox"], r["is_tree"]) for r in found] == [(6.8, 6.8, 4.0, 25725, True)] * 6
